@@ -36,14 +36,19 @@ class PairQuery(NamedTuple):
     k: int
 
 
-def _with_blocks(rows: DataFrame, baskets: DataFrame, block_items: int) -> DataFrame:
-    """Attach the number of blocks and the row's own block; one-item baskets fall out."""
-    sized = baskets.filter(F.col("_items") > 1).select(
-        F.col("basket").alias("_basket"),
-        F.ceil(F.col("_items") / block_items).cast("int").alias("_blocks"),
+def _blocked(rows: DataFrame, block_items: int) -> DataFrame:
+    """Attach each row's block and the largest line count of a node in its basket.
+
+    One-item baskets form no pair and fall out.
+    """
+    nodes = rows.groupBy("basket", "node").agg(F.sum("lines").alias("_lines"), F.count("*").alias("_rows"))
+    baskets = nodes.groupBy(F.col("basket").alias("_basket")).agg(
+        F.sum("_rows").alias("_items"), F.max("_lines").alias("_most")).filter(F.col("_items") > 1)
+    blocks = F.ceil(F.col("_items") / block_items).cast("int")
+    return rows.join(baskets, F.col("basket") == F.col("_basket")).select(
+        "basket", "item", "node", "lines", "_most", blocks.alias("_blocks"),
+        F.pmod(F.xxhash64("item"), blocks).cast("int").alias("_block"),
     )
-    return rows.join(sized, F.col("basket") == F.col("_basket")).drop("_basket").withColumn(
-        "_block", F.pmod(F.xxhash64("item"), F.col("_blocks")).cast("int"))
 
 
 def _count_blocked(rows: DataFrame) -> DataFrame:
@@ -71,16 +76,9 @@ def _count_blocked(rows: DataFrame) -> DataFrame:
     ).agg(F.sum(F.col("l_lines") * F.col("r_lines")).alias("pairs"))
 
 
-def _basket_sizes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    nodes = rows.groupBy("basket", "node").agg(F.sum("lines").alias("_lines"), F.count("*").alias("_rows"))
-    baskets = nodes.groupBy("basket").agg(F.sum("_rows").alias("_items"), F.max("_lines").alias("_most"))
-    return nodes, baskets
-
-
 def pair_counts(rows: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """All pairs. ``rows`` has basket, item, node (what is counted) and lines."""
-    rows = pin(rows)
-    return _count_blocked(_with_blocks(rows, _basket_sizes(rows)[1], block_items))
+    return _count_blocked(pin(_blocked(rows, block_items)))
 
 
 def strongest_pairs(rows: DataFrame, wanted: PairQuery, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -88,24 +86,14 @@ def strongest_pairs(rows: DataFrame, wanted: PairQuery, block_items: int = BLOCK
 
     The caller orders and limits; pairs tied with the k-th are all included.
     """
-    rows = pin(rows)
-    nodes, baskets = _basket_sizes(rows)
-    blocked = pin(_with_blocks(rows, baskets, block_items))
-    most = baskets.filter(F.col("_items") > 1).select(F.col("basket").alias("_basket"), "_most")
-    reach = pin(
-        nodes.join(most, F.col("basket") == F.col("_basket"))
-        .groupBy("node").agg(F.sum(F.col("_lines").cast("decimal(19,0)") * F.col("_most")).alias("_reach"))
-    )
+    blocked = pin(_blocked(rows, block_items))
+    reach = blocked.groupBy("node").agg(F.sum(F.col("lines").cast("decimal(19,0)") * F.col("_most")).alias("_reach"))
     # About 2k pairs among the leaders: a fixed number of nodes, whatever the data.
     leaders = reach.orderBy(F.col("_reach").desc(), "node").limit(2 * math.isqrt(wanted.k) + 2)
     leader_pairs = _count_blocked(_only(blocked, leaders)).orderBy(F.col("pairs").desc()).limit(wanted.k)
-    floor = leader_pairs.agg(
-        F.greatest(
-            F.lit(wanted.min_count),
-            F.when(F.count("*") == wanted.k, F.min("pairs")).otherwise(wanted.min_count),
-        ).alias("_floor")
-    )
-    floor = pin(floor)
+    kth = F.when(F.count("*") == wanted.k, F.min("pairs"))
+    # One row; stored, since both the items and their pairs are held against it.
+    floor = pin(leader_pairs.agg(F.greatest(F.lit(wanted.min_count), kth).alias("_floor")))
     able = reach.crossJoin(F.broadcast(floor)).filter(F.col("_reach") >= F.col("_floor"))
     counted = _count_blocked(_only(blocked, able))
     return counted.crossJoin(F.broadcast(floor)).filter(F.col("pairs") >= F.col("_floor")).drop("_floor")

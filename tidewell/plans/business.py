@@ -13,6 +13,7 @@ from tidewell.functions import ascending, descending, mean, month_gap, month_sta
 from tidewell.operators.baskets import PairQuery, strongest_pairs
 from tidewell.operators.ranking import tiles
 from tidewell.plans.gold import PRICE, dated_sales, sales_by_day
+from tidewell.session import pin
 
 Tables = Mapping[str, DataFrame]
 
@@ -92,13 +93,15 @@ def rfm_segments(t: Tables, as_of: dt.date | None = None) -> DataFrame:
 
 
 def basket_rows(sales: DataFrame) -> DataFrame:
-    """One row per ticket and item with its number of sale lines."""
-    named = sales.select(F.col("ss_ticket_number").alias("basket"), F.col("ss_item_sk").alias("item"))
-    return named.dropna().groupBy("basket", "item").agg(F.count("*").alias("lines"))
+    """One row per ticket and item with its number of sale lines, stored for the passes that follow."""
+    return pin(
+        sales.groupBy(F.col("ss_ticket_number").alias("basket"), F.col("ss_item_sk").alias("item"))
+        .agg(F.count("*").alias("lines"))
+    )
 
 
-def ticket_count(sales: DataFrame) -> DataFrame:
-    return sales.agg(F.countDistinct("ss_ticket_number").alias("tickets"))
+def basket_count(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.countDistinct("basket").alias("tickets"))
 
 
 def product_affinity(t: Tables, more_than: int = 100, k: int = 50) -> DataFrame:
@@ -111,14 +114,14 @@ def product_affinity(t: Tables, more_than: int = 100, k: int = 50) -> DataFrame:
     texts = items.groupBy("i_item_desc").agg(F.min("i_item_sk").alias("node"))
     nodes = items.join(texts.select(F.col("i_item_desc").alias("text"), "node"),
                        F.col("i_item_desc").eqNullSafe(F.col("text"))).select("i_item_sk", "node")
-    rows = basket_rows(t["silver_store_sales"]).join(nodes, F.col("item") == F.col("i_item_sk")) \
-        .groupBy("basket", "item", "node").agg(F.sum("lines").alias("lines"))
-    pairs = strongest_pairs(rows, PairQuery(more_than + 1, k))
+    rows = basket_rows(t["silver_store_sales"])
+    described = rows.join(nodes, F.col("item") == F.col("i_item_sk")).drop("i_item_sk")
+    pairs = strongest_pairs(described, PairQuery(more_than + 1, k))
     text_of = lambda node, name: texts.select(
         F.col("node").alias(node), F.col("i_item_desc").alias(name))
     named = (
         pairs.join(text_of("node_a", "item_a_desc"), "node_a").join(text_of("node_b", "item_b_desc"), "node_b")
-        .crossJoin(ticket_count(t["silver_store_sales"]))
+        .crossJoin(basket_count(rows))
         .select(
             "item_a_desc", "item_b_desc", F.col("pairs").alias("co_occurrence_count"),
             rounded(percent("pairs", "tickets")).alias("support_pct"),

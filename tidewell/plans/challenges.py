@@ -15,7 +15,7 @@ from tidewell.functions import (
 )
 from tidewell.operators.baskets import PairQuery, strongest_pairs
 from tidewell.plans.business import (
-    _today, basket_rows, customer_months, moving_average, rfm_measures, rfm_scores, rfm_segment, ticket_count,
+    _today, basket_count, basket_rows, customer_months, moving_average, rfm_measures, rfm_scores, rfm_segment,
 )
 from tidewell.plans.gold import PRICE, dated_sales
 
@@ -78,16 +78,16 @@ def product_affinity_ranked(t: Tables, at_least: int = 100, k: int = 50) -> Data
     The best ``k`` rows hold every count above their own, so ranking just them
     gives the same rank as ranking all pairs.
     """
-    sales, items = t["silver_store_sales"], t["silver_item"].select("i_item_sk", "i_item_desc", "i_category")
+    rows, items = basket_rows(t["silver_store_sales"]), t["silver_item"].select("i_item_sk", "i_item_desc", "i_category")
     # Pairs of unlisted items never reach the report; leaving them out early keeps the bound on the k-th count valid.
-    listed = basket_rows(sales).join(items, F.col("item") == F.col("i_item_sk"), "left_semi")
+    listed = rows.join(items, F.col("item") == F.col("i_item_sk"), "left_semi")
     pairs = strongest_pairs(listed.withColumn("node", F.col("item")), PairQuery(at_least, k))
     side = lambda s: items.select(
         F.col("i_item_sk").alias(f"product_{s}"), F.col("i_item_desc").alias(f"product_{s}_desc"),
         F.col("i_category").alias(f"product_{s}_category"))
     counts = pairs.select(F.col("node_a").alias("product_a"), F.col("node_b").alias("product_b"),
                           F.col("pairs").alias("co_occurrence_count"))
-    named = counts.join(side("a"), "product_a").join(side("b"), "product_b").crossJoin(ticket_count(sales))
+    named = counts.join(side("a"), "product_a").join(side("b"), "product_b").crossJoin(basket_count(rows))
     best = top(
         named, k, *descending("co_occurrence_count"),
         *ascending("product_a", "product_b", "product_a_desc", "product_b_desc"),
