@@ -10,6 +10,17 @@ LOG_QUERIES = {
     "parse_network_logs": "SELECT * FROM network_logs",
     "stream_database_logs": "SELECT * FROM database_logs",
     "stream_network_logs": "SELECT * FROM network_logs",
+    "traffic_rollup": """
+        SELECT date_trunc('hour', event_timestamp) AS window_start,
+               date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS window_end, protocol,
+               count(*) AS connections, CAST(sum(bytes_sent) + sum(bytes_received) AS BIGINT) AS total_bytes
+        FROM network_logs GROUP BY ALL""",
+    "masked_connections": """
+        SELECT * REPLACE (
+            concat_ws('.', split_part(source_ip, '.', 1), split_part(source_ip, '.', 2), 'x', 'x') AS source_ip,
+            concat_ws('.', split_part(destination_ip, '.', 1), split_part(destination_ip, '.', 2), 'x', 'x')
+                AS destination_ip)
+        FROM network_logs""",
     "db_query_count": "SELECT count(*) AS total_queries FROM database_logs",
     "db_perf_by_type": f"""
         SELECT query_type, count(*) AS query_count, {MS} AS avg_execution_time_ms,

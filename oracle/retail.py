@@ -60,6 +60,47 @@ RETAIL_QUERIES = {
              JOIN silver_item ON i_item_sk = ss_item_sk
         GROUP BY s_store_sk, s_store_name, i_item_sk, i_item_desc
         QUALIFY store_rank <= 10""",
+    "bronze_ingest": """
+        SELECT table_name, 'ok' AS status, "rows", CAST(NULL AS VARCHAR) AS error FROM (
+            SELECT 'store_sales' AS table_name, count(*) AS "rows" FROM bronze_store_sales
+            UNION ALL SELECT 'customer', count(*) FROM bronze_customer
+            UNION ALL SELECT 'date_dim', count(*) FROM bronze_date_dim
+            UNION ALL SELECT 'item', count(*) FROM bronze_item
+            UNION ALL SELECT 'store', count(*) FROM bronze_store)""",
+    "sales_quality": """
+        WITH all_sales AS (SELECT * FROM bronze_store_sales_dirty),
+        failures AS (
+            SELECT 'ss_sold_date_sk is set' AS check_name, count(*) AS failed_rows
+            FROM all_sales WHERE ss_sold_date_sk IS NULL
+            UNION ALL
+            SELECT 'ss_quantity above 0', count(*) FROM all_sales WHERE coalesce(ss_quantity, 0) <= 0
+            UNION ALL
+            SELECT 'ss_sales_price at least 0', count(*) FROM all_sales WHERE coalesce(ss_sales_price, -1) < 0
+            UNION ALL
+            SELECT 'unique: ss_ticket_number, ss_item_sk, ss_line_number',
+                   count(*) - count(DISTINCT (ss_ticket_number, ss_item_sk, ss_line_number)) FROM all_sales
+            UNION ALL
+            SELECT 'ss_sold_date_sk in d_date_sk', count(*) FROM all_sales
+            WHERE ss_sold_date_sk IS NOT NULL AND ss_sold_date_sk NOT IN (SELECT d_date_sk FROM bronze_date_dim)
+            UNION ALL
+            SELECT 'ss_customer_sk in c_customer_sk', count(*) FROM all_sales
+            WHERE ss_customer_sk NOT IN (SELECT c_customer_sk FROM bronze_customer)
+            UNION ALL
+            SELECT 'ss_item_sk in i_item_sk', count(*) FROM all_sales
+            WHERE ss_item_sk NOT IN (SELECT i_item_sk FROM bronze_item))
+        SELECT check_name, failed_rows, (SELECT count(*) FROM all_sales) AS all_rows FROM failures""",
+    "sales_quarantine": """
+        SELECT *, concat_ws('; ', CASE WHEN ss_sold_date_sk IS NULL THEN 'ss_sold_date_sk is set' END,
+                            CASE WHEN coalesce(ss_quantity, 0) <= 0 THEN 'ss_quantity above 0' END,
+                            CASE WHEN coalesce(ss_sales_price, -1) < 0 THEN 'ss_sales_price at least 0' END)
+                  AS failed_checks
+        FROM bronze_store_sales_dirty
+        WHERE ss_sold_date_sk IS NULL OR coalesce(ss_quantity, 0) <= 0 OR coalesce(ss_sales_price, -1) < 0""",
+    "masked_customers": """
+        SELECT c_customer_sk, sha256(concat('lake', c_customer_id)) AS c_customer_id,
+               concat(left(c_email_address, 1), '***@', split_part(c_email_address, '@', 2)) AS c_email_address,
+               c_birth_country, c_birth_year
+        FROM silver_customer""",
     # Layer queries
     "bronze_row_count": "SELECT count(*) AS row_count FROM bronze_store_sales",
     "sales_by_year_month": f"""

@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions.masking import masked_connections, masked_customers
+from tidewell.operators.quality import quarantine, sales_quality, sales_rules
 from tidewell.plans import business, challenges, gold, layer_queries, log_queries, silver
 from tidewell.schemas import DATABASE_LOG, NETWORK_LOG
 from tidewell.session import configure, fresh_folder
-from tidewell.sources.samples import sample_tables
+from tidewell.sources.delimited import ingest_tables
+from tidewell.sources.samples import log_stream, sample_tables
 from tidewell.sources.tables import DeclaredTables
 from tidewell.streaming import logs
+from tidewell.streaming.rollup import traffic_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +48,47 @@ def _parsed(table: str, schema) -> Query:
         logs.parse_logs(logs.as_records(sample_lake(spark, folder)[table], schema), schema))
 
 
+def _streamed(table: str, schema) -> Query:
+    """The whole stream: source, parser and hour-partitioned sink, drained once; returns the stored table."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        configure(spark)
+        records = logs.as_records(log_stream(spark, folder, table), schema)
+        parsed = logs.parse_logs(records, schema)
+        stored, progress = fresh_folder(spark, table), fresh_folder(spark, f"{table}-progress")
+        logs.write_log_stream(parsed, progress, path=stored, available_now=True).awaitTermination()
+        return _plain_time(spark.read.schema(parsed.schema).parquet(stored)).select(*parsed.columns)
+    return run
+
+
+def _bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Delimited copies of the raw tables, ingested; one status row per table."""
+    lake = sample_lake(spark, folder)
+    source, target = fresh_folder(spark, "delimited"), fresh_folder(spark, "bronze")
+    names = ("store_sales", "customer", "date_dim", "item", "store")
+    for name in names:
+        lake[f"bronze_{name}"].write.option("sep", "|").csv(f"{source}/{name}")
+    schemas = {name: lake[f"bronze_{name}"].schema for name in names}
+    return ingest_tables(spark, source, target, names, schemas)
+
+
+def _sales_quality(spark: SparkSession, folder: str) -> DataFrame:
+    lake = sample_lake(spark, folder)
+    return sales_quality(
+        lake["bronze_store_sales_dirty"], lake["bronze_date_dim"], lake["bronze_customer"], lake["bronze_item"])
+
+
+def _quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    rejected = quarantine(sample_lake(spark, folder)["bronze_store_sales_dirty"], sales_rules())[1]
+    return rejected.withColumn("failed_checks", F.array_join("failed_checks", "; "))
+
+
+def _rollup(spark: SparkSession, folder: str) -> DataFrame:
+    rolled = traffic_rollup(sample_lake(spark, folder)["network_logs"], window="1 hour")
+    return rolled.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")})
+
+
 REGISTRY: dict[str, Query] = {
+    "bronze_ingest": _bronze_ingest,
     "silver_store_sales": lambda s, d: silver.store_sales(sample_lake(s, d)["bronze_store_sales_dirty"]),
     "silver_store_sales_keyed": lambda s, d: silver.store_sales_keyed(sample_lake(s, d)["bronze_store_sales_dirty"]),
     "silver_customer": lambda s, d: sample_lake(s, d)["silver_customer"],
@@ -103,4 +147,11 @@ REGISTRY: dict[str, Query] = {
     "db_partition_scan": _on_lake(log_queries.db_partition_scan, year=2024, month=1),
     "parse_database_logs": _parsed("database_logs", DATABASE_LOG),
     "parse_network_logs": _parsed("network_logs", NETWORK_LOG),
+    "stream_database_logs": _streamed("database_logs", DATABASE_LOG),
+    "stream_network_logs": _streamed("network_logs", NETWORK_LOG),
+    "sales_quality": _sales_quality,
+    "sales_quarantine": _quarantined,
+    "traffic_rollup": _rollup,
+    "masked_customers": lambda s, d: masked_customers(sample_lake(s, d)["silver_customer"], salt="lake"),
+    "masked_connections": lambda s, d: _plain_time(masked_connections(sample_lake(s, d)["network_logs"])),
 }

@@ -40,11 +40,13 @@ def _text(value: Column) -> Column:
 
 
 class _Raw:
-    def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+    """The supplied tables, read as a batch or, with a stream reader, as they arrive in the folder."""
+
+    def __init__(self, reader, folder: str):
+        self._reader, self._folder = reader, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._folder}/{name}.parquet")
+        return self._reader().schema(_SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(self._folder)
 
 
 def _date_key(day: str) -> Column:
@@ -189,7 +191,7 @@ def _network_logs(raw: _Raw) -> DataFrame:
 
 def sample_tables(spark: SparkSession, folder: str) -> DeclaredTables:
     """Bronze retail tables and the two log tables over the parquet files in ``folder``."""
-    raw = _Raw(spark, folder.rstrip("/"))
+    raw = _Raw(lambda: spark.read, folder.rstrip("/"))
     makers = {
         "bronze_store_sales": _store_sales,
         "bronze_store_sales_dirty": _store_sales_dirty,
@@ -201,3 +203,9 @@ def sample_tables(spark: SparkSession, folder: str) -> DeclaredTables:
         "network_logs": _network_logs,
     }
     return DeclaredTables({name: (lambda _, make=make: make(raw)) for name, make in makers.items()})
+
+
+def log_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """``database_logs`` or ``network_logs`` as a stream over the events file."""
+    makers = {"database_logs": _database_logs, "network_logs": _network_logs}
+    return makers[table](_Raw(lambda: spark.readStream, folder.rstrip("/")))
