@@ -39,9 +39,13 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lines that fit the schema, and the text of those that do not."""
+    """Lines that fit the schema; and the others with their text and the fields that could be read.
+
+    Spark does not judge lines by that column alone while reading raw files, so
+    store both parts before counting or selecting from them.
+    """
     fits = F.col(CORRUPT).isNull()
-    return df.filter(fits).drop(CORRUPT), df.filter(~fits).select(CORRUPT)
+    return df.filter(fits).drop(CORRUPT), df.filter(~fits)
 
 
 def ingest_tables(spark: SparkSession, source: str, target: str, tables: str | Iterable[str] = "ALL",

@@ -109,6 +109,8 @@ def register_layer(spark: SparkSession, root: str, prefix: str, database: str |
             full = f"{database}.{table}"
             spark.sql(f"DROP TABLE IF EXISTS {full}")
             spark.catalog.createTable(full, path=path, source="parquet", mergeSchema="true")
+            if any(column.isPartition for column in spark.catalog.listColumns(full)):
+                spark.catalog.recoverPartitions(full)
         else:
             read_evolving(spark, path).createOrReplaceTempView(table)
         present.append(Registered(table, "registered"))
