@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidewell.operators.baskets import PairQuery, pair_counts, strongest_pairs
+from tidewell.operators.baskets import PairQuery, count_pairs, in_blocks, strongest_pairs
 
 SCHEMA = "basket bigint, item bigint, node bigint, lines bigint"
 
@@ -29,20 +29,20 @@ def rows_of(lines, node_of=lambda item: item):
     return [(basket, item, node_of(item), n) for (basket, item), n in sorted(Counter(lines).items())]
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 7)), min_size=2, max_size=60),
        st.sampled_from([1, 2, 3, 1000]))
-def test_blocks_do_not_change_the_counts(spark, lines, block_items):
+def test_blocks_do_not_change_the_counts(spark, lines, large):
     rows = rows_of(lines, lambda item: item % 3)
-    assert counted(pair_counts(spark.createDataFrame(rows, SCHEMA), block_items)) == literal(rows)
+    assert counted(count_pairs(in_blocks(spark.createDataFrame(rows, SCHEMA), large))) == literal(rows)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 40).map(lambda x: min(x, 9))), min_size=2, max_size=80),
-       st.integers(1, 3), st.sampled_from([1, 5]), st.sampled_from([2, 1000]))
-def test_strongest_pairs_hold_the_best_k(spark, lines, min_count, k, block_items):
-    rows = rows_of(lines)
-    got = counted(strongest_pairs(spark.createDataFrame(rows, SCHEMA), PairQuery(min_count, k), block_items))
+       st.integers(1, 3), st.sampled_from([1, 5]), st.sampled_from([2, 3, 1000]), st.sampled_from([3, 100]))
+def test_strongest_pairs_hold_the_best_k(spark, lines, min_count, k, large, nodes):
+    rows = rows_of(lines, lambda item: item % nodes)
+    got = counted(strongest_pairs(spark.createDataFrame(rows, SCHEMA), PairQuery(min_count, k), large))
     want = {pair: n for pair, n in literal(rows).items() if n >= min_count}
     assert got.items() <= want.items()
     best = sorted(want.values(), reverse=True)
@@ -57,7 +57,7 @@ def test_one_basket_with_a_third_of_all_lines(spark):
     small = [(1 + item % 200, item * 7 % 600) for item in range(1200)]
     rows = rows_of(hot + small)
     df = spark.createDataFrame(rows, SCHEMA)
-    assert counted(pair_counts(df, 50)) == literal(rows)
+    assert counted(count_pairs(in_blocks(df, 50))) == literal(rows)
     got = counted(strongest_pairs(df, PairQuery(1, 10), 50))
     want = literal(rows)
     tenth = sorted(want.values(), reverse=True)[9]
@@ -73,7 +73,21 @@ def test_pruning_leaves_rare_items_of_a_hot_basket_out(spark):
     assert got.agg(F.min("pairs"), F.max("node_b")).first()[:] == (59, 11)
 
 
+def test_large_baskets_lift_pairs_known_from_small_ones(spark):
+    """Two large baskets add to the pairs of small ones, and one pair lives in large baskets only."""
+    small = [(basket, item) for basket in range(10, 40) for item in range(8)]
+    large = [(basket, item) for basket in (1, 2) for item in range(1, 60)]
+    alone = [(basket, item) for basket in (1, 2) for item in (70, 71) for _ in range(5)]
+    rows = rows_of(small + large + alone)
+    want = literal(rows)
+    assert want[1, 2] == 32 and want[0, 1] == 30 and want[70, 71] == 50
+    for k in (1, 5, 22, 25):
+        got = counted(strongest_pairs(spark.createDataFrame(rows, SCHEMA), PairQuery(1, k), 20))
+        kth = sorted(want.values(), reverse=True)[k - 1]
+        assert {p: n for p, n in got.items() if n >= kth} == {p: n for p, n in want.items() if n >= kth}
+
+
 @pytest.mark.parametrize("rows", [[], [(1, 1, 1, 5)]])
 def test_no_pairs(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    assert counted(pair_counts(df)) == {} == counted(strongest_pairs(df, PairQuery(1, 5)))
+    assert counted(count_pairs(in_blocks(df))) == {} == counted(strongest_pairs(df, PairQuery(1, 5)))

@@ -1,5 +1,5 @@
-from tidewell.operators.baskets import PairQuery, pair_counts, strongest_pairs
+from tidewell.operators.baskets import PairQuery, strongest_pairs
 from tidewell.operators.dedup import one_row_per_key, whole_rows
 from tidewell.operators.ranking import rank_within, tiles
 
-__all__ = ["PairQuery", "one_row_per_key", "pair_counts", "rank_within", "strongest_pairs", "tiles", "whole_rows"]
+__all__ = ["PairQuery", "one_row_per_key", "rank_within", "strongest_pairs", "tiles", "whole_rows"]

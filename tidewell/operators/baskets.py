@@ -1,17 +1,20 @@
-"""Counting pairs that occur in the same basket, exactly and at any basket size.
+"""The strongest pairs of things that occur in the same basket, exactly and at any basket size.
 
 The textbook plan joins the sale lines with themselves on the ticket. Its output
 is quadratic in the basket, and one huge basket lands in one task. Here
 
 * repeated lines are folded first: one row per basket and item with its line
   count; a pair then counts the product of the two line counts;
-* when only the k strongest pairs are asked for, items that cannot reach the
-  k-th best count are dropped before any pair is formed. With ``lines(t, x)``
-  the lines of node x in basket t, a pair (x, y) counts at most
-  ``sum over t of lines(t, x) * (largest line count in t)``, and the pairs among
-  the few nodes with the largest such bound give a count that k pairs do reach;
-* a basket with many items is cut into blocks and its pairs of blocks become
-  separate join keys, so no join key holds more than two blocks of rows.
+* items that cannot reach the k-th best count are dropped before any pair is
+  formed. With ``lines(t, x)`` the lines of node x in basket t, a pair (x, y)
+  counts at most ``reach(x) = sum over t of lines(t, x) * (largest line count of
+  a node in t)``, and the pairs among the few nodes of largest reach give a
+  count, the floor, that k pairs do attain;
+* a large basket does not form its pairs. A pair that large baskets alone cannot
+  lift to the floor must also occur in a small one, so only the pairs counted
+  there are looked up in the large baskets. Pairs are formed inside large
+  baskets just for nodes whose reach within them attains the floor, and then in
+  blocks, so that no join key holds more than two blocks of rows.
 
 The result is the one of the plain self-join; nothing is capped or sampled.
 """
@@ -19,14 +22,15 @@ The result is the one of the plain self-join; nothing is capped or sampled.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.session import pin
 
-BLOCK_ITEMS = 1000
+LARGE_BASKET = 200
 
 
 class PairQuery(NamedTuple):
@@ -36,68 +40,99 @@ class PairQuery(NamedTuple):
     k: int
 
 
-def _blocked(rows: DataFrame, block_items: int) -> DataFrame:
+def in_blocks(rows: DataFrame, large: int = LARGE_BASKET) -> DataFrame:
     """Attach each row's block and the largest line count of a node in its basket.
 
-    One-item baskets form no pair and fall out.
+    Baskets up to ``large`` items are one block; one-item baskets form no pair
+    and fall out.
     """
     nodes = rows.groupBy("basket", "node").agg(F.sum("lines").alias("_lines"), F.count("*").alias("_rows"))
     baskets = nodes.groupBy(F.col("basket").alias("_basket")).agg(
         F.sum("_rows").alias("_items"), F.max("_lines").alias("_most")).filter(F.col("_items") > 1)
-    blocks = F.ceil(F.col("_items") / block_items).cast("int")
+    blocks = F.ceil(F.col("_items") / large).cast("int")
     return rows.join(baskets, F.col("basket") == F.col("_basket")).select(
         "basket", "item", "node", "lines", "_most", blocks.alias("_blocks"),
         F.pmod(F.xxhash64("item"), blocks).cast("int").alias("_block"),
     )
 
 
-def _count_blocked(rows: DataFrame) -> DataFrame:
-    """Pairs (node_a, node_b) with item_a < item_b and their counts."""
-    def side(name: str, row, column) -> DataFrame:
-        return rows.select(
-            F.col("basket").alias(f"{name}_basket"), F.col("item").alias(f"{name}_item"),
-            F.col("node").alias(f"{name}_node"), F.col("lines").alias(f"{name}_lines"),
-            row.alias(f"{name}_row"), column.alias(f"{name}_column"),
-        )
+def _side(rows: DataFrame, name: str, **extra: Column) -> DataFrame:
+    return rows.select(
+        *[F.col(column).alias(f"{name}_{column}") for column in ("basket", "item", "node", "lines")],
+        *[column.alias(f"{name}_{label}") for label, column in extra.items()],
+    )
+
 
+def count_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (node_a, node_b) with item_a < item_b among rows that went through ``in_blocks``."""
     block, last = F.col("_block"), F.col("_blocks") - 1
-    one = side("l", block, F.explode(F.sequence(block, last)))
-    other = side("r", F.explode(F.sequence(F.lit(0), block)), block)
+    one = _side(rows, "l", row=block, column=F.explode(F.sequence(block, last)))
+    other = _side(rows, "r", row=F.explode(F.sequence(F.lit(0), block)), column=block)
     same_cell = (
         (F.col("l_basket") == F.col("r_basket"))
         & (F.col("l_row") == F.col("r_row")) & (F.col("l_column") == F.col("r_column"))
     )
-    # On the diagonal both sides hold the same block and each pair must be taken once.
-    once = (F.col("l_row") < F.col("l_column")) | (F.col("l_item") < F.col("r_item"))
     in_order = F.col("l_item") < F.col("r_item")
+    # On the diagonal both sides hold the same block and each pair must be taken once.
+    once = (F.col("l_row") < F.col("l_column")) | in_order
     return one.join(other, same_cell & once).groupBy(
         F.when(in_order, F.col("l_node")).otherwise(F.col("r_node")).alias("node_a"),
         F.when(in_order, F.col("r_node")).otherwise(F.col("l_node")).alias("node_b"),
     ).agg(F.sum(F.col("l_lines") * F.col("r_lines")).alias("pairs"))
 
 
-def pair_counts(rows: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """All pairs. ``rows`` has basket, item, node (what is counted) and lines."""
-    return _count_blocked(pin(_blocked(rows, block_items)))
+def _look_up(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Count the given pairs in the given baskets."""
+    wanted = pairs.select("node_a", "node_b")
+    first, second = _side(rows, "l"), _side(rows, "r")
+    with_first = wanted.join(first, F.col("node_a") == F.col("l_node"))
+    both = with_first.join(
+        second, (F.col("l_basket") == F.col("r_basket")) & (F.col("node_b") == F.col("r_node"))
+        & (F.col("l_item") < F.col("r_item")))
+    return both.groupBy("node_a", "node_b").agg(F.sum(F.col("l_lines") * F.col("r_lines")).alias("pairs"))
 
 
-def strongest_pairs(rows: DataFrame, wanted: PairQuery, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Every pair that may be among the best ``k`` of those reaching ``min_count``, with its exact count.
-
-    The caller orders and limits; pairs tied with the k-th are all included.
-    """
-    blocked = pin(_blocked(rows, block_items))
-    reach = blocked.groupBy("node").agg(F.sum(F.col("lines").cast("decimal(19,0)") * F.col("_most")).alias("_reach"))
-    # About 2k pairs among the leaders: a fixed number of nodes, whatever the data.
-    leaders = reach.orderBy(F.col("_reach").desc(), "node").limit(2 * math.isqrt(wanted.k) + 2)
-    leader_pairs = _count_blocked(_only(blocked, leaders)).orderBy(F.col("pairs").desc()).limit(wanted.k)
-    kth = F.when(F.count("*") == wanted.k, F.min("pairs"))
-    # One row; stored, since both the items and their pairs are held against it.
-    floor = pin(leader_pairs.agg(F.greatest(F.lit(wanted.min_count), kth).alias("_floor")))
-    able = reach.crossJoin(F.broadcast(floor)).filter(F.col("_reach") >= F.col("_floor"))
-    counted = _count_blocked(_only(blocked, able))
-    return counted.crossJoin(F.broadcast(floor)).filter(F.col("pairs") >= F.col("_floor")).drop("_floor")
+def _reach(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("node").agg(F.sum(F.col("lines").cast("decimal(19,0)") * F.col("_most")).alias("reach"))
 
 
 def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(nodes.select(F.col("node").alias("_node")), F.col("node") == F.col("_node"), "left_semi")
+
+
+def _with_large_baskets(small: DataFrame, large: DataFrame, floor: int) -> DataFrame:
+    """Pairs counted in small baskets, completed by what the large ones add."""
+    reach = pin(_reach(large))
+    strong = reach.filter(F.col("reach") >= floor)
+    reach_of = lambda side: reach.select(
+        F.col("node").alias(side), F.col("reach").alias(f"{side}_reach"))
+    least = F.least("node_a_reach", "node_b_reach")
+    # Both strong: counted by forming the pairs. Otherwise the rest of the way to the floor must be in reach.
+    open_pairs = (
+        small.join(reach_of("node_a"), "node_a").join(reach_of("node_b"), "node_b")
+        .filter((least < floor) & (F.col("pairs") + least >= floor))
+    )
+    parts = [small, count_pairs(_only(large, strong)), _look_up(open_pairs, large)]
+    return reduce(DataFrame.unionByName, parts).groupBy("node_a", "node_b").agg(F.sum("pairs").alias("pairs"))
+
+
+def strongest_pairs(rows: DataFrame, wanted: PairQuery, large: int = LARGE_BASKET) -> DataFrame:
+    """Every pair that may be among the best ``k`` of those reaching ``min_count``, with its exact count.
+
+    ``rows`` has basket, item, node (what is counted) and lines. The caller
+    orders and limits; pairs tied with the k-th are all included.
+    """
+    blocked = pin(in_blocks(rows, large))
+    reach = _reach(blocked)
+    # About 2k pairs among the leaders: a fixed number of nodes, whatever the data.
+    leaders = reach.orderBy(F.col("reach").desc(), "node").limit(2 * math.isqrt(wanted.k) + 2)
+    leading = count_pairs(_only(blocked, leaders)).orderBy(F.col("pairs").desc()).limit(wanted.k)
+    # One row: the k-th best count among the leaders' pairs, and the most blocks of a basket.
+    known = leading.agg(F.when(F.count("*") == wanted.k, F.min("pairs")).alias("kth")).crossJoin(
+        blocked.agg(F.max("_blocks").alias("blocks"))).first()
+    floor = max(wanted.min_count, known.kth or 0)
+    able = _only(blocked, reach.filter(F.col("reach") >= floor))
+    counted = count_pairs(able.filter(F.col("_blocks") == 1))
+    if (known.blocks or 1) > 1:
+        counted = _with_large_baskets(pin(counted), able.filter(F.col("_blocks") > 1), floor)
+    return counted.filter(F.col("pairs") >= floor)

@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators.dedup import one_row_per_key
 from tidewell.session import fresh_folder
 
 
@@ -47,15 +48,25 @@ def overwrite_touched(df: DataFrame, path: str, partition_by: Sequence[str], **l
     )
 
 
+def _near(stored: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Stored rows within the span of ``df`` on each directory column, found before the scan starts."""
+    for name in columns:
+        low, high = df.agg(F.min(name)).scalar(), df.agg(F.max(name)).scalar()
+        stored = stored.filter(F.col(name).isNull() | F.col(name).between(low, high))
+    return stored
+
+
 def append_new(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), **lineage) -> None:
     """Append the rows whose key is not stored yet; running it twice adds nothing.
 
-    When the directories are among the keys, only those that ``df`` touches are
-    searched (dynamic partition pruning).
+    Directory columns that belong to the key narrow the search to the span of
+    directories that ``df`` falls in.
     """
-    stored = df.sparkSession.read.parquet(path).select(*[F.col(key).alias(f"_{key}") for key in keys])
+    stored = df.sparkSession.read.parquet(path)
+    nearby = _near(stored, df, [name for name in partition_by if name in keys])
+    taken = nearby.select(*[F.col(key).alias(f"_{key}") for key in keys])
     same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    fresh = df.dropDuplicates(list(keys)).join(stored, same, "left_anti")
+    fresh = one_row_per_key(df, keys).join(taken, same, "left_anti")
     write_table(fresh, path, partition_by, mode="append", **lineage)
 
 
