@@ -1,13 +1,16 @@
 import datetime as dt
 import os
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tests.conftest import final_plan_of
 from tests.test_gold import DAYS, lake
-from tidewell.plans import gold, layer_queries, pipeline
+from tidewell.plans import business, gold, layer_queries, pipeline
+from tidewell.registry import sample_lake
 from tidewell.schemas import RAW_SCHEMAS, SOURCE_TABLES
 from tidewell.sources import lake as store
 from tidewell.sources.delimited import ingest_tables, read_delimited, split_malformed
@@ -137,5 +140,48 @@ def test_compaction_keeps_rows_and_other_directories(spark, tmp_path):
     assert spark.read.parquet(path).count() == 40
 
 
+def test_raw_schemas_have_the_full_column_lists():
+    assert {table: len(schema) for table, schema in RAW_SCHEMAS.items()} == {
+        "store_sales": 23, "customer": 18, "date_dim": 28, "item": 22, "store": 29}
+    types = {f.name: f.dataType.simpleString() for schema in RAW_SCHEMAS.values() for f in schema}
+    assert {name: types[name] for name in (
+        "ss_sold_date_sk", "ss_ticket_number", "ss_quantity", "ss_net_paid_inc_tax", "d_date", "d_date_id",
+        "d_current_year", "i_item_desc", "i_rec_end_date", "c_birth_year", "s_zip")} == {
+        "ss_sold_date_sk": "bigint", "ss_ticket_number": "bigint", "ss_quantity": "int",
+        "ss_net_paid_inc_tax": "decimal(12,2)", "d_date": "date", "d_date_id": "string", "d_current_year": "string",
+        "i_item_desc": "string", "i_rec_end_date": "date", "c_birth_year": "int", "s_zip": "string"}
+
+
+def test_delimited_files_to_gold(spark, tmp_path):
+    """The whole path on files: text, bronze, silver, gold, catalog, query."""
+    root = str(tmp_path)
+    sample = sample_lake(spark, "/root/testdata/sf0.001")
+    names = ("store_sales", "customer", "date_dim", "item", "store")
+    for name in names:
+        sample[f"bronze_{name}"].write.option("sep", "|").csv(f"{root}/raw/{name}")
+    schemas = {name: sample[f"bronze_{name}"].schema for name in names}
+    status = ingest_tables(spark, f"{root}/raw", f"{root}/bronze", names, schemas)
+    assert status.filter("status = 'ok'").count() == 5
+    pipeline.build_silver(spark, pipeline.stored_tables(spark, root), root)
+    pipeline.build_gold(spark, root)
+    for layer in ("silver", "gold"):
+        store.register_layer(spark, f"{root}/{layer}", f"{layer}_", "path_db")
+    lake_tables = CatalogTables(spark, "path_db")
+    for query in (lambda t: layer_queries.yearly_sales(t), lambda t: layer_queries.daily_sales_trend(t, 2000),
+                  lambda t: business.customer_retention(t)):
+        assert query(lake_tables).collect() == query(sample).collect()
+    spark.sql("DROP DATABASE path_db CASCADE")
+
+
+def test_append_searches_touched_directories_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.write_table(spark.range(6).withColumn("p", F.col("id").cast("int")), path, ["p"])
+    rows = spark.createDataFrame([(4, 4), (9, 5)], "id bigint, p int")
+    plan = final_plan_of(store._near(spark.read.parquet(path), rows, ["p"]))
+    assert re.search(r"PartitionFilters: \[.*subquery", plan)
+    store.append_new(rows, path, ["id", "p"], ["p"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4, 5, 9]
+
+
 def test_days_are_dates():
     assert all(int(day.strftime("%Y%m%d")) == key for key, day in DAYS)

@@ -138,7 +138,7 @@ def rfm_advanced(t: Tables, as_of: dt.date | None = None) -> DataFrame:
         "c_customer_id",
         F.concat("c_first_name", F.lit(" "), "c_last_name").alias("customer_name"),
         F.col("recency").alias("recency_days"), "frequency",
-        F.round("monetary", 2).alias("monetary_value"),
+        F.round("monetary", 2).cast("decimal(22,2)").alias("monetary_value"),
         "r_score", "f_score", "m_score",
         F.concat(*[score.cast("string") for score in (r, f, m)]).alias("rfm_score"),
         rfm_segment(r, f, m).alias("customer_segment"),

@@ -54,8 +54,6 @@ _TEXT = {"d_current_year"}
 
 def _type_of(column: str) -> T.DataType:
     if column not in _TEXT:
-        if column == "ss_net_paid_inc_tax":
-            return _MONEY
         for endings, data_type in _WORDS_TO_TYPE:
             if column.endswith(endings):
                 return data_type

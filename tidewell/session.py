@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Only takes effect when the context starts: drop stored results nobody refers to any more.
+CLEAN_CHECKPOINTS = "spark.cleaner.referenceTracking.cleanCheckpoints"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -32,7 +34,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "tidewell", master: str | None = None, **settings) -> SparkSession:
     """A session with the settings above; keyword names use ``__`` for dots."""
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config(CLEAN_CHECKPOINTS, "true")
     if master:
         builder = builder.master(master)
     for name, value in RUNTIME_SETTINGS.items():
