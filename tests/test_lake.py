@@ -140,6 +140,17 @@ def test_compaction_keeps_rows_and_other_directories(spark, tmp_path):
     assert spark.read.parquet(path).count() == 40
 
 
+def test_a_hot_directory_is_written_by_several_tasks(spark, setting, tmp_path):
+    setting(spark__sql__adaptive__advisoryPartitionSizeInBytes="100000",
+            spark__sql__adaptive__coalescePartitions__minPartitionSize="1000")
+    rows = spark.range(90_000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("p"), F.col("id"), F.hash("id").alias("h"))
+    store.write_table(rows, str(tmp_path / "t"), ["p"])
+    files = {p: len([f for f in os.listdir(tmp_path / "t" / f"p={p}") if f.endswith(".parquet")]) for p in range(20)}
+    assert files[0] > 2 and sum(files.values()) < 8 * 20
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 90_000
+
+
 def test_raw_schemas_have_the_full_column_lists():
     assert {table: len(schema) for table, schema in RAW_SCHEMAS.items()} == {
         "store_sales": 23, "customer": 18, "date_dim": 28, "item": 22, "store": 29}
