@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import sliced, texts
 
 # Distinct text bytes a map-side trie holds before it spills its heaviest subtree.
-TRIE_BYTES = 64 << 20
+TRIE_BYTES = 8 << 20
 
 
 def _shared(a: bytes, b: bytes) -> int:

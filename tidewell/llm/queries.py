@@ -11,11 +11,19 @@ from tidewell.llm.common import documents
 from tidewell.llm.exact import exact_groups
 from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.quality import quality_verdicts
 from tidewell.llm.sharding import shard_documents
+from tidewell.llm.simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return near_groups(documents(spark, folder), shingle=4, radius=4).select(
+        "doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(documents(spark, folder), min_docs=10, min_chars=1).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -26,6 +34,10 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder), keep="largest")
 
@@ -35,8 +47,10 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
 }
