@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import documents
+from tidewell.llm.common import crc_share, documents
 from tidewell.llm.exact import exact_groups
+from tidewell.llm.katz import score_documents
+from tidewell.llm.langid import identify, train
 from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.quality import quality_verdicts
@@ -24,6 +26,12 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = documents(spark, folder), crc_share(F.col("doc_id"), 3) == 1
+    return identify(docs, train(docs.filter(~held_out))).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "bits")
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(documents(spark, folder), min_docs=10, min_chars=1).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -34,6 +42,10 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(documents(spark, folder).withColumn("held_out", crc_share(F.col("doc_id"), 5) == 1))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -48,8 +60,10 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
