@@ -14,6 +14,7 @@ from tidewell.llm.langid import identify, train
 from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.quality import quality_verdicts
+from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.sharding import shard_documents
 from tidewell.llm.simhash import near_groups
 
@@ -58,6 +59,11 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(documents(spark, folder), limit=32 << 20)
 
 
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(documents(spark, folder), window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
@@ -67,4 +73,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
+    "op10_repeats": op10_repeats,
 }
