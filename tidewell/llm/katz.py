@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import sliced, stored
 
-SLICE = 16 << 20
+SLICE = 4 << 20
 PARTITION = 1 << 20
 # Good-Turing discounts apply to counts up to this; larger ones give up a hundredth of a count, so that every context
 # leaves some mass to what it was not seen with.
