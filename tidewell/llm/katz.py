@@ -46,7 +46,7 @@ def pack(values: np.ndarray) -> bytes:
 def unpack(data: bytes) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
     planes = pa.decompress(data[8:], decompressed_size=8 * size, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, size).T).view("<u8").ravel()
+    return np.frombuffer(planes, np.uint8).reshape(8, size).T.copy().view("<u8").ravel()
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -227,8 +227,9 @@ def _together(parts) -> np.ndarray:
 
 # What a slice knows of its documents, and what it asks of the partitions of contexts.
 _ASKED = """part long, slice long, keys binary, own binary, kinds binary, counts binary, unseen_at binary,
-            unseen_doc binary, unseen_n binary, doc int, doc_id {kind}, held_out boolean, n_tokens long, n_known long,
-            base_score double, score double"""
+            unseen_doc binary, unseen_n binary, doc_ids array<{kind}>, held array<boolean>, n_tokens binary,
+            n_known binary, base binary, score binary"""
+_DOCUMENTS = ["doc_ids", "held", "n_tokens", "n_known", "base", "score"]
 
 
 def _asked(model: _Model, bits: int, starts: int, schema: pa.Schema):
@@ -286,19 +287,19 @@ def _asked(model: _Model, bits: int, starts: int, schema: pa.Schema):
                     "counts": pack(contexts[order[low:high]]), "unseen_at": pack(asked_at[a:b] - low),
                     "unseen_doc": pack(asked_doc[a:b]), "unseen_n": pack(asked_n[a:b])})
             yield pa.RecordBatch.from_pylist(rows, schema)
-            spread = piece.id % (1 << bits)
             yield pa.RecordBatch.from_pylist([{
-                "part": spread, "slice": piece.id, "doc": doc, "doc_id": piece.doc_ids[doc],
-                "held_out": bool(piece.held[doc]), "n_tokens": int(piece.lengths[doc]), "n_known": int(known[doc]),
-                "base_score": float(base[doc]), "score": float(score[doc])} for doc in range(docs)], schema)
+                "part": piece.id % (1 << bits), "slice": piece.id, "doc_ids": piece.doc_ids, "held": row["held"],
+                "n_tokens": pack(piece.lengths), "n_known": pack(known), "base": base.tobytes(),
+                "score": score.tobytes()}], schema)
     return run
 
 
 def _weighted(model: _Model):
     """Backoff weights of a partition's contexts, and the sum of their logs that each document needs."""
     def run(table: pa.Table) -> pa.Table:
-        documents = table.filter(pc.is_valid(table.column("doc"))).select(
-            ["slice", "doc", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        documents = table.filter(pc.is_valid(table.column("score"))).select(["slice", "part", *_DOCUMENTS])
+        documents = documents.append_column("who", pa.nulls(len(documents), pa.binary())).append_column(
+            "sums", pa.nulls(len(documents), pa.binary()))
         rows = table.filter(pc.is_valid(table.column("keys"))).sort_by("slice").to_pylist()
         if not rows:
             return documents
@@ -312,21 +313,34 @@ def _weighted(model: _Model):
         taken = kinds[:, :RELIABLE] @ model.bigram_discounts[1:] - TRIM * kinds[:, RELIABLE] \
             + counts - kinds[:, :RELIABLE] @ few
         logs = np.log10(np.maximum(1 - taken / np.maximum(counts, 1), 1e-300) / np.maximum(1 - own, 1e-300))
-        start, answers = 0, [documents]
+        start, answers = 0, []
         for row, part in zip(rows, keys):
             at, doc, n = (unpack(row[name]).astype(np.int64) for name in ("unseen_at", "unseen_doc", "unseen_n"))
             if len(at):
                 sums = np.bincount(doc, weights=logs[number[start + at]] * n)
                 who = np.unique(doc)
-                answers.append(pa.table({
-                    "slice": pa.array([row["slice"]] * len(who), pa.int64()), "doc": pa.array(who, pa.int32()),
-                    "score": pa.array(sums[who])}))
+                answers.append({"slice": row["slice"], "part": row["part"], "who": pack(who),
+                                "sums": sums[who].tobytes()})
             start += len(part)
-        whole = pa.concat_tables(answers, promote_options="default")
-        return whole.select(documents.schema.names)
+        return pa.concat_tables([documents, pa.Table.from_pylist(answers, documents.schema)])
     return run
 
 
+def _collected(batches):
+    """The documents of each slice, with what the partitions answered added in the order of partitions."""
+    for batch in batches:
+        kind = batch.schema.field("doc_ids").type.value_type
+        for row in batch.to_pylist():
+            score = np.frombuffer(row["score"]).copy()
+            for part in row["parts"]:
+                np.add.at(score, unpack(part["who"]).astype(np.int64), np.frombuffer(part["sums"]))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(row["doc_ids"], kind), pa.array(row["held"], pa.bool_()),
+                pa.array(unpack(row["n_tokens"]).astype(np.int64)), pa.array(unpack(row["n_known"]).astype(np.int64)),
+                pa.array(np.frombuffer(row["base"])), pa.array(score),
+            ], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -359,13 +373,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
     schema = _arrow_schema(docs, asked)
     scored = answered.mapInArrow(_asked(model, bits, int(starts), schema), asked).groupBy("part").applyInArrow(
         _weighted(model),
-        f"slice long, doc int, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, "
-        "score double")
-    return scored.groupBy("slice", "doc").agg(
-        *[F.first(name, ignorenulls=True).alias(name) for name in ("doc_id", "held_out", "n_tokens", "n_known",
-                                                                   "base_score")],
-        # Summed as decimals: the order in which partitions answer must not show.
-        F.sum(F.col("score").cast("decimal(30,9)")).cast("double").alias("score"),
+        f"slice long, part long, doc_ids array<{kind}>, held array<boolean>, n_tokens binary, n_known binary, "
+        "base binary, score binary, who binary, sums binary")
+    return scored.groupBy("slice").agg(
+        *[F.first(name, ignorenulls=True).alias(name) for name in _DOCUMENTS],
+        F.sort_array(F.collect_list(F.when(F.col("who").isNotNull(), F.struct("part", "who", "sums")))).alias("parts"),
+    ).mapInArrow(
+        _collected, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.size).cast("long").alias("train_tokens"),
              "base_score", "score")
 
