@@ -13,11 +13,15 @@ from tidewell.llm.katz import score_documents
 from tidewell.llm.langid import identify, train
 from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.pieces import decode_documents, encode_documents, load_vocabulary
 from tidewell.llm.quality import quality_verdicts
 from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.sharding import shard_documents
 from tidewell.llm.simhash import near_groups
 
+# A public SentencePiece model; the operators take any path.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -43,6 +47,18 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to it (a literal vocabulary mark reads as a space)."""
+    vocabulary = load_vocabulary(VOCABULARY, kind="bpe")
+    # The digest of the text to come back goes with the id, so that the text itself need not.
+    expected = F.sha2(F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" ")), 256)
+    docs = documents(spark, folder).select(F.struct("doc_id", expected.alias("expected")).alias("doc"), "text")
+    decoded = decode_documents(encode_documents(docs, vocabulary, keep="doc"), vocabulary)
+    return decoded.select(
+        "doc.doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+        (F.sha2("decoded", 256) == F.col("doc.expected")).alias("round_trip"))
+
+
 def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(documents(spark, folder).withColumn("held_out", crc_share(F.col("doc_id"), 5) == 1))
 
@@ -69,6 +85,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
