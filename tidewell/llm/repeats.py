@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import sliced, stored, texts
 from tidewell.llm.katz import pack, pack_sorted, unpack, unpack_sorted
 
-SLICE = 4 << 20
+SLICE = 2 << 20
+# Windows whose anchors are found at once; a step copies all k-grams of each.
+STEP = 1 << 15
 PARTITION = 1 << 18
 # Least words of an anchor; longer for long windows, so that a region has 64 windows at most.
 ANCHOR = 8
@@ -127,7 +129,9 @@ def _regions(hashes: np.ndarray, lengths: np.ndarray, window: int):
     places = np.flatnonzero(np.arange(size - window + 1) + window <= ends[:size - window + 1])
     if not len(places):
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
-    least = (sliding_window_view(grams, window - anchor + 1).argmin(axis=1) + np.arange(size - window + 1))[places]
+    choices = sliding_window_view(grams, window - anchor + 1)
+    least = np.concatenate([choices[low:low + STEP].argmin(axis=1) for low in range(0, len(choices), STEP)])
+    least = (least + np.arange(size - window + 1))[places]
     first = np.flatnonzero(np.concatenate(
         ([True], (least[1:] != least[:-1]) | (places[1:] != places[:-1] + 1))))
     counts = np.diff(np.append(first, len(places)))
@@ -335,8 +339,7 @@ def _cut(wide: np.ndarray, window: int):
                 single = windows != ALL
                 found[single] = (found[single] & np.uint64(1)) << windows[single]
                 np.bitwise_or.at(masks, entries, found)
-            split = [document.split() for document in piece.documents]
-            lengths = np.array([len(words) for words in split], np.int64)
+            lengths = np.array([len(document.split()) for document in piece.documents], np.int64)
             change = np.zeros(int(lengths.sum()) + 1, np.int64)
             for place in range(int(piece.counts.max(initial=0))):
                 hit = piece.starts[(piece.counts > place) & (masks[piece.entries] >> np.uint64(place) & np.uint64(1) > 0)] \
@@ -346,7 +349,8 @@ def _cut(wide: np.ndarray, window: int):
             gone = np.cumsum(change[:-1]) > 0
             ends = np.cumsum(lengths)
             kept, removed = [], []
-            for words, end in zip(split, ends.tolist()):
+            for document, end in zip(piece.documents, ends.tolist()):
+                words = document.split()
                 out = gone[end - len(words):end]
                 removed.append(int(out.sum()))
                 kept.append(b" ".join(words if not removed[-1] else
