@@ -9,8 +9,8 @@ among equals. For such a model the fold makes exactly these merges over the same
 vocabulary become their bytes' pieces.
 
 Documents are read in slices. A slice asks for the ids of its distinct units, partition by partition, and gets them
-back in the order it asked; its text moves once, compressed, to meet them. A unit that a third of all words are is
-asked for once per slice.
+back in the order it asked; its texts move once, as numbers of its units, to meet them. A unit that a third of all
+words are is asked for once per slice.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ import re
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -33,6 +32,8 @@ from tidewell.llm.katz import pack, unpack
 MARK = "▁"  # how the vocabulary writes a space
 # Units up to this length keep their boundaries in the bits of a long; longer ones merge with a heap.
 SHORT = 62
+# Text of a slice: small, as a task holds each of its words.
+SLICE = 4 << 20
 # What an unknown character costs below the lowest score on a unigram path.
 UNKNOWN_PENALTY = 10.0
 
@@ -77,41 +78,70 @@ def _units(text: bytes, splitter: re.Pattern) -> list[bytes]:
     return splitter.findall(b" " + text.replace(MARK.encode(), b" ")) if text else []
 
 
-def _distinct(split: list[list[bytes]], parts: int):
-    """Number of each unit, the distinct units, and their order by partition (stable)."""
-    encoded = pa.array([unit for units in split for unit in units], pa.large_binary()).dictionary_encode()
+def _distinct(batch: pa.RecordBatch, splitter: re.Pattern, parts: int):
+    """Units of each text, the number of each unit, the distinct units, their partitions and the order of asking."""
+    split = [_units(text, splitter) for text in texts(batch)]
+    encoded = pa.array([unit for found in split for unit in found], pa.large_binary()).dictionary_encode()
     units = encoded.dictionary.to_pylist()
-    part = np.array([xxhash.xxh64_intdigest(unit) % parts for unit in units], np.int64)
-    return encoded.indices.to_numpy(zero_copy_only=False), units, part, np.argsort(part, kind="stable")
+    part = [xxhash.xxh64_intdigest(unit) % parts for unit in units]
+    order = sorted(range(len(units)), key=lambda number: (part[number], units[number]))
+    lengths = np.array([len(found) for found in split], np.int64)
+    return lengths, encoded.indices.to_numpy(zero_copy_only=False), units, part, order
+
+
+def _pack_units(units: list[bytes]) -> bytes:
+    blob = b"".join(units)
+    lengths = pack(np.array([len(unit) for unit in units], np.int64))
+    return len(lengths).to_bytes(8, "little") + lengths + len(blob).to_bytes(8, "little") + pa.compress(
+        blob, codec="zstd", asbytes=True)
+
+
+def _unpack_units(data: bytes) -> list[str]:
+    size = 8 + int.from_bytes(data[:8], "little")
+    ends = np.cumsum(unpack(data[8:size]).astype(np.int64))
+    blob = pa.decompress(data[size + 8:], decompressed_size=int.from_bytes(data[size:size + 8], "little"),
+                         codec="zstd", asbytes=True)
+    return [blob[start:end].decode() for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 def _asked(splitter: re.Pattern, parts: int):
+    """A slice's distinct units, partition by partition."""
     def run(batches):
-        for batch in sliced(batches):
-            _, units, part, order = _distinct([_units(text, splitter) for text in texts(batch)], parts)
-            if len(units):
-                edges = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) > 0)))
+        for batch in sliced(batches, limit=SLICE):
+            _, _, units, part, order = _distinct(batch, splitter, parts)
+            if order:
+                sorted_parts = np.array([part[number] for number in order])
+                edges = [0, *(np.flatnonzero(np.diff(sorted_parts)) + 1).tolist(), len(order)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(part[order[edges]].astype(np.int32)),
-                    pa.array([batch.column("row")[0].as_py()] * len(edges), pa.int64()),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.append(edges, len(order)), pa.int32()),
-                        pa.array([units[place] for place in order.tolist()], pa.binary()).cast(pa.string())),
+                    pa.array(sorted_parts[edges[:-1]].astype(np.int32)),
+                    pa.array([batch.column("row")[0].as_py()] * (len(edges) - 1), pa.int64()),
+                    pa.array([_pack_units([units[number] for number in order[low:high]])
+                              for low, high in zip(edges, edges[1:])]),
                 ], ["part", "slice", "units"])
     return run
 
 
-def _packed(batches):
-    """A slice's documents, compressed for the way to their ids."""
-    for batch in sliced(batches):
-        content = texts(batch)
-        blob = b"".join(content)
-        yield pa.RecordBatch.from_arrays([
-            batch.column("row").slice(0, 1),
-            pa.array([batch.column("kept").to_pylist()], pa.list_(batch.schema.field("kept").type)),
-            pa.array([pack(np.array([len(text) for text in content], np.int64))]),
-            pa.array([pa.compress(blob, codec="zstd", asbytes=True)]),
-        ], ["slice", "kept", "lengths", "blob"])
+def _numbered(splitter: re.Pattern, parts: int):
+    """A slice's documents as numbers of its distinct units, frequent ones small, and where those stand in the order
+    of asking."""
+    def run(batches):
+        for batch in sliced(batches, limit=SLICE):
+            lengths, numbers, units, _, order = _distinct(batch, splitter, parts)
+            frequent = np.argsort(-np.bincount(numbers, minlength=len(units)), kind="stable")
+            rank, place = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+            rank[frequent], place[order] = np.arange(len(units)), np.arange(len(units))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row").slice(0, 1),
+                pa.array([batch.column("kept").to_pylist()], pa.list_(batch.schema.field("kept").type)),
+                pa.array([pack(lengths)]), pa.array([pack(rank[numbers])]), pa.array([pack(place[frequent])]),
+            ], ["slice", "kept", "lengths", "numbers", "places"])
+    return run
+
+
+def _distinct_units(table: pa.Table) -> pa.Table:
+    found = sorted(set().union(*[_unpack_units(data) for data in table.column("units").to_pylist()]))
+    part = table.column("part")[0].as_py()
+    return pa.table({"part": pa.array([part] * len(found), pa.int32()), "unit": pa.array(found, pa.string())})
 
 
 def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -190,8 +220,8 @@ def _byte_pieces(character: Column, vocabulary: Vocabulary) -> Column:
         lambda at: F.conv(F.substring(digits, at, F.lit(2)), 16, 10).cast("int") + first)
 
 
-def _merge_long(vocabulary: Vocabulary):
-    """Ids of units too long for bits: the same merges with a heap; or Viterbi over arrays."""
+def _long_encoder(vocabulary: Vocabulary):
+    """Ids of a unit too long for bits: the same merges with a heap, or Viterbi over lists."""
     byte_ids, unknown, bpe = vocabulary.byte_ids, vocabulary.unknown, vocabulary.kind == "bpe"
     floor = min((score for _, _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
 
@@ -241,15 +271,11 @@ def _merge_long(vocabulary: Vocabulary):
             start = after[start]
         return ids
 
-    @F.pandas_udf("array<int>")
-    def long_ids(units: pd.Series, edges: pd.Series) -> pd.Series:
-        return pd.Series([None if unit is None else encode(unit, list(found)) for unit, found in zip(units, edges)],
-                         dtype=object)
-    return long_ids
+    return encode
 
 
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """part, unit and ids of distinct non-empty units (columns part and unit)."""
+    """part, unit and ids of distinct non-empty units (columns part and unit); for long ones edges instead of ids."""
     lattice = _edge_rows(units, vocabulary)
     size, edges = F.least(F.col("size"), F.lit(SHORT)), F.col("edges")
     if vocabulary.kind == "bpe":
@@ -270,25 +296,37 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     short_ids = F.flatten(F.transform(looked_up, lambda number: F.when(number >= 0, F.array(number)).otherwise(
         _byte_pieces(F.substring(F.col("unit"), -number, F.lit(1)), vocabulary))))
     long = F.col("size") > SHORT
-    long_ids = _merge_long(vocabulary)(F.when(long, F.col("unit")), F.when(long, edges))
-    return folded.withColumn("long_ids", long_ids).select(
-        "part", "unit", F.when(long, F.col("long_ids")).otherwise(short_ids).alias("ids"))
-
-
-def _answered(asked: pa.Table, encoded: pa.Table) -> pa.Table:
-    """The ids of each slice's units of a partition, in the order asked."""
-    place = {unit: number for number, unit in enumerate(encoded.column("unit").to_pylist())}
-    ids = encoded.column("ids").combine_chunks()
-    sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)
-    rows = []
-    for number, units in zip(asked.column("slice").to_pylist(), asked.column("units").to_pylist()):
-        wanted = np.array([place[unit] for unit in units], np.int64)
-        rows.append((number, pack(sizes[wanted]), pack(_gather(flat, (ends - sizes)[wanted], sizes[wanted]))))
-    return pa.table({
-        "slice": pa.array([row[0] for row in rows], pa.int64()), "part": asked.column("part"),
-        "sizes": pa.array([row[1] for row in rows], pa.binary()),
-        "ids": pa.array([row[2] for row in rows], pa.binary())})
+    return folded.select(
+        "part", "unit", F.when(~long, short_ids).alias("ids"), F.when(long, edges).alias("edges"))
+
+
+def _answered(vocabulary: Vocabulary):
+    def run(asked: pa.Table, encoded: pa.Table) -> pa.Table:
+        """The ids of each slice's units of a partition, in the order asked."""
+        encode = _long_encoder(vocabulary)
+        units, ids = encoded.column("unit").to_pylist(), encoded.column("ids").combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = [ids.flatten().to_numpy(zero_copy_only=False)]
+        starts = np.cumsum(sizes) - sizes
+        held = len(flat[0])
+        edges = encoded.column("edges")
+        for row in np.flatnonzero(pc.is_valid(edges).to_numpy()).tolist():
+            found = encode(units[row], edges[row].as_py())
+            flat.append(np.array(found, np.int32))
+            starts[row], sizes[row] = held, len(found)
+            held += len(found)
+        flat = np.concatenate(flat)
+        place = {unit: row for row, unit in enumerate(units)}
+        rows = []
+        for number, part, data in zip(*[asked.column(name).to_pylist() for name in ("slice", "part", "units")]):
+            wanted = np.array([place[unit] for unit in _unpack_units(data)], np.int64)
+            rows.append({"slice": number, "part": part, "sizes": pack(sizes[wanted]),
+                         "ids": pack(_gather(flat, starts[wanted], sizes[wanted]))})
+        return pa.Table.from_pylist(rows, _ANSWER)
+    return run
+
+
+_ANSWER = pa.schema([("slice", pa.int64()), ("part", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())])
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -298,36 +336,23 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(starts, sizes)]
 
 
-def _assembled(splitter: re.Pattern, parts: int):
-    def run(batches):
-        for batch in batches:
-            kept_type = batch.schema.field("kept").type.value_type
-            for row in batch.to_pylist():
-                lengths = unpack(row["lengths"]).astype(np.int64)
-                blob = pa.decompress(
-                    row["blob"], decompressed_size=int(lengths.sum()), codec="zstd", asbytes=True)
-                ends = np.cumsum(lengths)
-                split = [_units(blob[end - length:end], splitter) for end, length in zip(ends.tolist(), lengths.tolist())]
-                number, units, _, order = _distinct(split, parts)
-                answers = row["answers"] or []
-                sizes = np.concatenate([unpack(part["sizes"]) for part in answers] or [np.zeros(0)]).astype(np.int64)
-                if len(sizes) != len(units):
-                    raise RuntimeError("the documents changed between two readings; store them first")
-                flat = np.concatenate([unpack(part["ids"]) for part in answers] or [np.zeros(0)]).astype(np.int32)
-                starts = np.empty(len(units), np.int64)
-                starts[order] = np.cumsum(sizes) - sizes
-                own = np.empty(len(units), np.int64)
-                own[order] = sizes
-                per_unit = own[number]
-                ids = _gather(flat, starts[number], per_unit)
-                unit_ends = np.cumsum([len(found) for found in split])
-                running = np.concatenate(([0], np.cumsum(per_unit)))
-                bounds = np.concatenate(([0], running[unit_ends])) if len(split) else np.zeros(1, np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(row["kept"], kept_type),
-                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
-                ], ["kept", "ids"])
-    return run
+def _assembled(batches):
+    for batch in batches:
+        kind = batch.schema.field("kept").type.value_type
+        for row in batch.to_pylist():
+            lengths, numbers, places = (unpack(row[name]).astype(np.int64) for name in ("lengths", "numbers", "places"))
+            answers = row["answers"] or []
+            sizes = np.concatenate([unpack(part["sizes"]) for part in answers] or [np.zeros(0)]).astype(np.int64)
+            if len(sizes) != len(places):
+                raise RuntimeError("the documents changed between two readings; store them first")
+            flat = np.concatenate([unpack(part["ids"]) for part in answers] or [np.zeros(0)]).astype(np.int32)
+            starts = (np.cumsum(sizes) - sizes)[places]
+            per_unit = sizes[places][numbers]
+            bounds = np.concatenate(([0], np.cumsum(per_unit)))[np.concatenate(([0], np.cumsum(lengths)))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(row["kept"], kind), pa.ListArray.from_arrays(
+                    pa.array(bounds, pa.int32()), pa.array(_gather(flat, starts[numbers], per_unit), pa.int32())),
+            ], ["kept", "ids"])
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_id") -> DataFrame:
@@ -344,17 +369,18 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_i
     parts = 4 * partitions
     rows = docs.select(docs[keep].alias("kept"), "text", F.monotonically_increasing_id().alias("row"))
     asked = rows.select("row", "text").mapInArrow(
-        _asked(splitter, parts), "part int, slice long, units array<string>").repartition(partitions, "part")
-    units = asked.select("part", F.explode("units").alias("unit")).distinct()
+        _asked(splitter, parts), "part int, slice long, units binary")
+    units = asked.groupBy("part").applyInArrow(_distinct_units, "part int, unit string").repartition(partitions, "part")
     encoded = encode_units(units, vocabulary).withColumnRenamed("part", "encoded_part")
     answered = asked.groupBy("part").cogroup(encoded.groupBy("encoded_part")).applyInArrow(
-        _answered, "slice long, part int, sizes binary, ids binary")
+        _answered(vocabulary), "slice long, part int, sizes binary, ids binary")
     answers = answered.groupBy("slice").agg(
         F.sort_array(F.collect_list(F.struct("part", "sizes", "ids"))).alias("answers"))
     kind = docs.schema[keep].dataType.simpleString()
-    packed = rows.mapInArrow(_packed, f"slice long, kept array<{kind}>, lengths binary, blob binary")
-    return packed.join(answers, "slice", "left").mapInArrow(
-        _assembled(splitter, parts), f"kept {kind}, ids array<int>").withColumnRenamed("kept", keep)
+    numbered = rows.mapInArrow(
+        _numbered(splitter, parts), f"slice long, kept array<{kind}>, lengths binary, numbers binary, places binary")
+    return numbered.join(answers, "slice", "left").mapInArrow(
+        _assembled, f"kept {kind}, ids array<int>").withColumnRenamed("kept", keep)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
