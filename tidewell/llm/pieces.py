@@ -3,7 +3,7 @@
 A text is a row of units: spaces (the dummy one in front included) and what follows them, cut also around characters
 that no longer piece holds, so no piece crosses a unit. Substrings of the distinct units, up to the longest piece,
 are exploded and equi-joined with the piece table (a vocabulary of fixed size, so it is broadcast); the edges found
-are grouped by unit and folded with a higher-order aggregate: for a unigram model by Viterbi, the best total score.
+are grouped by unit and folded to boundaries with a higher-order aggregate: for a unigram model by Viterbi, the best total score.
 The ids of a BPE model are not those of the best path: its encoder merges neighbours, best score first and leftmost
 among equals. For such a model the fold makes exactly these merges over the same edges. Characters outside the
 vocabulary become their bytes' pieces.
@@ -145,178 +145,177 @@ def _distinct_units(table: pa.Table) -> pa.Table:
 
 
 def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """part, unit, size and edges (cost, start, stop, id), by cost and then from the left."""
-    spark = units.sparkSession
-    table = spark.createDataFrame(vocabulary.pieces, "piece string, id int, score double")
+    """part, unit, size and edges, the pieces of two characters or more that stand in the unit.
+
+    An edge of a BPE model is one long: its rank among the scores (equal scores share it), start and length, so edges
+    sort by score and then from the left. An edge of a unigram model is a struct of score, start and stop.
+    """
+    longer = [(piece, score) for piece, _, score in vocabulary.pieces if len(piece) > 1]
+    ranks = {score: rank for rank, score in enumerate(sorted({score for _, score in longer}, reverse=True))}
+    if vocabulary.longest > 127 or len(ranks) >= 1 << 20:
+        raise ValueError("pieces are too long or too many")
+    table = units.sparkSession.createDataFrame(
+        [(piece, score, ranks[score] << 43) for piece, score in longer], "piece string, score double, rank long")
+    # Joined by hash, which is compared faster than text, and then by the text itself.
+    table = table.withColumn("hash", F.xxhash64("piece"))
     starts = units.withColumn("size", F.length("unit")).withColumn(
         "start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
+    # The last start has no longer piece; its one span keeps the unit in the result.
     spans = starts.withColumn("stop", F.explode(F.sequence(
-        F.col("start") + 1, F.least(F.col("start") + vocabulary.longest, F.col("size")))))
-    joined = spans.withColumn("piece", F.expr("substring(unit, start + 1, stop - start)")).join(
-        F.broadcast(table), "piece", "left")
-    # Units of unknown characters only keep one row without an edge.
-    useful = joined.filter(F.col("id").isNotNull() | ((F.col("start") == 0) & (F.col("stop") == 1)))
-    edge = F.struct((-F.col("score")).alias("cost"), "start", "stop", "id")
+        F.least(F.col("start") + 2, F.col("size")), F.least(F.col("start") + vocabulary.longest, F.col("size")))))
+    cut = spans.withColumn("cut", F.expr("substring(unit, start + 1, stop - start)")).withColumn(
+        "cut_hash", F.xxhash64("cut"))
+    joined = cut.join(
+        F.broadcast(table), (F.col("cut_hash") == F.col("hash")) & (F.col("cut") == F.col("piece")), "left")
+    useful = joined.filter(F.col("rank").isNotNull() | (F.col("start") == F.col("size") - 1))
+    if vocabulary.kind == "bpe":
+        edge = F.col("rank") + F.col("start").cast("long") * 128 + (F.col("stop") - F.col("start"))
+    else:
+        edge = F.struct("score", "start", "stop")
     return useful.groupBy("part", "unit", "size").agg(
-        F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
+        F.sort_array(F.collect_list(F.when(F.col("rank").isNotNull(), edge))).alias("edges"))
 
 
 def _bit(place: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
 
 
-def _merges(size: Column, edges: Column) -> Column:
-    """Boundaries left by BPE, as bits of a long: each step makes the first merge of two neighbours there is."""
-    masked = F.transform(F.filter(edges, lambda e: e["stop"] - e["start"] > 1), lambda e: F.struct(
-        _bit(e["start"]).bitwiseOR(_bit(e["stop"])).alias("ends"),
-        (_bit(e["stop"]) - _bit(e["start"] + 1)).alias("inside")))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once. A column used inside a lambda would be computed again for each
+    element, since the optimiser puts its expression in."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def step(bounds: Column, _) -> Column:
-        first = F.get(F.filter(masked_column, lambda e: (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (
-            F.bit_count(bounds.bitwiseAND(e["inside"])) == 1)), F.lit(0))
-        return F.coalesce(bounds.bitwiseAND(F.bitwise_not(first["inside"])), bounds)
 
-    masked_column = F.col("masked")
-    steps = F.slice(F.sequence(F.lit(0), size), F.lit(1), F.greatest(size - 1, F.lit(0)))
-    return masked, F.aggregate(steps, _bit(size + 1) - 1, step)
+def _merged(size: Column, edges: Column) -> Column:
+    """Boundaries left by BPE, as bits: each step makes the first merge of two neighbours there is."""
+    def masks(edge: Column) -> Column:
+        start = F.shiftright(edge, 7).bitwiseAND(F.lit((1 << 36) - 1)).cast("int")
+        stop = start + edge.bitwiseAND(F.lit(127)).cast("int")
+        return F.struct((_bit(start) + _bit(stop)).alias("ends"), (_bit(stop) - _bit(start + 1)).alias("inside"))
 
+    def fold(masked: Column) -> Column:
+        def step(bounds: Column, _) -> Column:
+            first = F.get(F.filter(masked, lambda e: (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (
+                F.bit_count(bounds.bitwiseAND(e["inside"])) == 1)), F.lit(0))
+            return F.coalesce(bounds.bitwiseAND(F.bitwise_not(first["inside"])), bounds)
 
-def _viterbi(size: Column, edges: Column, floor: float) -> Column:
-    """Starts of the pieces on the path of the best total score, last piece first.
+        steps = F.slice(F.sequence(F.lit(0), size), F.lit(1), F.least(F.size(masked), size - 1))
+        return F.aggregate(steps, _bit(size + 1) - 1, step)
+    return _let(F.transform(edges, masks), fold)
 
-    Folds over the ends of prefixes; the state holds of each prefix the best score and where its last piece starts.
+
+def _best_path(size: Column, edges: Column, singles: dict[str, float], floor: float) -> Column:
+    """Boundaries of the path of the best total score, as bits, by Viterbi.
+
+    The fold runs over the ends of prefixes; its state holds of each prefix the best score and the boundaries of the
+    path to it. A character is always a step: with its own score, or the floor if it has no piece.
     """
-    state = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start")))
+    empty = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(1).cast("long").alias("bounds")))
+    own = F.create_map(*[F.lit(item) for pair in singles.items() for item in pair]) if singles else None
 
     def step(best: Column, end: Column) -> Column:
-        known = F.transform(F.filter(edges, lambda e: e["stop"] == end), lambda e: F.struct(
-            (F.get(best, e["start"])["score"] - e["cost"]).alias("score"), e["start"].cast("int").alias("start")))
-        # A character without a piece of its own may stand as unknown.
-        single = F.filter(edges, lambda e: (e["stop"] == end) & (e["start"] == end - 1))
-        unknown = F.when(F.size(single) == 0, F.array(F.struct(
-            (F.get(best, end - 1)["score"] + F.lit(floor)).alias("score"), (end - 1).cast("int").alias("start"))))
-        options = F.concat(known, F.coalesce(unknown, F.slice(known, F.lit(1), F.lit(0))))
-        return F.concat(best, F.array(F.array_max(options)))
-
-    table = F.aggregate(F.sequence(F.lit(1), size), state, step)
-    back = F.struct(size.cast("int").alias("at"), F.array().cast("array<int>").alias("starts"))
-    walk = F.aggregate(
-        F.sequence(F.lit(1), size), back,
-        lambda at, _: F.when(at["at"] == 0, at).otherwise(F.struct(
-            F.get(F.col("table"), at["at"])["start"].alias("at"),
-            F.concat(at["starts"], F.array(F.get(F.col("table"), at["at"])["start"])).alias("starts"))))
-    return table, F.reverse(walk["starts"])
-
-
-def _byte_pieces(character: Column, vocabulary: Vocabulary) -> Column:
-    if not vocabulary.byte_ids:
-        return F.array(F.lit(vocabulary.unknown))
-    digits = F.hex(F.encode(character, "utf-8"))
-    first = vocabulary.byte_ids[0]
-    if vocabulary.byte_ids != list(range(first, first + 256)):
-        raise ValueError("byte pieces with scattered ids are not supported")
-    return F.transform(
-        F.sequence(F.lit(1), F.length(digits), F.lit(2)),
-        lambda at: F.conv(F.substring(digits, at, F.lit(2)), 16, 10).cast("int") + first)
-
-
-def _long_encoder(vocabulary: Vocabulary):
-    """Ids of a unit too long for bits: the same merges with a heap, or Viterbi over lists."""
-    byte_ids, unknown, bpe = vocabulary.byte_ids, vocabulary.unknown, vocabulary.kind == "bpe"
-    floor = min((score for _, _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
-
-    def encode(unit: str, edges: list) -> list[int]:
-        by_span = {(e["start"], e["stop"]): (e["cost"], e["id"]) for e in edges}
-        after, before = list(range(1, len(unit) + 1)), list(range(-1, len(unit) - 1))
-        if bpe:
-            heap = []
-
-            def offer(start: int) -> None:
-                middle = after[start]
-                if middle < len(unit) and (found := by_span.get((start, after[middle]))):
-                    heapq.heappush(heap, (found[0], start, middle, after[middle]))
-
-            for start in range(len(unit) - 1):
-                offer(start)
-            alive = [True] * len(unit)
-            while heap:
-                _, start, middle, stop = heapq.heappop(heap)
-                if not (alive[start] and after[start] == middle and middle < len(unit) and alive[middle]
-                        and after[middle] == stop):
-                    continue
+        def option(start: Column, gain: Column) -> Column:
+            before = F.get(best, start)
+            return F.struct((before["score"] + gain).alias("score"),
+                            before["bounds"].bitwiseOR(_bit(end)).alias("bounds"))
+
+        character = F.substring(F.col("unit"), end, F.lit(1))
+        alone = F.lit(floor) if own is None else F.coalesce(F.try_element_at(own, character), F.lit(floor))
+        longer = F.transform(
+            F.filter(edges, lambda e: e["stop"] == end), lambda e: option(e["start"], e["score"]))
+        return F.concat(best, F.array(F.array_max(F.concat(longer, F.array(option(end - 1, alone))))))
+
+    return F.get(F.aggregate(F.sequence(F.lit(1), size), empty, step), size)["bounds"]
+
+
+def _floor(vocabulary: Vocabulary) -> float:
+    return min((score for _, _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
+
+
+def _long_starts(unit: str, edges: list, vocabulary: Vocabulary, singles: dict[str, float]) -> list[int]:
+    """Where the pieces of a unit too long for bits start: the same merges with a heap, or Viterbi over lists."""
+    size = len(unit)
+    if vocabulary.kind == "bpe":
+        ranks = {(edge >> 7 & (1 << 36) - 1, edge & 127): edge >> 43 for edge in edges}
+        after, before, alive = list(range(1, size + 1)), list(range(-1, size - 1)), [True] * size
+        heap: list[tuple] = []
+
+        def offer(start: int) -> None:
+            middle = after[start]
+            if middle < size and (rank := ranks.get((start, after[middle] - start))) is not None:
+                heapq.heappush(heap, (rank, start, middle, after[middle]))
+
+        for start in range(size):
+            offer(start)
+        while heap:
+            _, start, middle, stop = heapq.heappop(heap)
+            if alive[start] and after[start] == middle and alive[middle] and after[middle] == stop:
                 alive[middle], after[start] = False, stop
-                if stop < len(unit):
+                if stop < size:
                     before[stop] = start
-                    offer(start)
+                offer(start)
                 if before[start] >= 0:
                     offer(before[start])
-        else:
-            ending: dict[int, list] = {}
-            for e in edges:
-                ending.setdefault(e["stop"], []).append(e)
-            best = [(0.0, 0)]
-            for end in range(1, len(unit) + 1):
-                options = [(best[e["start"]][0] - e["cost"], e["start"]) for e in ending.get(end, ())]
-                if (end - 1, end) not in by_span:
-                    options.append((best[end - 1][0] + floor, end - 1))
-                best.append(max(options))
-            end = len(unit)
-            while end:
-                after[best[end][1]], end = end, best[end][1]
-        ids, start = [], 0
-        while start < len(unit):
-            found = by_span.get((start, after[start]))
-            ids.extend([found[1]] if found else
-                       [byte_ids[byte] for byte in unit[start].encode()] if byte_ids else [unknown])
-            start = after[start]
-        return ids
-
-    return encode
-
-
-def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """part, unit and ids of distinct non-empty units (columns part and unit); for long ones edges instead of ids."""
+        return [start for start in range(size) if alive[start]]
+    ending: dict[int, list] = {}
+    for edge in edges:
+        ending.setdefault(edge["stop"], []).append((edge["start"], edge["score"]))
+    best = [(0.0, 0)]
+    for end in range(1, size + 1):
+        options = [(end - 1, singles.get(unit[end - 1], _floor(vocabulary))), *ending.get(end, ())]
+        best.append(max((best[start][0] + score, start) for start, score in options))
+    starts, end = [], size
+    while end:
+        end = best[end][1]
+        starts.append(end)
+    return starts[::-1]
+
+
+def cut_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """part, unit and bounds of distinct non-empty units: bit i is set where a piece starts or the unit ends.
+
+    Units longer than ``SHORT`` have their edges instead.
+    """
     lattice = _edge_rows(units, vocabulary)
-    size, edges = F.least(F.col("size"), F.lit(SHORT)), F.col("edges")
-    if vocabulary.kind == "bpe":
-        masked, bounds = _merges(size, edges)
-        folded = lattice.withColumn("masked", masked).withColumn(
-            "bounds", F.when(F.col("size") <= SHORT, bounds)).withColumn("starts", F.filter(
-                F.sequence(F.lit(0), size - 1), lambda at: F.col("bounds").bitwiseAND(_bit(at)) != 0)).drop("masked")
-    else:
-        floor = min((score for _, _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
-        table, starts = _viterbi(size, edges, floor)
-        short = F.col("size") <= SHORT
-        folded = lattice.withColumn("table", F.when(short, table)).withColumn(
-            "starts", F.when(short, starts)).drop("table")
-    stop = lambda place: F.coalesce(F.get("starts", place + 1), F.col("size"))
-    found = lambda start, place: F.get(F.filter(
-        "edges", lambda e: (e["start"] == start) & (e["stop"] == stop(place))), F.lit(0))["id"]
-    looked_up = F.transform("starts", lambda start, place: F.coalesce(found(start, place), -1 - start))
-    short_ids = F.flatten(F.transform(looked_up, lambda number: F.when(number >= 0, F.array(number)).otherwise(
-        _byte_pieces(F.substring(F.col("unit"), -number, F.lit(1)), vocabulary))))
-    long = F.col("size") > SHORT
-    return folded.select(
-        "part", "unit", F.when(~long, short_ids).alias("ids"), F.when(long, edges).alias("edges"))
+    size, edges, long = F.least(F.col("size"), F.lit(SHORT)), F.col("edges"), F.col("size") > SHORT
+    singles = {piece: score for piece, _, score in vocabulary.pieces if len(piece) == 1}
+    bounds = _merged(size, edges) if vocabulary.kind == "bpe" else _best_path(
+        size, edges, singles, _floor(vocabulary))
+    return lattice.select("part", "unit", F.when(~long, bounds).alias("bounds"), F.when(long, edges).alias("edges"))
 
 
 def _answered(vocabulary: Vocabulary):
-    def run(asked: pa.Table, encoded: pa.Table) -> pa.Table:
+    number_of = {piece: number for piece, number, _ in vocabulary.pieces}
+    singles = {piece: score for piece, _, score in vocabulary.pieces if len(piece) == 1}
+    byte_ids, unknown = vocabulary.byte_ids, vocabulary.unknown
+
+    def ids_of(unit: str, bounds: int | None, edges: list | None) -> list[int]:
+        if bounds is None:
+            starts = [*_long_starts(unit, edges, vocabulary, singles), len(unit)]
+        else:
+            starts = []
+            while bounds:
+                starts.append((bounds & -bounds).bit_length() - 1)
+                bounds &= bounds - 1
+        ids = []
+        for start, stop in zip(starts, starts[1:]):
+            number = number_of.get(unit[start:stop])
+            if number is not None:
+                ids.append(number)
+            elif byte_ids:
+                ids.extend([byte_ids[byte] for byte in unit[start].encode()])
+            else:
+                ids.append(unknown)
+        return ids
+
+    def run(asked: pa.Table, cut: pa.Table) -> pa.Table:
         """The ids of each slice's units of a partition, in the order asked."""
-        encode = _long_encoder(vocabulary)
-        units, ids = encoded.column("unit").to_pylist(), encoded.column("ids").combine_chunks()
-        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = [ids.flatten().to_numpy(zero_copy_only=False)]
-        starts = np.cumsum(sizes) - sizes
-        held = len(flat[0])
-        edges = encoded.column("edges")
-        for row in np.flatnonzero(pc.is_valid(edges).to_numpy()).tolist():
-            found = encode(units[row], edges[row].as_py())
-            flat.append(np.array(found, np.int32))
-            starts[row], sizes[row] = held, len(found)
-            held += len(found)
-        flat = np.concatenate(flat)
-        place = {unit: row for row, unit in enumerate(units)}
+        units = cut.column("unit").to_pylist()
+        found = [ids_of(*row) for row in zip(
+            units, cut.column("bounds").to_pylist(), cut.column("edges").to_pylist())]
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        flat = np.array([number for ids in found for number in ids], np.int32)
+        starts, place = np.cumsum(sizes) - sizes, {unit: row for row, unit in enumerate(units)}
         rows = []
         for number, part, data in zip(*[asked.column(name).to_pylist() for name in ("slice", "part", "units")]):
             wanted = np.array([place[unit] for unit in _unpack_units(data)], np.int64)
@@ -371,8 +370,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_i
     asked = rows.select("row", "text").mapInArrow(
         _asked(splitter, parts), "part int, slice long, units binary")
     units = asked.groupBy("part").applyInArrow(_distinct_units, "part int, unit string").repartition(partitions, "part")
-    encoded = encode_units(units, vocabulary).withColumnRenamed("part", "encoded_part")
-    answered = asked.groupBy("part").cogroup(encoded.groupBy("encoded_part")).applyInArrow(
+    cut = cut_units(units, vocabulary).withColumnRenamed("part", "cut_part")
+    answered = asked.groupBy("part").cogroup(cut.groupBy("cut_part")).applyInArrow(
         _answered(vocabulary), "slice long, part int, sizes binary, ids binary")
     answers = answered.groupBy("slice").agg(
         F.sort_array(F.collect_list(F.struct("part", "sizes", "ids"))).alias("answers"))
