@@ -140,7 +140,10 @@ def test_ids_are_those_of_the_library(spark):
     vocabulary = pieces.load_vocabulary(VOCABULARY)
     data = rows() + [(1000 + i, text) + (None,) * 14 for i, text in enumerate(TEXTS)]
     docs = frame(spark, data).withColumn("both", F.struct("doc_id", "text"))
-    found = pieces.decode_documents(pieces.encode_documents(docs, vocabulary, keep="both"), vocabulary).collect()
+    encoded = pieces.encode_documents(docs, vocabulary, keep="both", decode=True)
+    found = encoded.collect()
+    again = pieces.decode_documents(encoded.select("both", "ids"), vocabulary).select(encoded.columns)
+    assert multiset(again.collect()) == multiset(found)
     assert multiset((r.both.doc_id, r.both.text) for r in found) == multiset((row[0], row[1]) for row in data)
     for r in found:
         ids = library.encode(r.both.text or "")
@@ -174,8 +177,8 @@ def test_viterbi_finds_the_best_path(spark):
     for r in pieces.encode_documents(docs, vocabulary).collect():
         whole = " " + texts[r.doc_id]
         assert sum(by_id[i][1] if i in by_id else floor for i in r.ids) == pytest.approx(sum(
-            best_path(unit.decode(), vocabulary) for unit in pieces._units(texts[r.doc_id].encode(),
-                                                                           pieces._splitter(vocabulary))))
+            best_path(unit.decode(), vocabulary)
+            for unit in pieces.Splitter(vocabulary).cut([texts[r.doc_id].encode()])[1].to_pylist()))
         assert "".join(by_id[i][0] if i in by_id else "c" for i in r.ids) == whole
 
 

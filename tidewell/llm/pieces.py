@@ -32,8 +32,8 @@ from tidewell.llm.katz import pack, unpack
 MARK = "▁"  # how the vocabulary writes a space
 # Units up to this length keep their boundaries in the bits of a long; longer ones merge with a heap.
 SHORT = 62
-# Text of a slice: small, as a task holds each of its words.
-SLICE = 4 << 20
+# Text of a slice; a task holds each of its words.
+SLICE = 6 << 20
 # What an unknown character costs below the lowest score on a unigram path.
 UNKNOWN_PENALTY = 10.0
 
@@ -67,31 +67,65 @@ def load_vocabulary(path: str, kind: str = "bpe") -> Vocabulary:
     return Vocabulary(pieces, byte_ids if some_bytes else [], model.unk_id(), kind)
 
 
-def _splitter(vocabulary: Vocabulary) -> re.Pattern:
-    """Units of a text: a character alone that no longer piece has, spaces with what follows, or spaces at an end."""
-    inside = {character for piece, _, _ in vocabulary.pieces if len(piece) > 1 for character in piece}
-    alone = re.escape("".join(chr(code) for code in range(32) if chr(code) not in inside)).encode()
-    return re.compile(rb"[%s]| *[^ %s]+| +" % (alone, alone)) if alone else re.compile(rb" *[^ ]+| +")
-
-
-def _units(text: bytes, splitter: re.Pattern) -> list[bytes]:
-    return splitter.findall(b" " + text.replace(MARK.encode(), b" ")) if text else []
-
-
-def _distinct(batch: pa.RecordBatch, splitter: re.Pattern, parts: int):
+class Splitter:
+    """Cuts texts into units: a character alone that no longer piece has, spaces with what follows, spaces at an end."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        inside = {character for piece, _, _ in vocabulary.pieces if len(piece) > 1 for character in piece}
+        alone = "".join(chr(code) for code in range(32) if chr(code) not in inside).encode()
+        self._alone = np.zeros(256, bool)
+        self._alone[np.frombuffer(alone, np.uint8)] = True
+        # Printable ASCII signs and digits that no piece has beside another kind of character: where they meet those,
+        # a unit falls into sub-units, again without a piece across.
+        signs = {chr(code) for code in range(33, 127) if not chr(code).isalpha()}
+        while mixed := {one for piece, _, _ in vocabulary.pieces for a, b in zip(piece, piece[1:])
+                        for one, other in ((a, b), (b, a)) if one in signs and other not in signs and other != " "}:
+            signs -= mixed
+        kinds = re.escape("".join(sorted(signs)))
+        self._inner = re.compile(f" *[{kinds}]+| *[^ {kinds}]+| +") if signs else None
+        self._outer = b" " + "".join(sorted(signs)).encode()
+
+    def inner(self, unit: str) -> list[str]:
+        return self._inner.findall(unit) if self._inner else [unit]
+
+    def core(self, unit: bytes) -> bytes:
+        """What a unit is about: units with the same core are dealt to the same partition."""
+        return unit.strip(self._outer)
+
+    def cut(self, content: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+        """Number of units of each text, and all units. A unit starts where a text does, at the first of several
+        spaces, at a character alone and behind one."""
+        marked = [b" " + text.replace(MARK.encode(), b" ") if text else b"" for text in content]
+        data = b"".join(marked)
+        sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+        raw = np.frombuffer(data, np.uint8)
+        space, alone = raw == 32, self._alone[raw]
+        first = space | alone
+        first[1:] &= ~space[:-1] | alone[1:]
+        first[1:] |= alone[:-1]
+        text_starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        first[text_starts] = True
+        starts = np.flatnonzero(first)
+        lengths = np.zeros(len(content), np.int64)
+        lengths[sizes > 0] = np.diff(np.searchsorted(starts, np.append(text_starts, len(raw))))
+        offsets = np.append(starts, len(raw)).astype(np.int64)
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        return lengths, units
+
+
+def _distinct(batch: pa.RecordBatch, splitter: Splitter, parts: int):
     """Units of each text, the number of each unit, the distinct units, their partitions and the order of asking."""
-    split = [_units(text, splitter) for text in texts(batch)]
-    encoded = pa.array([unit for found in split for unit in found], pa.large_binary()).dictionary_encode()
-    units = encoded.dictionary.to_pylist()
-    part = [xxhash.xxh64_intdigest(unit) % parts for unit in units]
-    order = sorted(range(len(units)), key=lambda number: (part[number], units[number]))
-    lengths = np.array([len(found) for found in split], np.int64)
+    lengths, found = splitter.cut(texts(batch))
+    encoded = found.dictionary_encode()
+    units = encoded.dictionary
+    part = np.array([xxhash.xxh64_intdigest(splitter.core(unit)) % parts for unit in units.to_pylist()], np.int32)
+    order = pc.sort_indices(pa.table({"part": part, "unit": units}), [
+        ("part", "ascending"), ("unit", "ascending")]).to_numpy()
     return lengths, encoded.indices.to_numpy(zero_copy_only=False), units, part, order
 
 
-def _pack_units(units: list[bytes]) -> bytes:
-    blob = b"".join(units)
-    lengths = pack(np.array([len(unit) for unit in units], np.int64))
+def _pack_units(offsets: np.ndarray, data: memoryview, low: int, high: int) -> bytes:
+    blob, lengths = data[offsets[low]:offsets[high]], pack(np.diff(offsets[low:high + 1]))
     return len(lengths).to_bytes(8, "little") + lengths + len(blob).to_bytes(8, "little") + pa.compress(
         blob, codec="zstd", asbytes=True)
 
@@ -104,24 +138,26 @@ def _unpack_units(data: bytes) -> list[str]:
     return [blob[start:end].decode() for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-def _asked(splitter: re.Pattern, parts: int):
+def _asked(splitter: Splitter, parts: int):
     """A slice's distinct units, partition by partition."""
     def run(batches):
         for batch in sliced(batches, limit=SLICE):
             _, _, units, part, order = _distinct(batch, splitter, parts)
-            if order:
-                sorted_parts = np.array([part[number] for number in order])
+            if len(order):
+                sorted_parts, asked = part[order], units.take(pa.array(order))
+                offsets = np.frombuffer(asked.buffers()[1], np.int64)[asked.offset:asked.offset + len(asked) + 1]
+                data = memoryview(asked.buffers()[2])
                 edges = [0, *(np.flatnonzero(np.diff(sorted_parts)) + 1).tolist(), len(order)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(sorted_parts[edges[:-1]].astype(np.int32)),
+                    pa.array(sorted_parts[edges[:-1]]),
                     pa.array([batch.column("row")[0].as_py()] * (len(edges) - 1), pa.int64()),
-                    pa.array([_pack_units([units[number] for number in order[low:high]])
+                    pa.array([_pack_units(offsets, data, low, high)
                               for low, high in zip(edges, edges[1:])]),
                 ], ["part", "slice", "units"])
     return run
 
 
-def _numbered(splitter: re.Pattern, parts: int):
+def _numbered(splitter: Splitter, parts: int):
     """A slice's documents as numbers of its distinct units, frequent ones small, and where those stand in the order
     of asking."""
     def run(batches):
@@ -138,10 +174,14 @@ def _numbered(splitter: re.Pattern, parts: int):
     return run
 
 
-def _distinct_units(table: pa.Table) -> pa.Table:
-    found = sorted(set().union(*[_unpack_units(data) for data in table.column("units").to_pylist()]))
-    part = table.column("part")[0].as_py()
-    return pa.table({"part": pa.array([part] * len(found), pa.int32()), "unit": pa.array(found, pa.string())})
+def _distinct_units(splitter: Splitter):
+    def run(table: pa.Table) -> pa.Table:
+        """The distinct sub-units of all units asked about in a partition."""
+        units = set().union(*[_unpack_units(data) for data in table.column("units").to_pylist()])
+        found = sorted({inner for unit in units for inner in splitter.inner(unit)})
+        part = table.column("part")[0].as_py()
+        return pa.table({"part": pa.array([part] * len(found), pa.int32()), "unit": pa.array(found, pa.string())})
+    return run
 
 
 def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -284,7 +324,7 @@ def cut_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return lattice.select("part", "unit", F.when(~long, bounds).alias("bounds"), F.when(long, edges).alias("edges"))
 
 
-def _answered(vocabulary: Vocabulary):
+def _answered(vocabulary: Vocabulary, splitter: Splitter):
     number_of = {piece: number for piece, number, _ in vocabulary.pieces}
     singles = {piece: score for piece, _, score in vocabulary.pieces if len(piece) == 1}
     byte_ids, unknown = vocabulary.byte_ids, vocabulary.unknown
@@ -310,17 +350,23 @@ def _answered(vocabulary: Vocabulary):
 
     def run(asked: pa.Table, cut: pa.Table) -> pa.Table:
         """The ids of each slice's units of a partition, in the order asked."""
-        units = cut.column("unit").to_pylist()
-        found = [ids_of(*row) for row in zip(
-            units, cut.column("bounds").to_pylist(), cut.column("edges").to_pylist())]
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        flat = np.array([number for ids in found for number in ids], np.int32)
-        starts, place = np.cumsum(sizes) - sizes, {unit: row for row, unit in enumerate(units)}
+        inner = {unit: ids_of(unit, bounds, edges) for unit, bounds, edges in zip(
+            *[cut.column(name).to_pylist() for name in ("unit", "bounds", "edges")])}
+        place, ends, flat = {}, [0], []
         rows = []
         for number, part, data in zip(*[asked.column(name).to_pylist() for name in ("slice", "part", "units")]):
-            wanted = np.array([place[unit] for unit in _unpack_units(data)], np.int64)
-            rows.append({"slice": number, "part": part, "sizes": pack(sizes[wanted]),
-                         "ids": pack(_gather(flat, starts[wanted], sizes[wanted]))})
+            units = _unpack_units(data)
+            for unit in units:
+                if unit not in place:
+                    place[unit] = len(place)
+                    for found in splitter.inner(unit):
+                        flat.extend(inner[found])
+                    ends.append(len(flat))
+            rows.append((number, part, np.array([place[unit] for unit in units], np.int64)))
+        ends, flat = np.array(ends), np.array(flat, np.int32)
+        rows = [{"slice": number, "part": part, "sizes": pack(np.diff(ends)[wanted]),
+                 "ids": pack(_gather(flat, ends[:-1][wanted], np.diff(ends)[wanted]))}
+                for number, part, wanted in rows]
         return pa.Table.from_pylist(rows, _ANSWER)
     return run
 
@@ -335,27 +381,57 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(starts, sizes)]
 
 
-def _assembled(batches):
-    for batch in batches:
-        kind = batch.schema.field("kept").type.value_type
-        for row in batch.to_pylist():
-            lengths, numbers, places = (unpack(row[name]).astype(np.int64) for name in ("lengths", "numbers", "places"))
-            answers = row["answers"] or []
-            sizes = np.concatenate([unpack(part["sizes"]) for part in answers] or [np.zeros(0)]).astype(np.int64)
-            if len(sizes) != len(places):
-                raise RuntimeError("the documents changed between two readings; store them first")
-            flat = np.concatenate([unpack(part["ids"]) for part in answers] or [np.zeros(0)]).astype(np.int32)
-            starts = (np.cumsum(sizes) - sizes)[places]
-            per_unit = sizes[places][numbers]
-            bounds = np.concatenate(([0], np.cumsum(per_unit)))[np.concatenate(([0], np.cumsum(lengths)))]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(row["kept"], kind), pa.ListArray.from_arrays(
-                    pa.array(bounds, pa.int32()), pa.array(_gather(flat, starts[numbers], per_unit), pa.int32())),
-            ], ["kept", "ids"])
+def _decoded(ids: pa.ListArray, table: pa.Array) -> pa.Array:
+    """Pieces joined and bytes put together, a few texts at a time; the dummy space in front is dropped."""
+    found = []
+    for start in range(0, len(ids), 128):
+        some = ids.slice(start, 128)
+        sizes = pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False)
+        joined = pc.binary_join(pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), table.take(some.flatten())), b"")
+        found += [(text[1:] if text[:1] == b" " else text).decode("utf-8", "replace") for text in joined.to_pylist()]
+    return pa.array(found, pa.string())
+
 
+def _assembled(table):
+    """The ids of each document of a slice; with a piece table also the text they stand for."""
+    def run(batches):
+        known = None if table is None else pa.array(table.value, pa.binary())
+        for batch in batches:
+            kind = batch.schema.field("kept").type.value_type
+            for row in batch.to_pylist():
+                lengths, numbers, places = (
+                    unpack(row[name]).astype(np.int64) for name in ("lengths", "numbers", "places"))
+                answers = row["answers"] or []
+                sizes = np.concatenate([unpack(part["sizes"]) for part in answers] or [np.zeros(0)]).astype(np.int64)
+                if len(sizes) != len(places):
+                    raise RuntimeError("the documents changed between two readings; store them first")
+                flat = np.concatenate([unpack(part["ids"]) for part in answers] or [np.zeros(0)]).astype(np.int32)
+                starts = (np.cumsum(sizes) - sizes)[places]
+                per_unit = sizes[places][numbers]
+                bounds = np.concatenate(([0], np.cumsum(per_unit)))[np.concatenate(([0], np.cumsum(lengths)))]
+                kept, ids = pa.array(row["kept"], kind), pa.ListArray.from_arrays(
+                    pa.array(bounds, pa.int32()), pa.array(_gather(flat, starts[numbers], per_unit), pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [kept, ids] if known is None else [kept, ids, _decoded(ids, known)],
+                    ["kept", "ids"] if known is None else ["kept", "ids", "decoded"])
+    return run
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_id") -> DataFrame:
-    """One row per input row: the column ``keep`` and ids, an array of piece ids of the whole text.
+
+def _piece_table(spark, vocabulary: Vocabulary):
+    size = 1 + max([number for _, number, _ in vocabulary.pieces] + vocabulary.byte_ids + [vocabulary.unknown])
+    table: list[bytes] = [b""] * size
+    for piece, number, _ in vocabulary.pieces:
+        table[number] = piece.encode()
+    for byte, number in enumerate(vocabulary.byte_ids):
+        table[number] = bytes([byte])
+    table[vocabulary.unknown] = " ⁇ ".encode()
+    return spark.sparkContext.broadcast(table)
+
+
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_id", decode: bool = False) -> DataFrame:
+    """One row per input row: the column ``keep`` and ids, an array of piece ids of the whole text; with ``decode``
+    also decoded, see ``decode_documents``.
 
     Null and empty text have no ids. A literal vocabulary mark in a text is a space. Other columns are ignored, an
     empty table gives an empty result, repeated rows each get their row.
@@ -363,23 +439,26 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_i
     ``docs`` is read twice and must fall into the same partitions both times, as a table read from files does; if it
     does not the job stops with an error. Store the result of a shuffle first.
     """
-    splitter = _splitter(vocabulary)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = 4 * partitions
+    splitter = Splitter(vocabulary)
+    # More partitions than usual, as a unit brings dozens of substrings, and parts enough to fill them evenly.
+    partitions = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 8 * partitions
     rows = docs.select(docs[keep].alias("kept"), "text", F.monotonically_increasing_id().alias("row"))
     asked = rows.select("row", "text").mapInArrow(
-        _asked(splitter, parts), "part int, slice long, units binary")
-    units = asked.groupBy("part").applyInArrow(_distinct_units, "part int, unit string").repartition(partitions, "part")
+        _asked(splitter, parts), "part int, slice long, units binary").repartition(partitions, "part")
+    units = asked.groupBy("part").applyInArrow(
+        _distinct_units(splitter), "part int, unit string").repartition(partitions, "part")
     cut = cut_units(units, vocabulary).withColumnRenamed("part", "cut_part")
     answered = asked.groupBy("part").cogroup(cut.groupBy("cut_part")).applyInArrow(
-        _answered(vocabulary), "slice long, part int, sizes binary, ids binary")
+        _answered(vocabulary, splitter), "slice long, part int, sizes binary, ids binary")
     answers = answered.groupBy("slice").agg(
         F.sort_array(F.collect_list(F.struct("part", "sizes", "ids"))).alias("answers"))
     kind = docs.schema[keep].dataType.simpleString()
     numbered = rows.mapInArrow(
         _numbered(splitter, parts), f"slice long, kept array<{kind}>, lengths binary, numbers binary, places binary")
     return numbered.join(answers, "slice", "left").mapInArrow(
-        _assembled, f"kept {kind}, ids array<int>").withColumnRenamed("kept", keep)
+        _assembled(_piece_table(docs.sparkSession, vocabulary) if decode else None),
+        f"kept {kind}, ids array<int>" + ", decoded string" * decode).withColumnRenamed("kept", keep)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -387,31 +466,14 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     Byte sequences that are no UTF-8 become replacement characters. Ids without text (control pieces) are dropped.
     """
-    size = 1 + max([number for _, number, _ in vocabulary.pieces] + vocabulary.byte_ids + [vocabulary.unknown])
-    table: list[bytes] = [b""] * size
-    for piece, number, _ in vocabulary.pieces:
-        table[number] = piece.encode()
-    for byte, number in enumerate(vocabulary.byte_ids):
-        table[number] = bytes([byte])
-    table[vocabulary.unknown] = " ⁇ ".encode()
-    shared = encoded.sparkSession.sparkContext.broadcast(table)
+    shared = _piece_table(encoded.sparkSession, vocabulary)
 
     def run(batches):
-        known = pa.array(shared.value, pa.binary())
+        table = pa.array(shared.value, pa.binary())
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index("ids"))
-            # A few rows at a time: the pieces of all ids of a batch at once would be large.
-            texts_out = []
-            for start in range(0, len(lists), 256):
-                some = lists.slice(start, 256)
-                joined = pc.binary_join(pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(pc.fill_null(
-                        pc.list_value_length(some), 0).to_numpy(zero_copy_only=False)))), pa.int32()),
-                    known.take(some.flatten())), b"")
-                texts_out += [(text or b"")[1:].decode("utf-8", "replace") if (text or b"")[:1] == b" " else
-                              (text or b"").decode("utf-8", "replace") for text in joined.to_pylist()]
+            ids = batch.column(batch.schema.get_field_index("ids"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts_out, pa.string())], [*batch.schema.names, "decoded"])
+                [*batch.columns, _decoded(ids, table)], [*batch.schema.names, "decoded"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(run, f"{kinds}, decoded string")

@@ -13,7 +13,7 @@ from tidewell.llm.katz import score_documents
 from tidewell.llm.langid import identify, train
 from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
-from tidewell.llm.pieces import decode_documents, encode_documents, load_vocabulary
+from tidewell.llm.pieces import encode_documents, load_vocabulary
 from tidewell.llm.quality import quality_verdicts
 from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.sharding import shard_documents
@@ -53,7 +53,7 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     # A hash of the text to come back goes with the id, so that the text itself need not.
     expected = F.xxhash64(F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" ")))
     docs = documents(spark, folder).select(F.struct("doc_id", expected.alias("expected")).alias("doc"), "text")
-    decoded = decode_documents(encode_documents(docs, vocabulary, keep="doc"), vocabulary)
+    decoded = encode_documents(docs, vocabulary, keep="doc", decode=True)
     return decoded.select(
         "doc.doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
         (F.xxhash64("decoded") == F.col("doc.expected")).alias("round_trip"))
