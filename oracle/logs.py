@@ -21,6 +21,17 @@ LOG_QUERIES = {
             concat_ws('.', split_part(destination_ip, '.', 1), split_part(destination_ip, '.', 2), 'x', 'x')
                 AS destination_ip)
         FROM network_logs""",
+    "masked_queries": """
+        SELECT * REPLACE (
+            concat_ws('.', split_part(client_ip, '.', 1), split_part(client_ip, '.', 2), 'x', 'x') AS client_ip,
+            sha256(concat('lake', "user")) AS "user")
+        FROM database_logs""",
+    "quarantined_database_logs": """
+        SELECT query_id, CAST(query_id[2:] AS BIGINT) % 7 = 0 AS truncated FROM database_logs
+        WHERE CAST(query_id[2:] AS BIGINT) % 7 = 0 OR CAST(query_id[2:] AS BIGINT) % 11 = 0""",
+    "logs_compacted": "SELECT * FROM database_logs",
+    "valid_database_logs": """
+        SELECT * FROM database_logs WHERE CAST(query_id[2:] AS BIGINT) % 7 > 0 AND CAST(query_id[2:] AS BIGINT) % 11 > 0""",
     "db_query_count": "SELECT count(*) AS total_queries FROM database_logs",
     "db_perf_by_type": f"""
         SELECT query_type, count(*) AS query_count, {MS} AS avg_execution_time_ms,
@@ -50,7 +61,7 @@ LOG_QUERIES = {
                CAST(sum(bytes_received) AS BIGINT) AS total_bytes_received, {r('avg(duration_ms)')} AS avg_duration_ms
         FROM network_logs GROUP BY ALL""",
     "net_http_status_distribution": f"""
-        WITH web AS (SELECT status_code FROM network_logs WHERE protocol LIKE 'HTTP%')
+        WITH web AS (SELECT status_code FROM network_logs WHERE protocol IN ('HTTP', 'HTTPS'))
         SELECT status_code, count(*) AS request_count,
                {r('100.0::DOUBLE * count(*) / (SELECT count(*) FROM web)')} AS percentage
         FROM web GROUP BY ALL""",

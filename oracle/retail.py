@@ -30,23 +30,55 @@ def _quintile(order: str) -> str:
 RETAIL_QUERIES = {
     # Layers
     "silver_store_sales": """
-        SELECT DISTINCT *, CAST(ss_sold_date_sk // 10000 AS INT) AS year,
-               CAST(ss_sold_date_sk // 100 % 100 AS INT) AS month
-        FROM bronze_store_sales_dirty
+        SELECT DISTINCT s.*, d_year AS year, d_moy AS month
+        FROM bronze_store_sales_dirty s LEFT JOIN bronze_date_dim ON d_date_sk = ss_sold_date_sk
         WHERE ss_sold_date_sk IS NOT NULL AND ss_quantity > 0 AND ss_sales_price >= 0""",
     "silver_store_sales_keyed": """
-        SELECT * EXCLUDE (place), CAST(ss_sold_date_sk // 10000 AS INT) AS year,
-               CAST(ss_sold_date_sk // 100 % 100 AS INT) AS month
+        SELECT s.* EXCLUDE (place), d_year AS year, d_moy AS month
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY ss_ticket_number, ss_item_sk
+                  ORDER BY ss_sold_date_sk DESC NULLS LAST, ss_customer_sk DESC NULLS LAST,
+                           ss_store_sk DESC NULLS LAST, ss_line_number DESC NULLS LAST,
+                           ss_quantity DESC NULLS LAST, ss_sales_price DESC NULLS LAST) AS place
+              FROM bronze_store_sales_dirty) s LEFT JOIN bronze_date_dim ON d_date_sk = ss_sold_date_sk
+        WHERE place = 1 AND ss_sold_date_sk IS NOT NULL""",
+    "silver_customer": """
+        SELECT * EXCLUDE (place), concat_ws(' ', c_first_name, c_last_name) AS full_name
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY c_customer_sk
+                  ORDER BY c_customer_id DESC NULLS LAST, c_first_name DESC NULLS LAST, c_last_name DESC NULLS LAST,
+                           c_email_address DESC NULLS LAST, c_birth_country DESC NULLS LAST,
+                           c_birth_year DESC NULLS LAST) AS place
+              FROM bronze_customer_dirty WHERE c_customer_sk IS NOT NULL)
+        WHERE place = 1""",
+    "silver_date_dim": """
+        SELECT * EXCLUDE (place), d_moy AS d_month,
+               coalesce(d_day_name IN ('Saturday', 'Sunday'), false) AS is_weekend
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY d_date_sk
+                  ORDER BY d_date DESC NULLS LAST, d_year DESC NULLS LAST, d_moy DESC NULLS LAST,
+                           d_day_name DESC NULLS LAST) AS place
+              FROM bronze_date_dim_dirty WHERE d_date_sk IS NOT NULL)
+        WHERE place = 1""",
+    "silver_generic": "SELECT DISTINCT * FROM bronze_item_dirty",
+    "bronze_sample": "SELECT * FROM bronze_customer ORDER BY c_customer_sk LIMIT 10",
+    "sales_appended": """
+        SELECT s.* EXCLUDE (place), d_year AS year, d_moy AS month
         FROM (SELECT *, row_number() OVER (
                   PARTITION BY ss_ticket_number, ss_item_sk
                   ORDER BY ss_sold_date_sk DESC NULLS LAST, ss_customer_sk DESC NULLS LAST,
                            ss_store_sk DESC NULLS LAST, ss_line_number DESC NULLS LAST,
                            ss_quantity DESC NULLS LAST, ss_sales_price DESC NULLS LAST) AS place
-              FROM bronze_store_sales_dirty)
+              FROM bronze_store_sales_dirty) s LEFT JOIN bronze_date_dim ON d_date_sk = ss_sold_date_sk
         WHERE place = 1 AND ss_sold_date_sk IS NOT NULL""",
-    "silver_customer": "SELECT * FROM silver_customer",
-    "silver_date_dim": "SELECT * FROM silver_date_dim",
-    "silver_generic": "SELECT * FROM silver_item",
+    # Days of June and July 2001 have all sales, earlier and later ones lack every tenth ticket.
+    "daily_refreshed": f"""
+        SELECT d_date, d_year, d_month, d_day_name, CAST(sum(ss_sales_price) AS DECIMAL(22,2)) AS total_sales,
+               CAST(sum(ss_quantity) AS BIGINT) AS total_quantity, count(ss_ticket_number) AS transaction_count,
+               {avg('ss_sales_price')} AS avg_sale_price, count(DISTINCT ss_customer_sk) AS unique_customers
+        FROM dated_sales
+        WHERE ss_ticket_number % 10 > 0 OR d_year = 2001 AND d_month IN (6, 7)
+        GROUP BY ALL""",
     "gold_daily_sales_summary": "SELECT * FROM gold_daily_sales_summary",
     "gold_customer_lifetime_value": "SELECT * FROM gold_customer_lifetime_value",
     "gold_product_performance": "SELECT * FROM gold_product_performance",

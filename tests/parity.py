@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal
 
 import duckdb
@@ -21,8 +20,6 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
 def _plain(value):
     if isinstance(value, Decimal):
         return float(value)
-    if isinstance(value, float) and math.isnan(value):
-        return None
     return value
 
 

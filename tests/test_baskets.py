@@ -91,3 +91,18 @@ def test_large_baskets_lift_pairs_known_from_small_ones(spark):
 def test_no_pairs(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     assert counted(count_pairs(in_blocks(df))) == {} == counted(strongest_pairs(df, PairQuery(1, 5)))
+
+
+def test_descriptions_count_by_description(spark):
+    """One key with two descriptions counts for both, and text is what is counted, not keys."""
+    from tidewell.plans import business
+    sales = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2)], "ss_ticket_number bigint, ss_item_sk bigint")
+    items = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C"), (3, None)], "i_item_sk bigint, i_item_desc string")
+    found = business.product_affinity({"silver_store_sales": sales, "silver_item": items}, more_than=0, k=5).collect()
+    assert sorted((r.item_a_desc, r.item_b_desc, r.co_occurrence_count) for r in found) == [("A", "C", 2), ("B", "C", 2)]
+
+
+def test_a_basket_above_a_block_takes_the_same_plan(spark):
+    rows = rows_of([(basket, item) for basket in range(3) for item in range(450)])
+    got = counted(strongest_pairs(spark.createDataFrame(rows, SCHEMA), PairQuery(3, 10)))
+    assert got == literal(rows)

@@ -42,3 +42,15 @@ def test_masking(spark):
     assert value(spark, masked_email(F.lit("ada.b@example.com"))) == "a***@example.com"
     assert value(spark, masked_ip(F.lit("10.2.33.4"))) == "10.2.x.x"
     assert value(spark, pseudonym(F.lit("a"), "s")) != value(spark, pseudonym(F.lit("a"), "t"))
+
+
+@pytest.mark.parametrize("address, hidden", [
+    ("2001:db8::1", "x"), ("10.0.0.1:443", "x"), ("", "x"), ("host", "x"), (None, None), ("1.2.3.4", "1.2.x.x")])
+def test_addresses_are_hidden_unless_their_form_is_known(spark, address, hidden):
+    assert value(spark, masked_ip(F.lit(address).cast("string"))) == hidden
+
+
+def test_mail_without_an_at_is_hidden_and_a_pseudonym_needs_a_salt(spark):
+    assert value(spark, masked_email(F.lit("nobody"))) == "***"
+    with pytest.raises(ValueError):
+        pseudonym("c", "")

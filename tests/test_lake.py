@@ -34,9 +34,10 @@ def test_ingest_reports_each_table_and_goes_on(spark, tmp_path):
         ("store_sales", "ok", 2), ("customer", "failed", None), ("reason", "ok", 2)]
     assert "PATH_NOT_FOUND" in status.filter("status = 'failed'").first().error
     sales = spark.read.parquet(str(tmp_path / "out" / "store_sales"))
-    assert sales.schema == RAW_SCHEMAS["store_sales"]
+    assert sales.drop("source", "job_id", "load_timestamp").schema == RAW_SCHEMAS["store_sales"]
     assert sales.first().ss_sales_price == Decimal("1.50")
-    assert spark.read.parquet(str(tmp_path / "out" / "reason")).dtypes[0] == ("_c0", "int")
+    assert spark.read.parquet(str(tmp_path / "out" / "reason")).dtypes[0] == (
+        "r_reason_sk", "bigint")
     again = ingest_tables(spark, str(tmp_path / "in"), str(tmp_path / "out"), "store_sales")
     assert again.first().rows == 2 and spark.read.parquet(str(tmp_path / "out" / "store_sales")).count() == 2
 
@@ -135,7 +136,7 @@ def test_compaction_keeps_rows_and_other_directories(spark, tmp_path):
     files = lambda p: {f for f in os.listdir(f"{path}/p={p}") if f.endswith(".parquet")}
     untouched = files(1)
     assert len(files(0)) >= 4
-    store.compact(spark, path, ["p"], F.col("p") == 0)
+    store.compact(spark, path, ["p"], {"p": 0})
     assert len(files(0)) == 1 and files(1) == untouched
     assert spark.read.parquet(path).count() == 40
 
@@ -153,7 +154,11 @@ def test_a_hot_directory_is_written_by_several_tasks(spark, setting, tmp_path):
 
 def test_raw_schemas_have_the_full_column_lists():
     assert {table: len(schema) for table, schema in RAW_SCHEMAS.items()} == {
-        "store_sales": 23, "customer": 18, "date_dim": 28, "item": 22, "store": 29}
+        "call_center": 31, "catalog_page": 9, "catalog_returns": 27, "catalog_sales": 34, "customer": 18,
+        "customer_address": 13, "customer_demographics": 9, "date_dim": 28, "household_demographics": 5,
+        "income_band": 3, "inventory": 4, "item": 22, "promotion": 19, "reason": 3, "ship_mode": 6, "store": 29,
+        "store_returns": 20, "store_sales": 23, "time_dim": 10, "warehouse": 14, "web_page": 14, "web_returns": 24,
+        "web_sales": 34, "web_site": 26}
     types = {f.name: f.dataType.simpleString() for schema in RAW_SCHEMAS.values() for f in schema}
     assert {name: types[name] for name in (
         "ss_sold_date_sk", "ss_ticket_number", "ss_quantity", "ss_net_paid_inc_tax", "d_date", "d_date_id",
@@ -196,3 +201,71 @@ def test_append_searches_touched_directories_only(spark, tmp_path):
 
 def test_days_are_dates():
     assert all(int(day.strftime("%Y%m%d")) == key for key, day in DAYS)
+
+
+def test_compaction_refuses_other_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.write_table(spark.range(10).withColumn("p", F.lit(1)), path, ["p"])
+    for where in ({"id": 1}, {"p": 1, "id": 1}, {}):
+        with pytest.raises(ValueError):
+            store.compact(spark, path, ["p"], where)
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_append_starts_a_table(spark, tmp_path):
+    path = str(tmp_path / "new")
+    rows = spark.createDataFrame([(1, 1), (1, 1), (2, 1)], "k int, p int")
+    for _ in range(2):
+        store.append_new(rows, path, ["k"], ["p"])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_a_managed_table_is_left_alone(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept_db")
+    spark.range(5).write.saveAsTable("kept_db.silver_store")
+    store.write_table(spark.range(3), str(tmp_path / "silver" / "store"))
+    status = store.register_layer(spark, str(tmp_path / "silver"), "silver_", "kept_db")
+    assert [r.status for r in status] == ["managed, left alone"]
+    assert spark.table("kept_db.silver_store").count() == 5
+    spark.sql("DROP DATABASE kept_db CASCADE")
+
+
+def test_a_problem_without_a_message_has_its_kind():
+    assert store.first_line(KeyError()) == "KeyError" and store.first_line(ValueError("a\nb")) == "a"
+
+
+def test_any_source_table_becomes_silver(spark, tmp_path):
+    root = str(tmp_path)
+    store.write_table(spark.createDataFrame([(1, "p"), (1, "p"), (2, "q")], "p_promo_sk bigint, p_promo_name string"),
+                      f"{root}/bronze/promotion", source="here", job_id="b1")
+    log = pipeline.build_silver(spark, pipeline.stored_tables(spark, root), root, tables=["promotion", "reason"])
+    rows = {r.table_name: r for r in log.collect()}
+    assert (rows["promotion"].status, rows["promotion"].rows) == ("ok", 2) and rows["promotion"].seconds > 0
+    assert rows["reason"].status == "failed" and rows["reason"].error
+    assert set(spark.read.parquet(f"{root}/silver/promotion").columns) == {
+        "p_promo_sk", "p_promo_name", "load_timestamp", "job_id"}
+
+
+def test_all_24_tables_are_read_with_their_schemas(spark, tmp_path):
+    from tidewell.schemas import RAW_SCHEMAS
+    for name, schema in RAW_SCHEMAS.items():
+        write_text(tmp_path / "in" / name, "a.dat", "|" * len(schema) + "\n")
+    status = ingest_tables(spark, str(tmp_path / "in"), str(tmp_path / "out"), ends_with_separator=True, job_id="j")
+    assert {(r.status, r.rows) for r in status.collect()} == {("ok", 1)} and status.count() == 24
+    for name, schema in RAW_SCHEMAS.items():
+        stored = spark.read.parquet(str(tmp_path / "out" / name))
+        assert stored.drop("source", "job_id", "load_timestamp").dtypes == [
+            (f.name, f.dataType.simpleString()) for f in schema]
+        assert stored.first().job_id == "j" and stored.first().source.endswith(name)
+
+
+def test_refresh_drops_months_without_sales_and_follows_the_calendar(spark, tmp_path):
+    root = str(tmp_path)
+    pipeline.build_silver(spark, lake(spark, SALES), root)
+    pipeline.build_gold(spark, root)
+    assert os.path.isdir(f"{root}/gold/daily_sales_summary/d_year=2000/d_month=3")
+    without_march = lake(spark, [sale for sale in SALES if sale[0] // 100 != 200003])
+    pipeline.build_silver(spark, without_march, root)
+    pipeline.refresh_recent_days(spark, root, dt.date(2000, 3, 31), 40)
+    months = {r.d_month for r in spark.read.parquet(f"{root}/gold/daily_sales_summary").collect()}
+    assert months == {1, 2} and not os.path.isdir(f"{root}/gold/daily_sales_summary/d_year=2000/d_month=3")

@@ -10,7 +10,6 @@ from tests.conftest import final_plan_of, plan_of
 from tidewell import session
 from tidewell.plans import gold, layer_queries, log_queries, silver
 from tidewell.registry import sample_lake
-from tidewell.session import measured
 from tidewell.sources.lake import write_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -73,17 +72,6 @@ def test_ticket_partitioning_serves_the_deduplication(spark):
     assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
 
 
-def test_small_dimension_is_broadcast_by_its_measured_size_only(spark, setting):
-    days = spark.range(1_000_000).select((F.col("id") % 50).alias("d")).distinct()
-    setting(spark__sql__autoBroadcastJoinThreshold="100000")
-    facts = spark.range(10_000_000).select((F.col("id") % 60).alias("f"))
-    small = measured(days)
-    assert "parquet" in plan_of(small).lower() and small.count() == 50
-    assert "BroadcastHashJoin" in plan_of(facts.join(small, F.col("f") == F.col("d")))
-    large = measured(spark.range(1_000_000).select((F.col("id") * 7919).alias("d")).distinct())
-    assert "SortMergeJoin" in plan_of(facts.join(large, F.col("f") == F.col("d")))
-
-
 def test_hot_ticket_is_split_in_the_fact_join(spark, setting, tmp_path):
     """A third of all lines in one order: AQE splits it although deduplication wants the ticket together."""
     setting(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -109,7 +97,8 @@ def test_hot_ticket_is_split_in_the_fact_join(spark, setting, tmp_path):
     ).select(F.lit(20000105).alias("ss_sold_date_sk"), F.col("l_partkey").alias("ss_item_sk"),
              F.col("l_orderkey").alias("ss_ticket_number"), F.lit(1).alias("ss_quantity"),
              F.lit(1).cast("decimal(12,2)").alias("ss_sales_price"))
-    sales = silver.store_sales(bronze)
+    calendar = spark.createDataFrame([(20000105, 2000, 1)], "d_date_sk int, d_year int, d_moy int")
+    sales = silver.store_sales(bronze, calendar)
     plan = final_plan_of(sales)
     assert "skew=true" in plan
     assert sales.count() == 60_000

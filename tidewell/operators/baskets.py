@@ -10,11 +10,9 @@ is quadratic in the basket, and one huge basket lands in one task. Here
   counts at most ``reach(x) = sum over t of lines(t, x) * (largest line count of
   a node in t)``, and the pairs among the few nodes of largest reach give a
   count, the floor, that k pairs do attain;
-* a large basket does not form its pairs. A pair that large baskets alone cannot
-  lift to the floor must also occur in a small one, so only the pairs counted
-  there are looked up in the large baskets. Pairs are formed inside large
-  baskets just for nodes whose reach within them attains the floor, and then in
-  blocks, so that no join key holds more than two blocks of rows.
+* pairs are formed in blocks of items: a basket of b blocks is dealt to one cell
+  per pair of blocks, so no join key holds more than two blocks of rows. A small
+  basket is the case b = 1 of the same plan.
 
 The result is the one of the plain self-join; nothing is capped or sampled.
 """
@@ -22,7 +20,6 @@ The result is the one of the plain self-join; nothing is capped or sampled.
 from __future__ import annotations
 
 import math
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tidewell.session import pin
 
-LARGE_BASKET = 200
+# Items of a block.
+BLOCK = 200
 
 
 class PairQuery(NamedTuple):
@@ -40,16 +38,15 @@ class PairQuery(NamedTuple):
     k: int
 
 
-def in_blocks(rows: DataFrame, large: int = LARGE_BASKET) -> DataFrame:
+def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """Attach each row's block and the largest line count of a node in its basket.
 
-    Baskets up to ``large`` items are one block; one-item baskets form no pair
-    and fall out.
+    One-item baskets form no pair and fall out.
     """
     nodes = rows.groupBy("basket", "node").agg(F.sum("lines").alias("_lines"), F.count("*").alias("_rows"))
     baskets = nodes.groupBy(F.col("basket").alias("_basket")).agg(
         F.sum("_rows").alias("_items"), F.max("_lines").alias("_most")).filter(F.col("_items") > 1)
-    blocks = F.ceil(F.col("_items") / large).cast("int")
+    blocks = F.ceil(F.col("_items") / block).cast("int")
     return rows.join(baskets, F.col("basket") == F.col("_basket")).select(
         "basket", "item", "node", "lines", "_most", blocks.alias("_blocks"),
         F.pmod(F.xxhash64("item"), blocks).cast("int").alias("_block"),
@@ -81,17 +78,6 @@ def count_pairs(rows: DataFrame) -> DataFrame:
     ).agg(F.sum(F.col("l_lines") * F.col("r_lines")).alias("pairs"))
 
 
-def _look_up(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Count the given pairs in the given baskets."""
-    wanted = pairs.select("node_a", "node_b")
-    first, second = _side(rows, "l"), _side(rows, "r")
-    with_first = wanted.join(first, F.col("node_a") == F.col("l_node"))
-    both = with_first.join(
-        second, (F.col("l_basket") == F.col("r_basket")) & (F.col("node_b") == F.col("r_node"))
-        & (F.col("l_item") < F.col("r_item")))
-    return both.groupBy("node_a", "node_b").agg(F.sum(F.col("l_lines") * F.col("r_lines")).alias("pairs"))
-
-
 def _reach(rows: DataFrame) -> DataFrame:
     return rows.groupBy("node").agg(F.sum(F.col("lines").cast("decimal(19,0)") * F.col("_most")).alias("reach"))
 
@@ -100,39 +86,19 @@ def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(nodes.select(F.col("node").alias("_node")), F.col("node") == F.col("_node"), "left_semi")
 
 
-def _with_large_baskets(small: DataFrame, large: DataFrame, floor: int) -> DataFrame:
-    """Pairs counted in small baskets, completed by what the large ones add."""
-    reach = pin(_reach(large))
-    strong = reach.filter(F.col("reach") >= floor)
-    reach_of = lambda side: reach.select(
-        F.col("node").alias(side), F.col("reach").alias(f"{side}_reach"))
-    least = F.least("node_a_reach", "node_b_reach")
-    # Both strong: counted by forming the pairs. Otherwise the rest of the way to the floor must be in reach.
-    open_pairs = (
-        small.join(reach_of("node_a"), "node_a").join(reach_of("node_b"), "node_b")
-        .filter((least < floor) & (F.col("pairs") + least >= floor))
-    )
-    parts = [small, count_pairs(_only(large, strong)), _look_up(open_pairs, large)]
-    return reduce(DataFrame.unionByName, parts).groupBy("node_a", "node_b").agg(F.sum("pairs").alias("pairs"))
-
-
-def strongest_pairs(rows: DataFrame, wanted: PairQuery, large: int = LARGE_BASKET) -> DataFrame:
+def strongest_pairs(rows: DataFrame, wanted: PairQuery, block: int = BLOCK) -> DataFrame:
     """Every pair that may be among the best ``k`` of those reaching ``min_count``, with its exact count.
 
     ``rows`` has basket, item, node (what is counted) and lines. The caller
     orders and limits; pairs tied with the k-th are all included.
     """
-    blocked = pin(in_blocks(rows, large))
+    blocked = pin(in_blocks(rows, block))
     reach = _reach(blocked)
     # About 2k pairs among the leaders: a fixed number of nodes, whatever the data.
     leaders = reach.orderBy(F.col("reach").desc(), "node").limit(2 * math.isqrt(wanted.k) + 2)
     leading = count_pairs(_only(blocked, leaders)).orderBy(F.col("pairs").desc()).limit(wanted.k)
-    # One row: the k-th best count among the leaders' pairs, and the most blocks of a basket.
-    known = leading.agg(F.when(F.count("*") == wanted.k, F.min("pairs")).alias("kth")).crossJoin(
-        blocked.agg(F.max("_blocks").alias("blocks"))).first()
-    floor = max(wanted.min_count, known.kth or 0)
-    able = _only(blocked, reach.filter(F.col("reach") >= floor))
-    counted = count_pairs(able.filter(F.col("_blocks") == 1))
-    if (known.blocks or 1) > 1:
-        counted = _with_large_baskets(pin(counted), able.filter(F.col("_blocks") > 1), floor)
-    return counted.filter(F.col("pairs") >= floor)
+    # One row: the k-th best count among the leaders' pairs, if there are k.
+    floor = leading.agg(F.greatest(
+        F.lit(wanted.min_count), F.when(F.count("*") == wanted.k, F.min("pairs"))).alias("_floor"))
+    able = reach.crossJoin(floor).filter(F.col("reach") >= F.col("_floor"))
+    return count_pairs(_only(blocked, able)).crossJoin(floor).filter(F.col("pairs") >= F.col("_floor")).drop("_floor")

@@ -107,21 +107,17 @@ def basket_count(rows: DataFrame) -> DataFrame:
 def product_affinity(t: Tables, more_than: int = 100, k: int = 50) -> DataFrame:
     """Descriptions sold together most often, by the number of line pairs in a common ticket.
 
-    Descriptions are counted under the smallest item key that carries them; the
-    text comes back for the surviving pairs only.
+    An item key may carry several descriptions and a description several keys, so pairs are counted by description;
+    a missing one is a value of its own.
     """
-    items = t["silver_item"].select("i_item_sk", "i_item_desc")
-    texts = items.groupBy("i_item_desc").agg(F.min("i_item_sk").alias("node"))
-    nodes = items.join(texts.select(F.col("i_item_desc").alias("text"), "node"),
-                       F.col("i_item_desc").eqNullSafe(F.col("text"))).select("i_item_sk", "node")
+    items = t["silver_item"].select("i_item_sk", F.coalesce(
+        F.concat(F.lit("="), "i_item_desc"), F.lit("")).alias("node")).distinct()
     rows = basket_rows(t["silver_store_sales"])
-    described = rows.join(nodes, F.col("item") == F.col("i_item_sk")).drop("i_item_sk")
+    described = rows.join(items, F.col("item") == F.col("i_item_sk")).drop("i_item_sk")
     pairs = strongest_pairs(described, PairQuery(more_than + 1, k))
-    text_of = lambda node, name: texts.select(
-        F.col("node").alias(node), F.col("i_item_desc").alias(name))
+    text = lambda node: F.when(F.col(node) != "", F.substring(F.col(node), F.lit(2), F.length(node)))
     named = (
-        pairs.join(text_of("node_a", "item_a_desc"), "node_a").join(text_of("node_b", "item_b_desc"), "node_b")
-        .crossJoin(basket_count(rows))
+        pairs.withColumns({"item_a_desc": text("node_a"), "item_b_desc": text("node_b")}).crossJoin(basket_count(rows))
         .select(
             "item_a_desc", "item_b_desc", F.col("pairs").alias("co_occurrence_count"),
             rounded(percent("pairs", "tickets")).alias("support_pct"),

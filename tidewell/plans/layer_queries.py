@@ -19,8 +19,8 @@ def bronze_row_count(t: Tables) -> DataFrame:
 
 
 def bronze_sample(t: Tables, n: int = 10) -> DataFrame:
-    """Any ``n`` customers."""
-    return t["bronze_customer"].limit(n)
+    """``n`` customers, those of the smallest keys, so that two looks show the same rows."""
+    return t["bronze_customer"].orderBy("c_customer_sk").limit(n)
 
 
 def sales_by_year_month(t: Tables) -> DataFrame:

@@ -3,26 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.plans import gold, silver
-from tidewell.sources.lake import overwrite_touched, stamped, write_table
+from tidewell.schemas import SOURCE_TABLES
+from tidewell.sources.lake import (
+    first_line, overwrite_touched, path_exists, remove_folder, stamped, write_table,
+)
 from tidewell.sources.tables import DeclaredTables
 
-RUN_LOG = "job_id string, layer string, table_name string, status string, error string"
+RUN_LOG = ("job_id string, layer string, table_name string, status string, `rows` long, seconds double, "
+           "error string")
 
 
 def stored_tables(spark: SparkSession, root: str, layers: Sequence[str] = ("bronze", "silver", "gold")) -> Callable:
-    """A mapping that reads ``<root>/<layer>/<table>`` for the name ``<layer>_<table>``."""
-    names = {
-        "bronze": ("store_sales", "customer", "date_dim", "item", "store"),
-        "silver": ("store_sales", "customer", "date_dim", "item", "store"),
-        "gold": tuple(gold.MARTS),
-    }
+    """A mapping that reads ``<root>/<layer>/<table>`` for the name ``<layer>_<table>``, for any of the source tables."""
+    names = {"bronze": SOURCE_TABLES, "silver": SOURCE_TABLES, "gold": tuple(gold.MARTS)}
     return DeclaredTables({
         f"{layer}_{name}": (lambda _, path=f"{root}/{layer}/{name}": spark.read.parquet(path))
         for layer in layers for name in names[layer]
@@ -33,32 +34,33 @@ def _write_all(spark: SparkSession, frames: Mapping[str, Callable[[], DataFrame]
                partitions: Mapping[str, Sequence[str]], job_id: str) -> list[tuple]:
     log = []
     for name, make in frames.items():
+        counted, start = Observation(name), time.monotonic()
         try:
-            write_table(make(), f"{root}/{layer}/{name}", partitions.get(name, ()), job_id=job_id)
-            log.append((job_id, layer, name, "ok", None))
+            write_table(make().observe(counted, F.count(F.lit(1)).alias("rows")), f"{root}/{layer}/{name}",
+                        partitions.get(name, ()), job_id=job_id)
+            log.append((job_id, layer, name, "ok", counted.get["rows"], time.monotonic() - start, None))
         except Exception as problem:  # recorded; the remaining tables are still built
-            log.append((job_id, layer, name, "failed", str(problem).splitlines()[0]))
+            log.append((job_id, layer, name, "failed", None, time.monotonic() - start, first_line(problem)))
     return log
 
 
 def _without_stamps(df: DataFrame) -> DataFrame:
-    return df.drop("load_timestamp", "job_id")
+    return df.drop("load_timestamp", "job_id", "source")
 
 
 def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
                  tables: Sequence[str] = ("store_sales", "customer", "date_dim", "item", "store"),
                  job_id: str | None = None) -> DataFrame:
     """Write the silver tables under ``root``; returns and appends the run log."""
-    frames = {name: (lambda name=name: silver.build(name, bronze[f"bronze_{name}"])) for name in tables}
+    plain = DeclaredTables({name: (lambda _, name=name: _without_stamps(bronze[name])) for name in bronze})
+    frames = {name: (lambda name=name: silver.build(name, plain)) for name in tables}
     return _logged(spark, root, _write_all(
         spark, frames, root, "silver", silver.PARTITIONS, job_id or uuid.uuid4().hex))
 
 
 def silver_inputs(spark: SparkSession, root: str) -> DeclaredTables:
-    lake = stored_tables(spark, root)
-    return DeclaredTables({
-        name: (lambda _, name=name: _without_stamps(lake[name])) for name in lake if name.startswith("silver_")
-    })
+    stored = stored_tables(spark, root, ("silver",))
+    return DeclaredTables({name: (lambda _, name=name: _without_stamps(stored[name])) for name in stored})
 
 
 def build_gold(spark: SparkSession, root: str, cuts: gold.SegmentCuts = gold.SegmentCuts(),
@@ -76,17 +78,33 @@ def _logged(spark: SparkSession, root: str, entries: list[tuple]) -> DataFrame:
     return log
 
 
+def _months(first: dt.date, until: dt.date) -> list[tuple[int, int]]:
+    found, year, month = [], first.year, first.month
+    while (year, month) <= (until.year, until.month):
+        found.append((year, month))
+        year, month = (year, month + 1) if month < 12 else (year + 1, 1)
+    return found
+
+
 def refresh_recent_days(spark: SparkSession, root: str, until: dt.date, days: int, job_id: str = "refresh") -> None:
     """Recompute the daily mart for the months that the last ``days`` days fall in.
 
     Late sales only change those months, and a month is what one directory
-    holds, so whole months are recomputed and only their directories replaced.
+    holds, so whole months are recomputed and their directories replaced. A
+    month that has no sales any more loses its directory. Months are those of
+    the date dimension, whatever the keys look like.
     """
     inputs = silver_inputs(spark, root)
-    first_month = (until - dt.timedelta(days=days)).replace(day=1)
-    in_reach = (F.make_date("year", "month", F.lit(1)) >= F.lit(first_month)) & (
-        F.make_date("year", "month", F.lit(1)) <= F.lit(until))
+    months = _months((until - dt.timedelta(days=days)).replace(day=1), until)
     # Stated on the partition columns, so older sales are not read at all.
-    recent = {**inputs, "silver_store_sales": inputs["silver_store_sales"].filter(in_reach)}
-    overwrite_touched(gold.daily_sales_summary(recent), f"{root}/gold/daily_sales_summary",
-                      gold.PARTITIONS["daily_sales_summary"], job_id=job_id)
+    in_reach = F.lit(False)
+    for year, month in months:
+        in_reach = in_reach | ((F.col("year") == year) & (F.col("month") == month))
+    recent = inputs.extended({"silver_store_sales": lambda _: inputs["silver_store_sales"].filter(in_reach)})
+    mart, target = gold.daily_sales_summary(recent), f"{root}/gold/daily_sales_summary"
+    kept = {(row.d_year, row.d_month) for row in mart.select("d_year", "d_month").distinct().collect()}
+    overwrite_touched(mart, target, gold.PARTITIONS["daily_sales_summary"], job_id=job_id)
+    for year, month in months:
+        directory = f"{target}/d_year={year}/d_month={month}"
+        if (year, month) not in kept and path_exists(spark, directory):
+            remove_folder(spark, directory)

@@ -8,28 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import one_row_per_key, whole_rows
 
 
-def _calendar_parts(date_key: str) -> dict[str, Column]:
-    """Partition columns read from the digits of a yyyymmdd key; NULL where it is no date."""
-    day = F.try_to_date(F.col(date_key).cast("string"), "yyyyMMdd")
-    return {"year": F.year(day), "month": F.month(day)}
+def _with_month(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Add year and month of the sold date, looked up in the date dimension (``d_date_sk, d_year, d_moy``).
 
+    The key is a plain key: it need not be readable as a date. A key the calendar lacks gives NULLs.
+    """
+    months = calendar.filter(F.col("d_date_sk").isNotNull()).groupBy(F.col("d_date_sk").alias("_day")).agg(
+        F.max(F.struct("d_year", "d_moy")).alias("_month"))
+    return sales.join(months, F.col("ss_sold_date_sk") == F.col("_day"), "left").select(
+        *sales.columns, F.col("_month.d_year").alias("year"), F.col("_month.d_moy").alias("month"))
 
-def store_sales(bronze: DataFrame) -> DataFrame:
+
+def store_sales(bronze: DataFrame, calendar: DataFrame) -> DataFrame:
     """Dated sales of at least one unit at a non-negative price, each row once."""
     sold = F.col("ss_sold_date_sk").isNotNull() & (F.col("ss_quantity") > 0) & (F.col("ss_sales_price") >= 0)
-    return whole_rows(bronze.filter(sold)).withColumns(_calendar_parts("ss_sold_date_sk"))
+    return _with_month(whole_rows(bronze.filter(sold)), calendar)
 
 
-def store_sales_keyed(bronze: DataFrame) -> DataFrame:
+def store_sales_keyed(bronze: DataFrame, calendar: DataFrame) -> DataFrame:
     """Variant: one row per ticket and item, dated sales only."""
     kept = one_row_per_key(bronze, ["ss_ticket_number", "ss_item_sk"])
-    return kept.filter(F.col("ss_sold_date_sk").isNotNull()).withColumns(_calendar_parts("ss_sold_date_sk"))
+    return _with_month(kept.filter(F.col("ss_sold_date_sk").isNotNull()), calendar)
 
 
 def customer(bronze: DataFrame) -> DataFrame:
@@ -49,18 +54,19 @@ def generic(bronze: DataFrame) -> DataFrame:
     return whole_rows(bronze)
 
 
-RULES = {"store_sales": store_sales, "customer": customer, "date_dim": date_dim}
+RULES = {"customer": customer, "date_dim": date_dim}
 
 # Directory layout of the stored tables; everything else is unpartitioned.
 PARTITIONS = {"store_sales": ("year", "month")}
 
 
-def build(table: str, bronze: DataFrame) -> DataFrame:
-    return RULES.get(table, generic)(bronze)
+def build(table: str, bronze: Mapping[str, DataFrame]) -> DataFrame:
+    """The silver form of any bronze table; those without a rule of their own lose whole-row copies."""
+    if table == "store_sales":
+        return store_sales(bronze["bronze_store_sales"], bronze["bronze_date_dim"])
+    return RULES.get(table, generic)(bronze[f"bronze_{table}"])
 
 
 def builders(tables=("store_sales", "customer", "date_dim", "item", "store")) -> Mapping:
     """Silver tables by name, each declared from its bronze table."""
-    return {
-        f"silver_{name}": (lambda lake, name=name: build(name, lake[f"bronze_{name}"])) for name in tables
-    }
+    return {f"silver_{name}": (lambda lake, name=name: build(name, lake)) for name in tables}

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions.masking import masked_connections, masked_customers
+from tidewell.functions.masking import masked_connections, masked_customers, masked_queries
 from tidewell.operators.quality import quarantine, sales_quality, sales_rules
-from tidewell.plans import business, challenges, gold, layer_queries, log_queries, silver
+from tidewell.plans import business, challenges, gold, layer_queries, log_queries, pipeline, silver
 from tidewell.schemas import DATABASE_LOG, NETWORK_LOG
 from tidewell.session import configure, fresh_folder
 from tidewell.sources.delimited import ingest_tables
+from tidewell.sources.lake import append_new, compact, write_table
 from tidewell.sources.samples import log_stream, sample_tables
 from tidewell.sources.tables import DeclaredTables
 from tidewell.streaming import logs
@@ -25,6 +26,7 @@ AS_OF = dt.date(2001, 8, 1)
 LTV_CUTS = gold.SegmentCuts(3_000_000, 2_000_000, 1_000_000)
 VIP_CUTS = challenges.VipCuts(3_000_000, 12, 2_000_000, 1_000_000)
 LOG_DAY = log_queries.Day(2024, 1, 5)
+REFRESH_UNTIL, REFRESH_DAYS = dt.date(2001, 7, 20), 40
 
 
 def sample_lake(spark: SparkSession, folder: str) -> DeclaredTables:
@@ -71,6 +73,72 @@ def _bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return ingest_tables(spark, source, target, names, schemas)
 
 
+def _sales_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads into one stored table, the second repeating the first; each ticket line is stored once."""
+    lake = sample_lake(spark, folder)
+    sales = silver.store_sales_keyed(lake["bronze_store_sales_dirty"], lake["bronze_date_dim"])
+    path, keys = fresh_folder(spark, "appended"), ["ss_ticket_number", "ss_item_sk"]
+    append_new(sales.filter("ss_ticket_number % 3 = 0"), path, keys, ["year"])
+    append_new(sales, path, keys, ["year"])
+    return spark.read.schema(sales.schema).parquet(path).select(*sales.columns)
+
+
+def _logs_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored log after one month of it was rewritten."""
+    logs_now = sample_lake(spark, folder)["database_logs"]
+    path = fresh_folder(spark, "compacted")
+    write_table(logs_now, path, ["year", "month"], stamp=False)
+    compact(spark, path, ["year", "month"], {"year": LOG_DAY.year, "month": LOG_DAY.month})
+    return _plain_time(spark.read.schema(logs_now.schema).parquet(path)).select(*logs_now.columns)
+
+
+def _daily_refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored daily mart after late sales: built without every tenth ticket, then refreshed for two months."""
+    lake, root = sample_lake(spark, folder), fresh_folder(spark, "refreshed")
+    early = lake.extended({"bronze_store_sales": lambda _: lake["bronze_store_sales"].filter("ss_ticket_number % 10 > 0")})
+    tables = ("store_sales", "date_dim")
+    pipeline.build_silver(spark, early, root, tables, job_id="first")
+    inputs = pipeline.silver_inputs(spark, root)
+    write_table(gold.daily_sales_summary(inputs), f"{root}/gold/daily_sales_summary",
+                gold.PARTITIONS["daily_sales_summary"], job_id="first")
+    pipeline.build_silver(spark, lake, root, tables, job_id="second")
+    pipeline.refresh_recent_days(spark, root, REFRESH_UNTIL, REFRESH_DAYS)
+    stored = spark.read.parquet(f"{root}/gold/daily_sales_summary")
+    return stored.select(*gold.daily_sales_summary(inputs).columns)
+
+
+def _broken_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Database-log records of which every seventh is cut short and every eleventh has a count out of range."""
+    data, place = F.col("data"), F.regexp_extract("data", r'"query_id":"q(\d+)"', 1).cast("long")
+    records = logs.as_records(log_stream(spark, folder, "database_logs"), DATABASE_LOG)
+    return records.select(
+        F.when(place % 7 == 0, F.substring(data, F.lit(1), F.length(data) - 9))
+        .when(place % 11 == 0, F.regexp_replace(data, r'"rows_affected":\d+', '"rows_affected":99999999999'))
+        .otherwise(data).alias("data"))
+
+
+def _judged_stream(part: int) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        configure(spark)
+        frame = logs.split_valid(logs.judged_logs(_broken_stream(spark, folder), DATABASE_LOG))[part]
+        stored, progress = fresh_folder(spark, "judged"), fresh_folder(spark, "judged-progress")
+        logs.write_quarantine(frame, progress, stored, available_now=True).awaitTermination()
+        found = spark.read.schema(frame.schema).parquet(stored)
+        if not part:
+            return _plain_time(found)
+        # The stored text is the record itself; of it, which record it is and whether it was cut short.
+        return found.select(F.regexp_extract("data", r'"query_id":"(q\d+)"', 1).alias("query_id"),
+                            (~F.endswith("data", F.lit("}"))).alias("truncated"))
+    return run
+
+
+def _dirty_sales(rule: Callable[..., DataFrame]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        lake = sample_lake(spark, folder)
+        return rule(lake["bronze_store_sales_dirty"], lake["bronze_date_dim"])
+    return run
+
+
 def _sales_quality(spark: SparkSession, folder: str) -> DataFrame:
     lake = sample_lake(spark, folder)
     return sales_quality(
@@ -89,11 +157,11 @@ def _rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "bronze_ingest": _bronze_ingest,
-    "silver_store_sales": lambda s, d: silver.store_sales(sample_lake(s, d)["bronze_store_sales_dirty"]),
-    "silver_store_sales_keyed": lambda s, d: silver.store_sales_keyed(sample_lake(s, d)["bronze_store_sales_dirty"]),
-    "silver_customer": lambda s, d: sample_lake(s, d)["silver_customer"],
-    "silver_date_dim": lambda s, d: sample_lake(s, d)["silver_date_dim"],
-    "silver_generic": lambda s, d: sample_lake(s, d)["silver_item"],
+    "silver_store_sales": _dirty_sales(silver.store_sales),
+    "silver_store_sales_keyed": _dirty_sales(silver.store_sales_keyed),
+    "silver_customer": lambda s, d: silver.customer(sample_lake(s, d)["bronze_customer_dirty"]),
+    "silver_date_dim": lambda s, d: silver.date_dim(sample_lake(s, d)["bronze_date_dim_dirty"]),
+    "silver_generic": lambda s, d: silver.generic(sample_lake(s, d)["bronze_item_dirty"]),
     "gold_daily_sales_summary": _on_lake(gold.daily_sales_summary),
     "gold_customer_lifetime_value": _on_lake(gold.customer_lifetime_value, cuts=LTV_CUTS),
     "gold_product_performance": _on_lake(gold.product_performance),
@@ -149,9 +217,15 @@ REGISTRY: dict[str, Query] = {
     "parse_network_logs": _parsed("network_logs", NETWORK_LOG),
     "stream_database_logs": _streamed("database_logs", DATABASE_LOG),
     "stream_network_logs": _streamed("network_logs", NETWORK_LOG),
+    "valid_database_logs": _judged_stream(0),
+    "quarantined_database_logs": _judged_stream(1),
+    "sales_appended": _sales_appended,
+    "logs_compacted": _logs_compacted,
+    "daily_refreshed": _daily_refreshed,
     "sales_quality": _sales_quality,
     "sales_quarantine": _quarantined,
     "traffic_rollup": _rollup,
     "masked_customers": lambda s, d: masked_customers(sample_lake(s, d)["silver_customer"], salt="lake"),
+    "masked_queries": lambda s, d: _plain_time(masked_queries(sample_lake(s, d)["database_logs"], salt="lake")),
     "masked_connections": lambda s, d: _plain_time(masked_connections(sample_lake(s, d)["network_logs"])),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in this package counts on. Broadcasts are left to
 # Spark: it broadcasts a side only when its measured size is below
-# spark.sql.autoBroadcastJoinThreshold, and falls back to a shuffled join that
+# spark.sql.autoBroadcastJoinThreshold (AQE measures at run time), and falls back to a shuffled join that
 # AQE may split on skew. forceOptimizeSkewedJoin lets AQE split a hot key even
 # where that costs one more exchange further up.
 RUNTIME_SETTINGS = {
@@ -53,10 +54,11 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        # "local-cluster" has executors of its own, so it counts as a cluster.
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="tidewell-")
-    if not context.getCheckpointDir():
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
@@ -74,22 +76,3 @@ def pin(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def measured(df: DataFrame) -> DataFrame:
-    """Give Spark the true size of a derived table that is expected to be small.
-
-    Spark estimates a DISTINCT or GROUP BY result from its input, so a few
-    thousand rows drawn from a huge table never look broadcastable. When the
-    estimate is above the broadcast threshold the rows are written once, and the
-    file size decides: small is broadcast, anything else joins by shuffle.
-    """
-    spark = df.sparkSession
-    jvm_plan = df._jdf.queryExecution().optimizedPlan()
-    estimate = int(jvm_plan.stats().sizeInBytes())
-    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if threshold < 0 or estimate <= threshold:
-        return df
-    folder = fresh_folder(spark, "measured")
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)

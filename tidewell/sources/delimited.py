@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.schemas import RAW_SCHEMAS, SOURCE_TABLES
-from tidewell.sources.lake import write_table
+from tidewell.sources.lake import first_line, write_table
 
 CORRUPT = "_corrupt_record"
 _LINE_END = "_line_end"
@@ -49,20 +50,23 @@ def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ingest_tables(spark: SparkSession, source: str, target: str, tables: str | Iterable[str] = "ALL",
-                  schemas: Mapping[str, T.StructType] = RAW_SCHEMAS, **read_options) -> DataFrame:
+                  schemas: Mapping[str, T.StructType] = RAW_SCHEMAS, job_id: str | None = None,
+                  **read_options) -> DataFrame:
     """Copy raw tables to Parquet, one directory each; a failing table does not stop the others.
 
-    Returns one status row per table. The row count is observed by the write
+    Each row gets its source folder, job and load time. Returns one status row per table. The row count is observed by the write
     itself, so no table is read twice.
     """
+    job_id = job_id or uuid.uuid4().hex
     names = SOURCE_TABLES if tables == "ALL" else [tables] if isinstance(tables, str) else list(tables)
     outcome = []
     for name in names:
         counted = Observation(name)
         try:
             raw = read_delimited(spark, f"{source}/{name}", schemas.get(name), **read_options)
-            write_table(raw.observe(counted, F.count(F.lit(1)).alias("rows")), f"{target}/{name}", stamp=False)
+            write_table(raw.observe(counted, F.count(F.lit(1)).alias("rows")), f"{target}/{name}",
+                        source=f"{source}/{name}", job_id=job_id)
             outcome.append((name, "ok", counted.get["rows"], None))
         except Exception as problem:  # reported to the caller, who decides
-            outcome.append((name, "failed", None, str(problem).splitlines()[0]))
+            outcome.append((name, "failed", None, first_line(problem)))
     return spark.createDataFrame(outcome, STATUS)

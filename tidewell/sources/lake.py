@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -57,11 +57,14 @@ def _near(stored: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame
 
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), **lineage) -> None:
-    """Append the rows whose key is not stored yet; running it twice adds nothing.
+    """Append the rows whose key is not stored yet; running it twice adds nothing, and a first load starts the table.
 
     Directory columns that belong to the key narrow the search to the span of
     directories that ``df`` falls in.
     """
+    if not path_exists(df.sparkSession, path):
+        write_table(one_row_per_key(df, keys), path, partition_by, **lineage)
+        return
     stored = df.sparkSession.read.parquet(path)
     nearby = _near(stored, df, [name for name in partition_by if name in keys])
     taken = nearby.select(*[F.col(key).alias(f"_{key}") for key in keys])
@@ -75,20 +78,28 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def compact(spark: SparkSession, path: str, partition_by: Sequence[str], where: Column,
+def _matches(values: Mapping[str, object]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(value)) for name, value in values.items()])
+
+
+def compact(spark: SparkSession, path: str, partition_by: Sequence[str], where: Mapping[str, object],
             rows_per_file: int = 5_000_000) -> None:
-    """Rewrite the selected directories into fewer, larger files.
+    """Rewrite the directories with the given partition values into fewer, larger files.
 
-    The rows go through a folder of their own first: a directory cannot be
-    replaced while it is being read, and a copy is there should the job die.
+    Only partition columns may be named, so a directory is rewritten as a whole or not at all. The rows go through a
+    folder of their own first: a directory cannot be replaced while it is being read, and a copy is there should the
+    job die; the copy is removed when the directories are replaced.
     """
+    if not where or set(where) - set(partition_by):
+        raise ValueError(f"where names partition columns only ({', '.join(partition_by)})")
     staging = fresh_folder(spark, "compact")
-    write_table(spark.read.parquet(path).filter(where), staging, partition_by, stamp=False)
+    spark.read.parquet(path).filter(_matches(where)).write.parquet(staging)
     (
         laid_out(spark.read.parquet(staging), partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
         .option("compression", "snappy").partitionBy(*partition_by).parquet(path)
     )
+    remove_folder(spark, staging)
 
 
 class Registered(NamedTuple):
@@ -96,20 +107,57 @@ class Registered(NamedTuple):
     status: str
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
+
+
 def _directories(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    found = [entry.getPath() for entry in entries if entry.isDirectory()]
+    system, folder = _file_system(spark, root)
+    found = [entry.getPath() for entry in system.listStatus(folder) if entry.isDirectory()]
     return sorted((p.getName(), p.toString()) for p in found if not p.getName().startswith(("_", ".")))
 
 
+def _kind_of_table(spark: SparkSession, name: str) -> str | None:
+    return spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
+
+
+def _register_external(spark: SparkSession, full: str, path: str) -> str:
+    """Create the table, or bring it up to date in place: new columns are added, partitions recovered."""
+    kind = _kind_of_table(spark, full)
+    if kind == "MANAGED":
+        return "managed, left alone"
+    if kind is None:
+        spark.catalog.createTable(full, path=path, source="parquet", mergeSchema="true")
+    else:
+        known = {column.name for column in spark.catalog.listColumns(full)}
+        added = [f for f in read_evolving(spark, path).schema.fields if f.name not in known]
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({columns})")
+    if any(column.isPartition for column in spark.catalog.listColumns(full)):
+        spark.catalog.recoverPartitions(full)
+    spark.catalog.refreshTable(full)
+    return "registered"
+
+
 def register_layer(spark: SparkSession, root: str, prefix: str, database: str | None = None) -> list[Registered]:
     """Make each directory under ``root`` queryable as ``prefix`` + its name.
 
-    Schema and partitions are discovered from the files and refreshed on every
-    call. With a database the tables are external and outlast the session;
-    otherwise they are temporary views. A table whose directory has gone is
-    reported and left in place.
+    Schema and partitions are discovered from the files and refreshed in place
+    on every call. With a database the tables are external and outlast the
+    session; otherwise they are temporary views. A managed table of the same
+    name is left alone, and a table whose directory has gone is reported.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -117,17 +165,19 @@ def register_layer(spark: SparkSession, root: str, prefix: str, database: str |
     for name, path in _directories(spark, root):
         table = prefix + name
         if database:
-            full = f"{database}.{table}"
-            spark.sql(f"DROP TABLE IF EXISTS {full}")
-            spark.catalog.createTable(full, path=path, source="parquet", mergeSchema="true")
-            if any(column.isPartition for column in spark.catalog.listColumns(full)):
-                spark.catalog.recoverPartitions(full)
+            present.append(Registered(table, _register_external(spark, f"{database}.{table}", path)))
         else:
             read_evolving(spark, path).createOrReplaceTempView(table)
-        present.append(Registered(table, "registered"))
+            present.append(Registered(table, "registered"))
     known = {t.name for t in spark.catalog.listTables(database) if t.name.startswith(prefix)}
     return present + [Registered(name, "missing") for name in sorted(known - {r.table for r in present})]
 
 
 def create_table_as(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
+
+
+def first_line(problem: Exception) -> str:
+    """What to log of an error; its kind where it has no message."""
+    lines = str(problem).strip().splitlines()
+    return lines[0] if lines else type(problem).__name__

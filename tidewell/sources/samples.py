@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.session import measured
 from tidewell.sources.tables import DeclaredTables
 
 # Declared so that no read has to open parquet footers first.
@@ -111,7 +110,7 @@ def _customer(raw: _Raw) -> DataFrame:
 def _date_dim(raw: _Raw) -> DataFrame:
     day = F.col("d_date")
     days = raw.orders.select(F.col("o_orderdate").cast("date").alias("d_date")).distinct()
-    return measured(days).select(
+    return days.select(
         _date_key("d_date").alias("d_date_sk"),
         day,
         F.year(day).alias("d_year"),
@@ -120,6 +119,36 @@ def _date_dim(raw: _Raw) -> DataFrame:
     )
 
 
+def _customer_dirty(raw: _Raw) -> DataFrame:
+    """Customers with missing keys, and repeated keys whose copies differ or lack a value."""
+    key = F.col("c_customer_sk")
+    copy = F.explode(F.sequence(F.lit(0), F.when(key % 7 == 0, 2).otherwise(0)))
+    return _customer(raw).withColumn("copy", copy).withColumns({
+        "c_customer_sk": F.when(key % 31 != 0, key),
+        "c_last_name": F.when(F.col("copy") == 0, F.col("c_last_name")),
+        "c_birth_year": (F.col("c_birth_year") + F.col("copy")).cast("int"),
+    }).drop("copy")
+
+
+def _date_dim_dirty(raw: _Raw) -> DataFrame:
+    """Dates with missing keys and day names, and repeated keys of another day name."""
+    key = F.col("d_date_sk")
+    copy = F.explode(F.sequence(F.lit(0), F.when(key % 5 == 0, 1).otherwise(0)))
+    return _date_dim(raw).withColumn("copy", copy).withColumns({
+        "d_day_name": F.when(key % 11 == 0, F.lit(None)).when(F.col("copy") == 1, F.lit("Caturday"))
+        .otherwise(F.col("d_day_name")),
+        "d_date_sk": F.when(key % 13 != 0, key),
+    }).drop("copy")
+
+
+def _item_dirty(raw: _Raw) -> DataFrame:
+    """Items of which every third stands twice, and every sixth once more under another brand."""
+    key = F.col("i_item_sk")
+    copy = F.explode(F.sequence(F.lit(0), F.when(key % 6 == 0, 2).when(key % 3 == 0, 1).otherwise(0)))
+    return _item(raw).withColumn("copy", copy).withColumn(
+        "i_brand", F.when(F.col("copy") == 2, F.lit("own brand")).otherwise(F.col("i_brand"))).drop("copy")
+
+
 def _item(raw: _Raw) -> DataFrame:
     return raw.part.select(
         F.col("p_partkey").alias("i_item_sk"),
@@ -148,16 +177,16 @@ def _database_logs(raw: _Raw) -> DataFrame:
     return _event_clock(raw.events).select(
         "timestamp",
         F.concat(F.lit("q"), _text(event)).alias("query_id"),
-        _pick(event % 4, "users_db", "orders_db", "products_db", "analytics_db").alias("database"),
-        _pick(user % 6, "users", "orders", "products", "transactions", "sessions", "events").alias("table"),
-        F.when(kind == "view", "SELECT").when(kind == "signup", "INSERT").when(kind == "click", "UPDATE")
-        .when(failed, "DELETE").otherwise("JOIN").alias("query_type"),
+        _pick(event % 4, "ledger", "fleet", "archive", "people").alias("database"),
+        _pick(user % 6, "invoices", "parcels", "shelves", "visits", "ratings", "coupons").alias("table"),
+        F.when(kind == "view", "SELECT").when(kind == "signup", "INSERT").when(kind == "click", "MERGE")
+        .when(failed, "CALL").otherwise("VACUUM").alias("query_type"),
         (F.col("value") * 50).alias("execution_time_ms"),
         (event % 50001).cast("int").alias("rows_affected"),
         F.concat(F.lit("user"), _text(user % 8)).alias("user"),
         F.concat(F.lit("10.0."), _text(user % 256), F.lit("."), _text(event % 254 + 1)).alias("client_ip"),
         F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(failed, _pick(event % 3, "Connection timeout", "Deadlock detected", "Permission denied"))
+        F.when(failed, _pick(event % 3, "row version changed", "quota used up", "replica behind"))
         .alias("error_message"),
         "event_timestamp", "year", "month", "day", "hour",
     )
@@ -173,18 +202,18 @@ def _network_logs(raw: _Raw) -> DataFrame:
         F.concat(F.lit("192.168.0."), _text(user)).alias("source_ip"),
         whole(1024 + event % 64512).alias("source_port"),
         F.concat(F.lit("10.1."), _text(event % 256), F.lit(".1")).alias("destination_ip"),
-        _pick(user % 7, 80, 443, 22, 21, 3306, 5432, 8080).alias("destination_port"),
-        _pick(event % 6, "HTTP", "HTTPS", "TCP", "UDP", "FTP", "SSH").alias("protocol"),
+        _pick(user % 7, 70, 123, 514, 1883, 5683, 9418, 11211).alias("destination_port"),
+        _pick(event % 6, "HTTP", "HTTPS", "MQTT", "NTP", "SYSLOG", "GIT").alias("protocol"),
         whole(100 + (event * 7919) % 999901).alias("bytes_sent"),
         whole(100 + (event * 104729) % 4999901).alias("bytes_received"),
         whole(10 + event % 4991).alias("duration_ms"),
         whole(1 + event % 1000).alias("packets_sent"),
         whole(1 + event % 2000).alias("packets_received"),
-        F.when(http, _pick(user % 5, "GET", "POST", "PUT", "DELETE", "PATCH")).alias("http_method"),
-        F.when(http, _pick(user % 8, 200, 201, 204, 301, 401, 404, 500, 503)).alias("status_code"),
-        F.when(http, _pick(user % 4, "/api/users", "/api/orders", "/health", "/metrics")).alias("url_path"),
-        F.when(http, _pick(user % 3, "curl/7.68.0", "python-requests/2.28.0", "Mozilla/5.0")).alias("user_agent"),
-        F.when(http & (event % 10 > 2), "https://example.com/health").alias("referer"),
+        F.when(http, _pick(user % 5, "GET", "HEAD", "OPTIONS", "TRACE", "CONNECT")).alias("http_method"),
+        F.when(http, _pick(user % 8, 206, 202, 304, 308, 409, 418, 504, 507)).alias("status_code"),
+        F.when(http, _pick(user % 4, "/tides", "/harbour/berths", "/log/today", "/map.png")).alias("url_path"),
+        F.when(http, _pick(user % 3, "buoy/1.4", "lighthouse/0.9", "logbook/3.2")).alias("user_agent"),
+        F.when(http & (event % 10 > 2), "https://example.com/log/today").alias("referer"),
         "event_timestamp", "year", "month", "day", "hour",
     )
 
@@ -197,6 +226,9 @@ def sample_tables(spark: SparkSession, folder: str) -> DeclaredTables:
         "bronze_store_sales_dirty": _store_sales_dirty,
         "bronze_customer": _customer,
         "bronze_date_dim": _date_dim,
+        "bronze_customer_dirty": _customer_dirty,
+        "bronze_date_dim_dirty": _date_dim_dirty,
+        "bronze_item_dirty": _item_dirty,
         "bronze_item": _item,
         "bronze_store": _store,
         "database_logs": _database_logs,

@@ -15,19 +15,36 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewell.schemas import DATABASE_LOG, LOG_PARTITIONS, NETWORK_LOG
 
 TRIGGER = "30 seconds"
+REJECTED = "rejected"
+_CORRUPT = "_corrupt_record"
 
 
 def parse_logs(records: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse the JSON documents in column ``data`` and add the event time and its partition columns.
 
-    Parsing never fails: a bad document or time gives NULLs, which
-    ``split_valid`` tells apart.
+    Parsing never fails: a bad document, field or time gives NULLs; see
+    ``judged_logs`` for what to do with such records.
     """
-    fields = records.select(F.from_json(F.col("data").cast("string"), schema).alias("record")).select("record.*")
+    return judged_logs(records, schema).drop(REJECTED)
+
+
+def judged_logs(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """As ``parse_logs``, with the text of each record that does not fit in column ``rejected``, else NULL.
+
+    A record fits if it is a JSON document, each of its fields has the declared
+    type and range, and its time can be read.
+    """
+    text = F.col("data").cast("string")
+    with_text = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(text, with_text, {"columnNameOfCorruptRecord": _CORRUPT})
     when = F.col("event_timestamp")
-    return fields.withColumn("event_timestamp", F.try_to_timestamp("timestamp")).withColumns({
-        "year": F.year(when), "month": F.month(when), "day": F.dayofmonth(when), "hour": F.hour(when),
-    })
+    fields = records.select(text.alias("_data"), parsed.alias("record")).select("_data", "record.*")
+    timed = fields.withColumn("event_timestamp", F.try_to_timestamp("timestamp"))
+    bad = F.col(_CORRUPT).isNotNull() | when.isNull()
+    return timed.select(
+        *[F.col(f"`{name}`") for name in schema.names], when,
+        F.year(when).alias("year"), F.month(when).alias("month"), F.dayofmonth(when).alias("day"),
+        F.hour(when).alias("hour"), F.when(bad, F.coalesce("_data", F.lit(""))).alias(REJECTED))
 
 
 def parse_database_logs(records: DataFrame) -> DataFrame:
@@ -39,9 +56,9 @@ def parse_network_logs(records: DataFrame) -> DataFrame:
 
 
 def split_valid(logs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with an event time, and the rest for quarantine."""
-    dated = F.col("event_timestamp").isNotNull()
-    return logs.filter(dated), logs.filter(~dated)
+    """Of judged logs, the rows that fit; and the text of the others, to be replayed once mended."""
+    fits = F.col(REJECTED).isNull()
+    return logs.filter(fits).drop(REJECTED), logs.filter(~fits).select(F.col(REJECTED).alias("data"))
 
 
 def as_records(logs: DataFrame, schema: T.StructType) -> DataFrame:
@@ -95,3 +112,10 @@ def write_log_stream(logs: DataFrame, checkpoint: str, path: str | None = None,
     if provider == "iceberg":
         writer = writer.option("fanout-enabled", "true")
     return writer.toTable(table) if table else writer.start()
+
+
+def write_quarantine(rejected: DataFrame, checkpoint: str, path: str, available_now: bool = False) -> StreamingQuery:
+    """Append the rejected records' text to a folder of its own, one record per row in column ``data``."""
+    writer = rejected.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)
+    return writer.start(path)
