@@ -31,6 +31,8 @@ UNDETERMINED = "und"
 EDGE = " "
 # Rejection: excess bits per character, at this share of calibration texts, times a margin; never under the floor.
 TAIL, MARGIN, FLOOR = 0.999, 2.0, 1.0
+# Text of a slice; a task scores each of its distinct words once.
+SLICE = 4 << 20
 # Texts this short are expected to stray further from the mean.
 SHORT = 100
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -135,7 +137,7 @@ def _strayed(excess: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _counted(batches):
     """lang, word and how often, summed within a slice."""
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=SLICE):
         sizes, indices, words = _words(batch.column("text"))
         langs = batch.column("lang").dictionary_encode()
         codes = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes)
@@ -257,7 +259,7 @@ def _calibrated(spark, models: LanguageModels, apart: DataFrame) -> LanguageMode
     shared = spark.sparkContext.broadcast(tuple(models))
 
     def own(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=SLICE):
             known = LanguageModels(*shared.value)
             bits, counts = _entropies(batch.column("text"), known)
             codes = [known.languages.index(lang) if lang in known.languages else -1
@@ -279,8 +281,8 @@ def _calibrated(spark, models: LanguageModels, apart: DataFrame) -> LanguageMode
     return models._replace(usual=np.array(usual), excess=np.maximum(np.array(tail), FLOOR) * MARGIN)
 
 
-def identify(docs: DataFrame, models: LanguageModels | None) -> DataFrame:
-    """Per input row: doc_id, row (all columns as a struct), lang_pred, score, bits and rejected.
+def identify(docs: DataFrame, models: LanguageModels | None, carry: bool = True) -> DataFrame:
+    """Per input row: doc_id, row (all columns as a struct, with ``carry``), lang_pred, score, bits and rejected.
 
     ``bits`` is the cross-entropy per character in the language of lowest cross-entropy, ``score`` that language's
     share of the probability over all, with texts weighing as 64 characters at most. A text that is null or has no
@@ -292,7 +294,7 @@ def identify(docs: DataFrame, models: LanguageModels | None) -> DataFrame:
 
     def run(batches):
         known = shared.value and LanguageModels(*shared.value)
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=SLICE):
             rows = batch.num_rows
             named, score, least = np.full(rows, UNDETERMINED, object), np.zeros(rows), np.full(rows, np.nan)
             rejected = np.ones(rows, bool)
@@ -307,14 +309,20 @@ def identify(docs: DataFrame, models: LanguageModels | None) -> DataFrame:
                 least[lettered] = own[lettered]
                 strayed = _strayed(own - known.usual[best], counts)
                 rejected = ~lettered | (strayed > known.excess[best])
-            kept = [batch.column(name) for name in batch.schema.names if name != "text"]
+            names = [name for name in batch.schema.names if carry or name != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(named, pa.string()), pa.array(score), pa.array(least, from_pandas=True),
-                 pa.array(rejected)],
-                [*[name for name in batch.schema.names if name != "text"], "lang_pred", "score", "bits", "rejected"])
-
-    packed = docs.select(
-        docs["doc_id"].alias("doc_id"), docs["text"].alias("text"),
-        F.struct(*[docs[name] for name in docs.columns]).alias("row"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.drop("text").schema)
-    return packed.mapInArrow(run, f"{kinds}, lang_pred string, score double, bits double, rejected boolean")
+                [*[batch.column(name) for name in names], pa.array(named, pa.string()), pa.array(score),
+                 pa.array(least, from_pandas=True), pa.array(rejected)],
+                [*names, "lang_pred", "score", "bits", "rejected"])
+
+    # The text travels once, beside the other columns.
+    others = [docs[name] for name in docs.columns if name != "text"]
+    packed = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), *(
+        [F.struct(*others).alias("others")] if carry else []))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema if carry or f.name != "text")
+    found = packed.mapInArrow(run, f"{kinds}, lang_pred string, score double, bits double, rejected boolean")
+    if not carry:
+        return found
+    row = F.struct(*[(F.col("text") if name == "text" else F.col("others").getField(name)).alias(name)
+                     for name in docs.columns])
+    return found.select("doc_id", row.alias("row"), "lang_pred", "score", "bits", "rejected")

@@ -33,7 +33,7 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = documents(spark, folder), crc_share(F.col("doc_id"), 3) == 1
-    return identify(docs, train(docs.filter(~held_out))).select(
+    return identify(docs, train(docs.filter(~held_out)), carry=False).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "bits")
 
 
