@@ -22,7 +22,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +37,10 @@ SLICE = 6 << 20
 UNKNOWN_PENALTY = 10.0
 
 
+# Powers of an odd number, modulo 2 ** 64.
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, place, 1 << 64) for place in range(64)], np.uint64)
+
+
 class Vocabulary(NamedTuple):
     pieces: list[tuple[str, int, float]]  # with plain spaces; those that text can match
     byte_ids: list[int]  # of the 256 byte pieces; empty if there are none
@@ -83,14 +86,24 @@ class Splitter:
             signs -= mixed
         kinds = re.escape("".join(sorted(signs)))
         self._inner = re.compile(f" *[{kinds}]+| *[^ {kinds}]+| +") if signs else None
-        self._outer = b" " + "".join(sorted(signs)).encode()
+        self._outer = np.zeros(256, bool)
+        self._outer[np.frombuffer((" " + "".join(sorted(signs))).encode(), np.uint8)] = True
 
     def inner(self, unit: str) -> list[str]:
         return self._inner.findall(unit) if self._inner else [unit]
 
-    def core(self, unit: bytes) -> bytes:
-        """What a unit is about: units with the same core are dealt to the same partition."""
-        return unit.strip(self._outer)
+    def parts(self, units: pa.LargeBinaryArray, parts: int) -> np.ndarray:
+        """Where each unit is dealt to: by a polynomial over its bytes without spaces and signs, so that units around
+        the same word, and the word itself, meet."""
+        offsets = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+        raw = np.frombuffer(units.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        inside, starts = ~self._outer[raw], offsets[:-1] - offsets[0]
+        nth = np.cumsum(inside)
+        nth -= np.repeat(nth[starts] - inside[starts], np.diff(offsets))
+        terms = np.where(inside, (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[nth & 63], np.uint64(0))
+        sums = np.add.reduceat(terms, starts)
+        sums ^= sums >> np.uint64(32)
+        return ((sums * _POWERS[1]) >> np.uint64(33)).astype(np.int64) % parts
 
     def cut(self, content: list[bytes]) -> tuple[np.ndarray, pa.Array]:
         """Number of units of each text, and all units. A unit starts where a text does, at the first of several
@@ -118,7 +131,7 @@ def _distinct(batch: pa.RecordBatch, splitter: Splitter, parts: int):
     lengths, found = splitter.cut(texts(batch))
     encoded = found.dictionary_encode()
     units = encoded.dictionary
-    part = np.array([xxhash.xxh64_intdigest(splitter.core(unit)) % parts for unit in units.to_pylist()], np.int32)
+    part = splitter.parts(units, parts).astype(np.int32) if len(units) else np.zeros(0, np.int32)
     order = pc.sort_indices(pa.table({"part": part, "unit": units}), [
         ("part", "ascending"), ("unit", "ascending")]).to_numpy()
     return lengths, encoded.indices.to_numpy(zero_copy_only=False), units, part, order
@@ -130,12 +143,12 @@ def _pack_units(offsets: np.ndarray, data: memoryview, low: int, high: int) -> b
         blob, codec="zstd", asbytes=True)
 
 
-def _unpack_units(data: bytes) -> list[str]:
+def _unpack_units(data: bytes) -> list[bytes]:
     size = 8 + int.from_bytes(data[:8], "little")
     ends = np.cumsum(unpack(data[8:size]).astype(np.int64))
     blob = pa.decompress(data[size + 8:], decompressed_size=int.from_bytes(data[size:size + 8], "little"),
                          codec="zstd", asbytes=True)
-    return [blob[start:end].decode() for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    return [blob[start:end] for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 def _asked(splitter: Splitter, parts: int):
@@ -178,7 +191,7 @@ def _distinct_units(splitter: Splitter):
     def run(table: pa.Table) -> pa.Table:
         """The distinct sub-units of all units asked about in a partition."""
         units = set().union(*[_unpack_units(data) for data in table.column("units").to_pylist()])
-        found = sorted({inner for unit in units for inner in splitter.inner(unit)})
+        found = sorted({inner for unit in units for inner in splitter.inner(unit.decode())})
         part = table.column("part")[0].as_py()
         return pa.table({"part": pa.array([part] * len(found), pa.int32()), "unit": pa.array(found, pa.string())})
     return run
@@ -359,7 +372,7 @@ def _answered(vocabulary: Vocabulary, splitter: Splitter):
             for unit in units:
                 if unit not in place:
                     place[unit] = len(place)
-                    for found in splitter.inner(unit):
+                    for found in splitter.inner(unit.decode()):
                         flat.extend(inner[found])
                     ends.append(len(flat))
             rows.append((number, part, np.array([place[unit] for unit in units], np.int64)))
