@@ -51,3 +51,11 @@ def test_one_group_and_one_value_spread_over_tasks(spark):
     got = rank_within(df, ["g"], "v", ["id"], "rank")
     want = df.withColumn("rank", F.rank().over(W.partitionBy("g").orderBy(F.col("v").desc())))
     assert got.exceptAll(want).count() == 0 and got.count() == 30_000
+
+
+def test_tiles_of_doubles_closer_than_a_millionth_and_beyond_decimals(spark):
+    df = spark.range(40).withColumn("v", F.col("id") % 7 * F.lit(1e-9)).withColumn("w", (F.col("id") % 3) * F.lit(1e40))
+    got = tiles(df, "id", {"a": F.col("v"), "b": -F.col("w"), "c": F.col("id")}, 5)
+    want = df.select("id", *[F.ntile(5).over(W.orderBy(value, "id")).alias(name) for name, value in (
+        ("a", F.col("v")), ("b", -F.col("w")), ("c", F.col("id")))])
+    assert sorted(got.select("id", "a", "b", "c").collect()) == sorted(want.collect())

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.session import pin
 
@@ -66,19 +67,24 @@ def rank_within(df: DataFrame, groups: Sequence[str], best: str, unique: Sequenc
     order += [F.col(best).desc_nulls_last(), *[F.col(u).asc_nulls_first() for u in unique]]
     placed = with_position(df, order, "_position")
     renamed = {g: f"_{g}" for g in groups}
-    firsts = (
-        placed.groupBy(*[F.col(g).alias(renamed[g]) for g in groups], F.col(best).alias("_value"))
-        .agg(F.min("_position").alias("_first"))
-    )
-    starts = (
-        firsts.groupBy(*[F.col(r).alias(f"_{r}") for r in renamed.values()]).agg(F.min("_first").alias("_start"))
-    )
-    ranks = (
-        firsts.join(starts, _null_safe(firsts, starts, [(r, f"_{r}") for r in renamed.values()]))
-        .select(*renamed.values(), "_value", (F.col("_first") - F.col("_start") + 1).cast("int").alias(name))
-    )
-    on = _null_safe(placed, ranks, [*renamed.items(), (best, "_value")])
-    return placed.join(ranks, on).select(*df.columns, name)
+    keys = [F.col(g).alias(renamed[g]) for g in groups]
+    # One row per group; and one per value that ties, usually few: any other row is the first of its value itself.
+    starts = placed.groupBy(*keys).agg(F.min("_position").alias("_start"))
+    ties = placed.groupBy(*keys, F.col(best).alias("_value")).agg(
+        F.min("_position").alias("_first"), F.count("*").alias("_rows")).filter("_rows > 1").drop("_rows")
+    ties = ties.withColumnsRenamed({r: f"_{r}" for r in renamed.values()})
+    tied = _null_safe(placed, ties, [*[(g, f"_{r}") for g, r in renamed.items()], (best, "_value")])
+    ranked = placed.join(ties, tied, "left")
+    ranked = ranked.join(starts, _null_safe(ranked, starts, list(renamed.items())))
+    rank = F.coalesce("_first", "_position") - F.col("_start") + 1
+    return ranked.select(*[placed[name] for name in df.columns], rank.cast("int").alias(name))
+
+
+def _exact(kind: T.DataType) -> bool:
+    """Whether a number of this type fits DECIMAL(38,6) as it is."""
+    if isinstance(kind, T.DecimalType):
+        return kind.scale <= 6 and kind.precision - kind.scale <= 32
+    return isinstance(kind, T.IntegralType)
 
 
 def tiles(df: DataFrame, key: str, measures: Mapping[str, Column], n: int) -> DataFrame:
@@ -90,9 +96,23 @@ def tiles(df: DataFrame, key: str, measures: Mapping[str, Column], n: int) -> Da
     nothing is joined back row by row.
     """
     base = pin(df)
+    kinds = base.select(*[expr.alias(name) for name, expr in measures.items()]).schema
+    # Measures of one comparable form share a layout; doubles, say, keep a layout of their own type.
+    forms: dict[str, dict[str, Column]] = {}
+    for field in kinds:
+        form = "decimal(38,6)" if _exact(field.dataType) else field.dataType.simpleString()
+        forms.setdefault(form, {})[field.name] = measures[field.name].cast(form)
+    result = base
+    for number, same in enumerate(forms.values()):
+        result = _tiled(result, base, key, same, n, f"_cuts{number}_")
+    return result.select(*df.columns, *measures)
+
+
+def _tiled(result: DataFrame, base: DataFrame, key: str, measures: Mapping[str, Column], n: int,
+           prefix: str) -> DataFrame:
+    """Add the tiles of measures that have one type."""
     entries = F.array(*[
-        F.struct(F.lit(i).alias("_measure"), expr.cast("decimal(38,6)").alias("_value"))
-        for i, expr in enumerate(measures.values())
+        F.struct(F.lit(i).alias("_measure"), expr.alias("_value")) for i, expr in enumerate(measures.values())
     ])
     long = base.select(F.explode(entries).alias("_entry"), F.col(key).alias("_key")).select("_entry.*", "_key")
     # All measures hold the same rows, so measure i occupies positions i*rows+1 … (i+1)*rows.
@@ -113,20 +133,19 @@ def tiles(df: DataFrame, key: str, measures: Mapping[str, Column], n: int) -> Da
             F.collect_list(F.when(
                 F.col("_measure") == i,
                 F.struct("_null", "_value", "_key", "_ends"),
-            )).alias(f"_cuts{i}")
+            )).alias(f"{prefix}{i}")
             for i in range(len(measures))
         ])
     )
-    result = base.crossJoin(F.broadcast(cuts))
-    for i, (name, expr) in enumerate(measures.items()):
-        value = expr.cast("decimal(38,6)")
+    result = result.crossJoin(F.broadcast(cuts))
+    for i, (name, value) in enumerate(measures.items()):
         mine = F.struct(value.isNull().alias("_null"), value.alias("_value"), F.col(key).alias("_key"))
         passed = F.aggregate(
-            f"_cuts{i}", F.lit(0),
+            f"{prefix}{i}", F.lit(0),
             lambda total, cut: total + F.when(
                 F.struct(cut["_null"].alias("_null"), cut["_value"].alias("_value"), cut["_key"].alias("_key")) < mine,
                 cut["_ends"],
             ).otherwise(0),
         )
         result = result.withColumn(name, passed + 1)
-    return result.select(*df.columns, *measures)
+    return result
