@@ -92,13 +92,18 @@ RETAIL_QUERIES = {
              JOIN silver_item ON i_item_sk = ss_item_sk
         GROUP BY s_store_sk, s_store_name, i_item_sk, i_item_desc
         QUALIFY store_rank <= 10""",
-    "bronze_ingest": """
-        SELECT table_name, 'ok' AS status, "rows", CAST(NULL AS VARCHAR) AS error FROM (
-            SELECT 'store_sales' AS table_name, count(*) AS "rows" FROM bronze_store_sales
-            UNION ALL SELECT 'customer', count(*) FROM bronze_customer
-            UNION ALL SELECT 'date_dim', count(*) FROM bronze_date_dim
-            UNION ALL SELECT 'item', count(*) FROM bronze_item
-            UNION ALL SELECT 'store', count(*) FROM bronze_store)""",
+    "bronze_ingest": " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, count(*) AS "rows",
+                   CAST(sum({' + '.join(f"coalesce(length(CAST({c} AS VARCHAR)), 0)" for c in columns.split())})
+                        AS BIGINT) AS checksum
+            FROM bronze_{table}"""
+        for table, columns in {
+            "store_sales": "ss_sold_date_sk ss_item_sk ss_customer_sk ss_store_sk ss_ticket_number ss_line_number ss_quantity ss_sales_price",
+            "customer": "c_customer_sk c_customer_id c_first_name c_last_name c_email_address c_birth_country c_birth_year",
+            "date_dim": "d_date_sk d_date d_year d_moy d_day_name",
+            "item": "i_item_sk i_item_id i_item_desc i_category i_brand",
+            "store": "s_store_sk s_store_name",
+        }.items()),
     "sales_quality": """
         WITH all_sales AS (SELECT * FROM bronze_store_sales_dirty),
         failures AS (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,14 +64,24 @@ def _streamed(table: str, schema) -> Query:
 
 
 def _bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Delimited copies of the raw tables, ingested; one status row per table."""
+    """Delimited copies of the raw tables, ingested; per table its status and what is read back from the stored form.
+
+    The checksum is the sum of the lengths of all values as text, so it covers every column.
+    """
     lake = sample_lake(spark, folder)
     source, target = fresh_folder(spark, "delimited"), fresh_folder(spark, "bronze")
     names = ("store_sales", "customer", "date_dim", "item", "store")
     for name in names:
         lake[f"bronze_{name}"].write.option("sep", "|").csv(f"{source}/{name}")
     schemas = {name: lake[f"bronze_{name}"].schema for name in names}
-    return ingest_tables(spark, source, target, names, schemas)
+    status = ingest_tables(spark, source, target, names, schemas).select("table_name", "status", "error")
+    lengths = lambda name: reduce(lambda a, b: a + b, [
+        F.coalesce(F.length(F.col(column).cast("string")), F.lit(0)) for column in schemas[name].names])
+    read_back = reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{target}/{name}").agg(
+            F.lit(name).alias("name"), F.count("*").alias("rows"), F.sum(lengths(name)).alias("checksum"))
+        for name in names])
+    return status.join(read_back, F.col("table_name") == F.col("name")).drop("name")
 
 
 def _sales_appended(spark: SparkSession, folder: str) -> DataFrame:
