@@ -230,9 +230,13 @@ def train(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Lang
     spark = labelled.sparkSession
     rows = labelled.select("lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
-    shares = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
+    sizes = rows.groupBy("lang").count().collect()  # one row per language
+    if not sizes:
+        return None
+    # A few rows, already counted on the driver, beside the documents: no text is shuffled by language.
+    shares = spark.createDataFrame([(row.lang, sample / row["count"]) for row in sizes], "lang string, share double")
     drawn = stored(
-        rows.withColumn("place", place).join(shares, "lang").filter(F.col("place") < F.col("share"))
+        rows.withColumn("place", place).join(F.broadcast(shares), "lang").filter(F.col("place") < F.col("share"))
         .select("lang", "text", (F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(CALIBRATION)) == 0).alias("apart")),
         "langid")
     words = drawn.filter(~F.col("apart")).select("lang", "text").mapInArrow(_counted, "lang string, word string, n long")
