@@ -39,14 +39,16 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def pack(values: np.ndarray) -> bytes:
     """Whole numbers as compressed byte planes; small or slowly growing ones take little room."""
-    planes = np.ascontiguousarray(values).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    values = np.ascontiguousarray(values).astype("<u8")
+    width = 4 if not len(values) or values.max() < 1 << 32 else 8
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return len(values).to_bytes(7, "little") + bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    planes = pa.decompress(data[8:], decompressed_size=8 * size, codec="zstd", asbytes=True)
-    return np.frombuffer(planes, np.uint8).reshape(8, size).T.copy().view("<u8").ravel()
+    size, width = int.from_bytes(data[:7], "little"), data[7]
+    planes = pa.decompress(data[8:], decompressed_size=width * size, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(width, size).T.copy().view(f"<u{width}").ravel().astype(np.uint64)
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:

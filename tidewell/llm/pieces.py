@@ -225,8 +225,9 @@ def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         edge = F.col("rank") + F.col("start").cast("long") * 128 + (F.col("stop") - F.col("start"))
     else:
         edge = F.struct("score", "start", "stop")
-    return useful.groupBy("part", "unit", "size").agg(
+    grouped = useful.groupBy("part", "unit").agg(
         F.sort_array(F.collect_list(F.when(F.col("rank").isNotNull(), edge))).alias("edges"))
+    return grouped.withColumn("size", F.length("unit"))
 
 
 def _bit(place: Column) -> Column:
@@ -402,8 +403,12 @@ def _decoded(ids: pa.ListArray, table: pa.Array) -> pa.Array:
         sizes = pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False)
         joined = pc.binary_join(pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), table.take(some.flatten())), b"")
-        found += [(text[1:] if text[:1] == b" " else text).decode("utf-8", "replace") for text in joined.to_pylist()]
-    return pa.array(found, pa.string())
+        try:
+            text = joined.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no UTF-8
+            text = pa.array([value.decode("utf-8", "replace") for value in joined.to_pylist()], pa.string())
+        found.append(pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text))
+    return pa.concat_arrays(found) if found else pa.array([], pa.string())
 
 
 def _assembled(table):
