@@ -17,12 +17,13 @@ from tidewell.operators.dedup import one_row_per_key, whole_rows
 def _with_month(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Add year and month of the sold date, looked up in the date dimension (``d_date_sk, d_year, d_moy``).
 
-    The key is a plain key: it need not be readable as a date. A key the calendar lacks gives NULLs.
+    The key is a plain key: it need not be readable as a date. A key the calendar lacks gives NULLs. Both parts go as
+    one number, which is aggregated by hash and not by sorting.
     """
     months = calendar.filter(F.col("d_date_sk").isNotNull()).groupBy(F.col("d_date_sk").alias("_day")).agg(
-        F.max(F.struct("d_year", "d_moy")).alias("_month"))
+        F.max(F.col("d_year") * 100 + F.col("d_moy")).alias("_month"))
     return sales.join(months, F.col("ss_sold_date_sk") == F.col("_day"), "left").select(
-        *sales.columns, F.col("_month.d_year").alias("year"), F.col("_month.d_moy").alias("month"))
+        *sales.columns, F.expr("CAST(_month div 100 AS INT)").alias("year"), (F.col("_month") % 100).alias("month"))
 
 
 def store_sales(bronze: DataFrame, calendar: DataFrame) -> DataFrame:
