@@ -206,6 +206,25 @@ def test_quality_keeps_clean_documents_and_drops_junk(spark):
     assert shares[1] == 1 and shares[0] < 0.1
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_quality_drops_junk_at_any_number_of_labels(spark, size):
+    folder = f"/root/testdata/{size}"
+    found = LLM_QUERIES["op7_quality"](spark, folder).filter("NOT base_failed").join(
+        spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").groupBy("quality").agg(
+        F.count("*").alias("rows"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()
+    rows, kept = ({row.quality: row[name] for row in found} for name in ("rows", "kept"))
+    assert rows[0] > 0 and kept[0] == 0 and kept[1] == rows[1]
+
+
+def test_quality_with_few_trusted_documents(spark):
+    docs, labels = documents(spark, FOLDER), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    few = labels.filter("quality = 1").orderBy(F.xxhash64("doc_id")).limit(80)
+    found = quality.quality_verdicts(docs, few).filter("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    shares = {row.quality: row.kept for row in found}
+    assert shares[1] >= 0.95 and shares[0] <= 0.3  # all junk was kept before
+
+
 def test_quality_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     found = quality.quality_verdicts(frame(spark), none).collect()
