@@ -28,6 +28,14 @@ def test_language_of_held_out_documents(spark):
     assert sum(row.rejected for row in found) <= 0.005 * len(found)
 
 
+@pytest.mark.parametrize("missing", ["de", "es", "en", "fr"])
+def test_texts_of_a_language_not_learned_are_rejected(spark, missing):
+    docs = documents(spark, FOLDER)
+    models = langid.train(docs.filter(F.col("lang") != missing))
+    found = langid.identify(docs.filter(F.col("lang") == missing), models, carry=False).collect()
+    assert missing not in models.languages and sum(row.rejected for row in found) >= 0.95 * len(found)
+
+
 def test_language_of_odd_texts(spark):
     prose = [("en", "the quick brown fox jumps over the lazy dog and runs " * 3 + str(i)) for i in range(40)]
     prose += [("de", "der schnelle braune fuchs springt über den faulen hund " * 3 + str(i)) for i in range(40)]

@@ -26,11 +26,12 @@ from tidewell.llm.common import sliced, stored
 ORDER = 5
 SAMPLE = 1500
 # One labelled row in so many is kept from the counts to calibrate the rejection.
-CALIBRATION = 6
+CALIBRATION = 3
 UNDETERMINED = "und"
 EDGE = " "
-# Rejection: excess bits per character, at this share of calibration texts, times a margin; never under the floor.
-TAIL, MARGIN, FLOOR = 0.999, 2.0, 1.0
+# Rejection: excess bits per character, at this share of calibration texts, times a margin; never under the floor, which
+# lies above what own texts stray and below what texts of a language not learned do.
+TAIL, MARGIN, FLOOR = 0.99, 1.25, 0.8
 # Text of a slice; a task scores each of its distinct words once.
 SLICE = 4 << 20
 # Texts this short are expected to stray further from the mean.
@@ -282,7 +283,7 @@ def _calibrated(spark, models: LanguageModels, apart: DataFrame) -> LanguageMode
     found = {row.lang: (row.usual, row.tail) for row in tails.collect()}  # one row per language
     # A language without calibration texts is never rejected.
     usual, tail = zip(*[found.get(name, (0.0, float("inf"))) for name in models.languages])
-    return models._replace(usual=np.array(usual), excess=np.maximum(np.array(tail), FLOOR) * MARGIN)
+    return models._replace(usual=np.array(usual), excess=np.maximum(np.array(tail) * MARGIN, FLOOR))
 
 
 def identify(docs: DataFrame, models: LanguageModels | None, carry: bool = True) -> DataFrame:
