@@ -44,8 +44,40 @@ SELECT doc_id, size, shard, depth::INT AS depth, shard_bytes::BIGINT AS shard_by
 FROM walk WHERE shard_bytes <= 33554432 OR depth = 64
 """
 
+# Windows as joined words, where the operator intersects postings.
+DECONTAMINATION = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT item_id, words, least(10, len(words)) AS size,
+               unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM item_words WHERE len(words) > 0)
+), doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), grams AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT size FROM windows))
+), hits AS (
+  SELECT g.doc_id, g.i, g.size, w.item_id FROM grams g JOIN windows w USING (size, phrase)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 LLM_ORACLES = {
     "op3_line_dedup": LINE_DEDUP,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_sharding": SHARDING,
+    "op13_decontamination": DECONTAMINATION,
 }

@@ -14,6 +14,7 @@ from tidewell.llm.langid import identify, train
 from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.pieces import encode_documents, load_vocabulary
+from tidewell.llm.postings import contamination
 from tidewell.llm.quality import quality_verdicts
 from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.sharding import shard_documents
@@ -80,6 +81,13 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return contamination(documents(spark, folder), items, window=10).select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
@@ -91,4 +99,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_repeats": op10_repeats,
+    "op13_decontamination": op13_decontamination,
 }
