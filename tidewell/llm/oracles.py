@@ -75,9 +75,57 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+# Prefixes as hash chains over all depths; crc32 bit by bit, as SQL has none.
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+         coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda state, byte: list_reduce([xor(state, byte)] || [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[],
+      lambda r, step: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::BIGINT) ELSE r // 2 END)), 4294967295::BIGINT) % 9 AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT v.c, t.i, t.role, t.txt FROM convs v JOIN turns t ON t.c = v.c - v.c % 5 AND t.i <= v.h
+  UNION ALL
+  SELECT v.c, 1000000 + t.i, t.role, t.txt FROM convs v JOIN turns t ON t.c = v.c AND t.i > v.h
+), placed AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS depth, strlen(txt) AS bytes,
+         sha256(len(role)::VARCHAR || ':' || role || txt) AS known FROM rebuilt
+), prefixes AS (
+  SELECT c, depth, bytes, sha256(string_agg(known, '') OVER (PARTITION BY c ORDER BY depth)) AS node,
+         sha256(string_agg(known, '') OVER (PARTITION BY c ORDER BY depth
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS up FROM placed
+  UNION ALL
+  SELECT c, 0, 0, 'root', NULL FROM convs
+), sizes AS (
+  SELECT c, max(depth) AS turns FROM prefixes GROUP BY c
+), nodes AS (
+  SELECT node, depth, any_value(CASE WHEN depth = 1 THEN 'root' ELSE up END) AS up, any_value(bytes) AS bytes,
+         min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = turns), '')) AS ends_sha256
+  FROM prefixes JOIN sizes USING (c) GROUP BY node, depth
+), children AS (
+  SELECT up AS node, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up
+), whole AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS spared
+  FROM nodes n LEFT JOIN children USING (node)
+), ancestors AS (
+  SELECT DISTINCT a.node AS node, d.node AS below
+  FROM prefixes d JOIN prefixes a ON a.c = d.c AND a.depth <= d.depth
+), subtrees AS (
+  SELECT a.node, count(*) FILTER (w.n_children = 0) AS n_leaves, sum(w.spared)::BIGINT AS saved_tokens
+  FROM ancestors a JOIN whole w ON w.node = a.below GROUP BY a.node
+)
+SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+       s.saved_tokens, w.ends_sha256
+FROM whole w JOIN subtrees s USING (node) LEFT JOIN whole p ON p.node = w.up
+"""
+
 LLM_ORACLES = {
     "op3_line_dedup": LINE_DEDUP,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_sharding": SHARDING,
+    "op11_prefix_trie": PREFIX_TRIE,
     "op13_decontamination": DECONTAMINATION,
 }

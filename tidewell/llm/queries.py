@@ -15,6 +15,7 @@ from tidewell.llm.lines import dedup_lines
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.pieces import encode_documents, load_vocabulary
 from tidewell.llm.postings import contamination
+from tidewell.llm.prefixes import prefix_nodes
 from tidewell.llm.quality import quality_verdicts
 from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.sharding import shard_documents
@@ -81,6 +82,10 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_nodes(spark.read.parquet(f"{folder}/conversations.parquet"), group=5, shares=9)
+
+
 def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return contamination(documents(spark, folder), items, window=10).select(
@@ -99,5 +104,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_repeats": op10_repeats,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_decontamination": op13_decontamination,
 }
