@@ -122,10 +122,48 @@ SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_con
 FROM whole w JOIN subtrees s USING (node) LEFT JOIN whole p ON p.node = w.up
 """
 
+# All phrases of all lengths, where the operator goes up level by level.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM documents
+), phrases AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM pieces, range(1, 6) AS lengths(k))
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY lang, k, phrase HAVING count(*) >= 100
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k >= 2
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, n,
+         ((1000::HUGEINT * c.a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT lang, phrase, a, cut, array_to_string(words[1:cut], ' ') AS first,
+               array_to_string(words[cut + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = first
+  JOIN f r ON r.lang = c.lang AND r.phrase = rest
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, a AS f, array_to_string(words[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates)))
+  GROUP BY lang, phrase
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
+
 LLM_ORACLES = {
     "op3_line_dedup": LINE_DEDUP,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_sharding": SHARDING,
     "op11_prefix_trie": PREFIX_TRIE,
+    "op12_collocations": COLLOCATIONS,
     "op13_decontamination": DECONTAMINATION,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm.collocations import collocations
 from tidewell.llm.common import crc_share, documents
 from tidewell.llm.exact import exact_groups
 from tidewell.llm.katz import score_documents
@@ -86,6 +87,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_nodes(spark.read.parquet(f"{folder}/conversations.parquet"), group=5, shares=9)
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(documents(spark, folder), least=100, longest=5, top=2000)
+
+
 def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return contamination(documents(spark, folder), items, window=10).select(
@@ -105,5 +110,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_sharding": op9_sharding,
     "op10_repeats": op10_repeats,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
     "op13_decontamination": op13_decontamination,
 }
