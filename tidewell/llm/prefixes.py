@@ -357,7 +357,7 @@ def _above(roots: DataFrame, ended: DataFrame) -> DataFrame:
     nodes = stored(parts.groupBy(_prefix("cut", F.col("depth")).alias("prefix"), "depth").agg(
         F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.sum("n_leaves").alias("n_leaves"),
         F.sum("saved_tokens").alias("saved_below"), F.max("ends").alias("ends")), "above")
-    size = F.conv(F.hex(F.expr(f"right(prefix, {LENGTH})")), 16, 10).cast("long")
+    size = F.conv(F.hex(F.expr(f"substring(prefix, -{LENGTH}, {LENGTH})")), 16, 10).cast("long")
     spared = F.when(F.col("depth") > 0, (F.col("n_convs") - 1) * size).otherwise(F.lit(0).cast("long"))
     saved = nodes.select(F.explode(F.sequence(F.lit(0), "depth")).alias("d"), "prefix", spared.alias("spared")).groupBy(
         _prefix("prefix", F.col("d")).alias("prefix")).agg(F.sum("spared").alias("spared"))
