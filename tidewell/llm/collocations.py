@@ -40,15 +40,18 @@ class DoubleArray:
     """A trie of equally long number sequences below one root per language.
 
     The child of state s by symbol c is state base[s] + c if check of it is s. States are slots of the two arrays; those
-    at the last level are accepting, and ``number`` counts them in order of the sequences.
+    at the last level are accepting, and ``number`` counts them in order of the sequences. A number goes in as two
+    digits, so that the children of a state lie close together and the arrays stay about as long as there are states.
     """
 
-    def __init__(self, roots: np.ndarray, symbols: np.ndarray):
-        """``roots`` has the root (0, 1, ...) and ``symbols`` the symbols (a row) of each sequence; no two are alike."""
+    def __init__(self, roots: np.ndarray, numbers: np.ndarray):
+        """``roots`` has the root (0, 1, ...) and ``numbers`` the numbers (a row) of each sequence; no two are alike."""
+        self.radix = 1 << (max(int(numbers.max(initial=0)).bit_length(), 1) + 1) // 2
+        symbols = np.stack([numbers // self.radix, numbers % self.radix], axis=2).reshape(len(numbers), -1)
         count = int(roots.max()) + 1 if len(roots) else 0
         self.size, self.depth = count, symbols.shape[1]
-        room = 2 * (count + symbols.size + (int(symbols.max()) + 1 if symbols.size else 0)) + 16
-        self.base, self.check = np.zeros(room, np.int64), np.full(room, -1, np.int64)
+        room = count + symbols.size + self.radix + 16
+        self.base, self.check = np.zeros(room, np.int32), np.full(room, -1, np.int32)
         self.check[:count] = -2
         self.free = count
         states = roots.astype(np.int64)
@@ -56,7 +59,7 @@ class DoubleArray:
         states, rows = states[order], symbols[order]
         for level in range(self.depth):
             states = self._level(states, rows[:, level])
-        self.number = np.full(self.size, -1, np.int64)
+        self.number = np.full(self.size, -1, np.int32)
         self.number[states] = np.arange(len(states))
         self.base, self.check = self.base[:self.size].copy(), self.check[:self.size].copy()
 
@@ -89,8 +92,8 @@ class DoubleArray:
     def _grow(self, least: int) -> None:
         if least > len(self.check):
             more = max(least, 2 * len(self.check)) - len(self.check)
-            self.base = np.r_[self.base, np.zeros(more, np.int64)]
-            self.check = np.r_[self.check, np.full(more, -1, np.int64)]
+            self.base = np.r_[self.base, np.zeros(more, np.int32)]
+            self.check = np.r_[self.check, np.full(more, -1, np.int32)]
 
     def _fit(self, symbols: np.ndarray) -> int:
         """A base that puts all symbols into free slots."""
@@ -111,21 +114,22 @@ class DoubleArray:
         self.check[slots] = parent
         self.size = max(self.size, int(slots[-1]) + 1)
 
-    def advance(self, root: int, symbols: np.ndarray) -> np.ndarray:
-        """For each place the number of the sequence that begins there, or -1. A symbol below 0 is in no sequence."""
-        places = np.flatnonzero(symbols >= 0)
+    def advance(self, root: int, numbers: np.ndarray) -> np.ndarray:
+        """For each place the number of the sequence that begins there, or -1. A number below 0 is in no sequence."""
+        places = np.flatnonzero(numbers >= 0)
         states = np.full(len(places), root, np.int64)
         for level in range(self.depth):
-            if level:
-                inside = places + level < len(symbols)
+            ahead, low = divmod(level, 2)
+            if ahead and not low:
+                inside = places + ahead < len(numbers)
                 places, states = places[inside], states[inside]
-            symbol = symbols[places + level]
-            target = self.base[states] + symbol
-            inside = (symbol >= 0) & (target >= 0) & (target < self.size)
+            number = numbers[places + ahead]
+            target = self.base[states] + (number % self.radix if low else number // self.radix)
+            inside = (number >= 0) & (target >= 0) & (target < self.size)
             places, states, target = places[inside], states[inside], target[inside]
             met = self.check[target] == states
             places, states = places[met], target[met]
-        found = np.full(len(symbols), -1, np.int64)
+        found = np.full(len(numbers), -1, np.int64)
         found[places] = self.number[states]
         return found
 
