@@ -56,6 +56,27 @@ def test_language_of_odd_texts(spark):
     assert langid.identify(frame(spark, []), models).count() == 0
 
 
+@pytest.mark.parametrize("text", ["", "x", "ab", "abc", "abcd", "abcde", "abcdef"])
+@pytest.mark.parametrize("order", [1, 2, 5, 7])
+def test_hashes_of_few_code_points(text, order):
+    """Each n-gram inside a text has the hash it has alone, however short the text is."""
+    found = langid._hashes(langid._code_points(text), order)
+    for length in range(1, order + 1):
+        for end in range(length - 1, len(text)):
+            alone = langid._hashes(langid._code_points(text[end - length + 1:end + 1]), length)
+            assert found[length - 1][end] == alone[length - 1][length - 1]
+
+
+def test_short_texts_and_marks_have_defined_languages(spark):
+    prose = [("en", "the house of the people " * 3), ("de", "das haus der leute " * 3)] * 30
+    models = langid.train(spark.createDataFrame(prose, "lang string, text string"))
+    for text, letters in [("x", True), ("\u0301\u0301", False), ("\u0301 1", False), ("e\u0301", True), ("ab", True)]:
+        # A table of its own for each, so that the text is all there is in its slice.
+        row = langid.identify(spark.createDataFrame([(1, text)], "doc_id long, text string"), models).first()
+        assert (row.lang_pred in ("en", "de")) == letters and (row.lang_pred == "und") != letters
+        assert letters or (row.score == 0 and row.rejected)
+
+
 def test_nothing_to_learn_a_language_from(spark):
     models = langid.train(frame(spark, []))
     assert models is None

@@ -50,12 +50,14 @@ class LanguageModels(NamedTuple):
 
 
 def _words(column) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Number of words of each text, word indices of all texts, and the distinct lower-case words."""
+    """Number of words of each text, word indices of all texts, and the lower-case words; '' for one without a letter."""
     lowered = pc.utf8_lower(pc.fill_null(column, ""))
     parts = pc.split_pattern_regex(lowered, r"[^\p{L}\p{M}]+")
     encoded = pc.dictionary_encode(parts.flatten())
     sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    return sizes, encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+    words = encoded.dictionary
+    lettered = pc.if_else(pc.match_substring_regex(words, r"\p{L}"), words, "")
+    return sizes, encoded.indices.to_numpy(zero_copy_only=False), lettered
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -73,7 +75,7 @@ def _hashes(points: np.ndarray, order: int) -> list[np.ndarray]:
     power = np.uint64(1)
     for length in range(1, order + 1):
         shifted = np.zeros(len(points), np.uint64)
-        shifted[length - 1:] = points[:len(points) - length + 1]
+        shifted[length - 1:] = points[:max(len(points) - length + 1, 0)]
         current = current + (shifted + np.uint64(1)) * power
         power = power * _BASE
         found.append(_mixed(current))
