@@ -269,3 +269,60 @@ def test_refresh_drops_months_without_sales_and_follows_the_calendar(spark, tmp_
     pipeline.refresh_recent_days(spark, root, dt.date(2000, 3, 31), 40)
     months = {r.d_month for r in spark.read.parquet(f"{root}/gold/daily_sales_summary").collect()}
     assert months == {1, 2} and not os.path.isdir(f"{root}/gold/daily_sales_summary/d_year=2000/d_month=3")
+
+
+def test_partitions_whose_directories_went_leave_the_catalog(spark, tmp_path):
+    path = str(tmp_path / "layer" / "t")
+    rows = spark.createDataFrame([(1, 1, "a"), (2, 2, "b c")], "x int, m int, n string")
+    store.write_table(rows, path, ["m", "n"], stamp=False)
+    layer = str(tmp_path / "layer")
+    assert store.register_layer(spark, layer, "s_", "sync_db") == [("s_t", "registered")]
+    store.remove_folder(spark, f"{path}/m=2")
+    store.write_table(spark.createDataFrame([(3, 3, "d")], rows.schema), path, ["m", "n"], mode="append", stamp=False)
+    assert store.register_layer(spark, layer, "s_", "sync_db") == [
+        ("s_t", "registered"), ("s_t", "dropped m=2/n=b c")]
+    assert {r.partition for r in spark.sql("SHOW PARTITIONS sync_db.s_t").collect()} == {"m=1/n=a", "m=3/n=d"}
+    assert sorted(r.x for r in spark.table("sync_db.s_t").collect()) == [1, 3]
+    spark.sql("DROP DATABASE sync_db CASCADE")
+
+
+def test_widened_columns_are_read_and_others_refused(spark, tmp_path):
+    layer, path = str(tmp_path / "layer"), str(tmp_path / "layer" / "t")
+
+    def add(values, schema):
+        store.write_table(spark.createDataFrame(values, schema), path, ["p"], mode="append", stamp=False)
+    add([(1, Decimal("1.50"), 1.5, 1)], "x int, d decimal(5,2), f float, p int")
+    assert store.register_layer(spark, layer, "w_", "wide_db") == [("w_t", "registered")]
+    add([(2 ** 40, Decimal("123456789.125"), 2.5, 2, "new")], "x bigint, d decimal(15,3), f double, p int, c string")
+    assert store.register_layer(spark, layer, "w_", "wide_db") == [("w_t", "registered")]
+    assert {name: kind for name, kind in spark.table("wide_db.w_t").dtypes} == {
+        "x": "bigint", "d": "decimal(15,3)", "f": "double", "c": "string", "p": "int"}
+    for found in (spark.table("wide_db.w_t"), store.read_evolving(spark, path)):
+        assert sorted((r.x, r.d, r.f, r.c) for r in found.collect()) == [
+            (1, Decimal("1.500"), 1.5, None), (2 ** 40, Decimal("123456789.125"), 2.5, "new")]
+    # Narrower files are fine in a wide table; text in place of a number is not, and the table stays as it was.
+    add([(3, 3)], "x int, p int")
+    assert store.register_layer(spark, layer, "w_", "wide_db") == [("w_t", "registered")]
+    assert spark.table("wide_db.w_t").count() == 3
+    add([("four", 4)], "x string, p int")
+    status = store.register_layer(spark, layer, "w_", "wide_db")
+    assert [r.status.partition(",")[0] for r in status] == ["refused"] and "column x" in status[0].status
+    assert dict(spark.table("wide_db.w_t").dtypes)["x"] == "bigint"
+    with pytest.raises(store.SchemaConflict):
+        store.read_evolving(spark, path)
+    spark.sql("DROP DATABASE wide_db CASCADE")
+
+
+@pytest.mark.parametrize("a, b, want", [
+    ("tinyint", "int", "int"), ("int", "double", "double"), ("decimal(9,2)", "decimal(8,4)", "decimal(11,4)"),
+    ("int", "decimal(5,1)", "decimal(11,1)"), ("date", "timestamp_ntz", "timestamp_ntz"), ("string", "string", "string"),
+    ("bigint", "double", None), ("decimal(38,0)", "decimal(10,9)", None), ("string", "int", None)])
+def test_wider_types(a, b, want):
+    from pyspark.sql.types import _parse_datatype_string
+    first, second = (_parse_datatype_string(f"x {kind}") for kind in (a, b))
+    for left, right in ((first, second), (second, first)):
+        if want is None:
+            with pytest.raises(store.SchemaConflict):
+                store.widened(left, right)
+        else:
+            assert store.widened(left, right)["x"].dataType.simpleString() == want

@@ -127,18 +127,21 @@ def monthly_totals(t: Tables) -> DataFrame:
     )
 
 
-def monthly_trends(t: Tables) -> DataFrame:
+def with_growth(totals: DataFrame) -> DataFrame:
     """Months with growth over the month before; NULL when there is none or it sold nothing."""
     # The single-task window sees one row per calendar month.
     calendar = W.orderBy("d_year", "d_month", "d_moy")
     revenue, previous = F.col("monthly_revenue"), F.col("prev_month_revenue")
     return (
-        monthly_totals(t)
-        .withColumn("prev_month_revenue", F.lag(revenue).over(calendar))
+        totals.withColumn("prev_month_revenue", F.lag(revenue).over(calendar))
         .withColumn("revenue_growth_pct", ratio(revenue - previous, previous) * 100)
     )
 
 
+def monthly_trends(t: Tables) -> DataFrame:
+    return with_growth(monthly_totals(t))
+
+
 def top_products_by_store(t: Tables, n: int = 10) -> DataFrame:
     """The ``n`` best-selling items per store by revenue.
 

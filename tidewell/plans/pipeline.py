@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.plans import gold, silver
+from tidewell.plans.incremental import FITS, STAMPS
 from tidewell.schemas import SOURCE_TABLES
 from tidewell.sources.lake import (
     first_line, overwrite_touched, path_exists, remove_folder, stamped, write_table,
@@ -45,7 +46,9 @@ def _write_all(spark: SparkSession, frames: Mapping[str, Callable[[], DataFrame]
 
 
 def _without_stamps(df: DataFrame) -> DataFrame:
-    return df.drop("load_timestamp", "job_id", "source")
+    """The columns of the source; of incremental loads, the lines that fitted."""
+    rows = df.filter(F.col(FITS) == 1) if FITS in df.columns else df
+    return rows.drop(*STAMPS)
 
 
 def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.masking import masked_connections, masked_customers, masked_queries
 from tidewell.operators.quality import quarantine, sales_quality, sales_rules
-from tidewell.plans import business, challenges, gold, layer_queries, log_queries, pipeline, silver
+from tidewell.plans import business, challenges, gold, incremental, layer_queries, log_queries, pipeline, silver
 from tidewell.schemas import DATABASE_LOG, NETWORK_LOG
 from tidewell.session import configure, fresh_folder
 from tidewell.sources.delimited import ingest_tables
-from tidewell.sources.lake import append_new, compact, write_table
+from tidewell.sources.lake import append_new, compact, register_layer, remove_folder, write_table
 from tidewell.sources.samples import log_stream, sample_tables
 from tidewell.sources.tables import DeclaredTables
 from tidewell.streaming import logs
@@ -94,6 +94,24 @@ def _sales_appended(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(sales.schema).parquet(path).select(*sales.columns)
 
 
+def _registered_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales of the catalog after their files changed: a month went, and one came whose quantities are wider."""
+    sales = sample_lake(spark, folder)["silver_store_sales"]
+    root = fresh_folder(spark, "layer")
+    path, database = f"{root}/store_sales", f"layer_{root.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_folder(spark, 'catalog')}'")
+    late = (F.col("year") == 2000) & (F.col("month") == 5)
+    write_table(sales.filter(~late), path, ["year", "month"], stamp=False)
+    register_layer(spark, root, "silver_", database)
+    remove_folder(spark, f"{path}/year=1999/month=3")
+    wider = sales.filter(late).withColumn("ss_quantity", F.col("ss_quantity").cast("bigint"))
+    write_table(wider, path, ["year", "month"], mode="append", stamp=False)
+    status = register_layer(spark, root, "silver_", database)
+    if [row.status for row in status] != ["registered", "dropped year=1999/month=3"]:
+        raise RuntimeError(f"unexpected status {status}")
+    return spark.table(f"{database}.silver_store_sales").select(*sales.columns)
+
+
 def _logs_compacted(spark: SparkSession, folder: str) -> DataFrame:
     """The stored log after one month of it was rewritten."""
     logs_now = sample_lake(spark, folder)["database_logs"]
@@ -118,6 +136,56 @@ def _daily_refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select(*gold.daily_sales_summary(inputs).columns)
 
 
+class _Killed(RuntimeError):
+    pass
+
+
+def _arrive(lake: DeclaredTables, folder: str, part: int) -> None:
+    """Write the source files of one of two days: dimensions and sales come in both, some days and items late."""
+    early = {
+        "store_sales": "ss_ticket_number % 10 < 7", "customer": "c_customer_sk % 3 > 0", "item": "i_item_sk % 5 > 0",
+        "date_dim": "d_date_sk % 100 < 28", "store": "true"}
+    for name, rule in early.items():
+        rows = lake[f"bronze_{name}"].filter(rule if part == 0 else f"NOT ({rule})")
+        rows.write.mode("append").option("sep", "|").csv(f"{folder}/{name}")
+
+
+def loaded_lake(spark: SparkSession, folder: str) -> str:
+    """A lake loaded from delimited files in two increments, the second killed on its way and run again."""
+    lake, source, root = sample_lake(spark, folder), fresh_folder(spark, "arrived"), fresh_folder(spark, "lake")
+    names = ("store_sales", "customer", "date_dim", "item", "store")
+    schemas = {name: lake[f"bronze_{name}"].schema for name in names}
+
+    def load(seen=lambda step: None):
+        incremental.load_new_files(spark, source, root, names, schemas, LTV_CUTS, seen)
+
+    def killed(step: str) -> None:
+        if step == "gold_product_performance":
+            raise _Killed(step)
+    _arrive(lake, source, 0)
+    load()
+    _arrive(lake, source, 1)
+    try:
+        load(killed)
+    except _Killed:
+        load()
+    return root
+
+
+_LOADED: dict[tuple[str, str], str] = {}
+
+
+def _after_loads(mart: str) -> Query:
+    """A mart of the incrementally loaded lake, which is loaded once per session and source."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        known = (spark.sparkContext.applicationId, folder)
+        if known not in _LOADED:
+            _LOADED[known] = loaded_lake(spark, folder)
+        columns = gold.builders(LTV_CUTS)[f"gold_{mart}"](sample_lake(spark, folder)).columns
+        return incremental.Lake(spark, _LOADED[known]).read("gold", mart).select(*columns)
+    return run
+
+
 def _broken_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Database-log records of which every seventh is cut short and every eleventh has a count out of range."""
     data, place = F.col("data"), F.regexp_extract("data", r'"query_id":"q(\d+)"', 1).cast("long")
@@ -168,6 +236,8 @@ def _rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "bronze_ingest": _bronze_ingest,
+    **{f"incremental_{mart}": _after_loads(mart) for mart in gold.MARTS},
+    "registered_sales": _registered_sales,
     "silver_store_sales": _dirty_sales(silver.store_sales),
     "silver_store_sales_keyed": _dirty_sales(silver.store_sales_keyed),
     "silver_customer": lambda s, d: silver.customer(sample_lake(s, d)["bronze_customer_dirty"]),

@@ -17,7 +17,7 @@ _LINE_END = "_line_end"
 STATUS = "table_name string, status string, `rows` bigint, error string"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None, separator: str = "|",
+def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, separator: str = "|",
                    ends_with_separator: bool = False, capture_malformed: bool = False) -> DataFrame:
     """Delimited text as a DataFrame.
 

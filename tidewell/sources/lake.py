@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators.dedup import one_row_per_key
 from tidewell.session import fresh_folder
@@ -73,9 +74,77 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequ
     write_table(fresh, path, partition_by, mode="append", **lineage)
 
 
+class SchemaConflict(ValueError):
+    """Two types of one column that have no common wider type."""
+
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _wider(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that holds all values of both, among those that Parquet files can be read as."""
+    if a == b:
+        return a
+    kinds = {a.simpleString(), b.simpleString()}
+    if kinds <= set(_WHOLE):
+        return max((a, b), key=lambda kind: _WHOLE.index(kind.simpleString()))
+    if kinds == {"float", "double"} or "double" in kinds and kinds <= {"double", *_WHOLE[:3]}:
+        return T.DoubleType()
+    if kinds == {"date", "timestamp_ntz"}:
+        return T.TimestampNTZType()
+    decimals = [kind for kind in (a, b) if isinstance(kind, T.DecimalType)]
+    if decimals and (len(decimals) == 2 or kinds & set(_WHOLE)):
+        digits = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
+        whole = max(k.precision - k.scale if isinstance(k, T.DecimalType) else digits[k.simpleString()] for k in (a, b))
+        scale = max(k.scale for k in decimals)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    raise SchemaConflict(f"column {name}: {a.simpleString()} and {b.simpleString()}")
+
+
+def widened(first: T.StructType, second: T.StructType) -> T.StructType:
+    """The columns of both, in order of appearance, each with the wider of its types."""
+    found = {field.name: field for field in first.fields}
+    for field in second.fields:
+        known = found.get(field.name)
+        kind = field.dataType if known is None else _wider(field.name, known.dataType, field.dataType)
+        found[field.name] = T.StructField(field.name, kind)
+    return T.StructType([T.StructField(name, field.dataType) for name, field in found.items()])
+
+
+def _schema_of(spark: SparkSession, root: str, files: Sequence[str]) -> T.StructType:
+    """Merged by Spark; files that disagree are halved until each part agrees, and the parts are widened.
+
+    Files come in order of their times, so a type that changed once costs a logarithm of their number.
+    """
+    try:
+        return spark.read.option("mergeSchema", "true").option("basePath", root).parquet(*files).schema
+    except Exception as problem:
+        if len(files) == 1 or "CANNOT_MERGE" not in str(problem):
+            raise
+    middle = len(files) // 2
+    return widened(_schema_of(spark, root, files[:middle]), _schema_of(spark, root, files[middle:]))
+
+
+def evolving_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The schema that all files below a folder can be read with, directory columns included."""
+    plain = spark.read.option("mergeSchema", "true")
+    try:
+        return plain.parquet(path).schema
+    except Exception as problem:
+        if "CANNOT_MERGE" not in str(problem):
+            raise
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet").load(path).orderBy("modificationTime", "path").select("path")
+    return _schema_of(spark, path, [row.path for row in files.collect()])  # names only
+
+
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """Read files written before and after columns were added; missing ones are NULL."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Read files written before and after columns were added or widened; missing ones are NULL.
+
+    Raises ``SchemaConflict`` where a column changed to a type that the old one does not fit into, or the other way.
+    """
+    return spark.read.schema(evolving_schema(spark, path)).parquet(path)
 
 
 def _matches(values: Mapping[str, object]) -> Column:
@@ -122,6 +191,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    system, folder = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory())
+
+
+def partition_folder(spark: SparkSession, path: str, columns: Sequence[str], values: Sequence) -> str:
+    """The directory of a partition, its values escaped as Spark writes them."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path, *(names.getPartitionPathString(column, None if value is None else str(value))
+                             for column, value in zip(columns, values))])
+
+
 def _directories(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     system, folder = _file_system(spark, root)
     found = [entry.getPath() for entry in system.listStatus(folder) if entry.isDirectory()]
@@ -132,23 +213,62 @@ def _kind_of_table(spark: SparkSession, name: str) -> str | None:
     return spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
 
 
-def _register_external(spark: SparkSession, full: str, path: str) -> str:
-    """Create the table, or bring it up to date in place: new columns are added, partitions recovered."""
+def _columns(schema: T.StructType, names: Sequence[str]) -> str:
+    return ", ".join(f"`{name}` {schema[name].dataType.simpleString()}" for name in names)
+
+
+def _create_external(spark: SparkSession, full: str, path: str, schema: T.StructType, parts: Sequence[str]) -> None:
+    plain = [name for name in schema.names if name not in parts]
+    by = f"PARTITIONED BY ({', '.join(f'`{name}`' for name in parts)})" if parts else ""
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {full} ({_columns(schema, plain + list(parts))}) USING parquet {by} LOCATION '{location}'")
+
+
+def _partitions(spark: SparkSession, full: str) -> set[str]:
+    return {row.partition for row in spark.sql(f"SHOW PARTITIONS {full}").collect()}
+
+
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The directory columns below a path, from its first directories."""
+    found, here = [], path
+    while folders := [name for name in subfolders(spark, here) if "=" in name]:
+        found.append(folders[0].partition("=")[0])
+        here = f"{here}/{folders[0]}"
+    return found
+
+
+def _register_external(spark: SparkSession, table: str, full: str, path: str) -> list[Registered]:
+    """Create the table or bring it up to date: columns are added and widened, partitions added and dropped.
+
+    A type that changed to one that does not hold the old values leaves the table as it was. As a catalog table cannot
+    change a type, a widened one is made anew over its files, which stay where they are.
+    """
     kind = _kind_of_table(spark, full)
     if kind == "MANAGED":
-        return "managed, left alone"
+        return [Registered(table, "managed, left alone")]
+    try:
+        schema = evolving_schema(spark, path)
+        if kind is not None:
+            schema = widened(spark.table(full).schema, schema)
+    except SchemaConflict as problem:
+        return [Registered(table, f"refused, {problem}")]
+    parts, gone = _partition_columns(spark, path), set()
     if kind is None:
-        spark.catalog.createTable(full, path=path, source="parquet", mergeSchema="true")
+        _create_external(spark, full, path, schema, parts)
     else:
-        known = {column.name for column in spark.catalog.listColumns(full)}
-        added = [f for f in read_evolving(spark, path).schema.fields if f.name not in known]
-        if added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({columns})")
-    if any(column.isPartition for column in spark.catalog.listColumns(full)):
-        spark.catalog.recoverPartitions(full)
+        known = spark.table(full).schema
+        gone = _partitions(spark, full) if parts else set()
+        added = [name for name in schema.names if name not in known.names]
+        if any(schema[name].dataType != known[name].dataType for name in known.names):
+            spark.sql(f"DROP TABLE {full}")
+            _create_external(spark, full, path, schema, parts)
+        elif added:
+            spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({_columns(schema, added)})")
+    if parts:
+        spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
+        gone -= _partitions(spark, full)
     spark.catalog.refreshTable(full)
-    return "registered"
+    return [Registered(table, "registered"), *[Registered(table, f"dropped {name}") for name in sorted(gone)]]
 
 
 def register_layer(spark: SparkSession, root: str, prefix: str, database: str | None = None) -> list[Registered]:
@@ -157,7 +277,8 @@ def register_layer(spark: SparkSession, root: str, prefix: str, database: str |
     Schema and partitions are discovered from the files and refreshed in place
     on every call. With a database the tables are external and outlast the
     session; otherwise they are temporary views. A managed table of the same
-    name is left alone, and a table whose directory has gone is reported.
+    name is left alone, a table whose directory has gone is reported, and so is
+    each partition that was dropped because its directory has gone.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -165,7 +286,7 @@ def register_layer(spark: SparkSession, root: str, prefix: str, database: str |
     for name, path in _directories(spark, root):
         table = prefix + name
         if database:
-            present.append(Registered(table, _register_external(spark, f"{database}.{table}", path)))
+            present += _register_external(spark, table, f"{database}.{table}", path)
         else:
             read_evolving(spark, path).createOrReplaceTempView(table)
             present.append(Registered(table, "registered"))
