@@ -120,3 +120,14 @@ def test_cluster_session_must_name_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("db_hourly_pattern", "year month day"), ("net_hourly_traffic", "year month day"),
+    ("activity_correlation", "year month day"), ("db_partition_scan", "year month"),
+    ("daily_sales_trend", "d_year"), ("daily_sales_for_month", "d_year d_month")])
+def test_registered_queries_read_only_their_directories(spark, name, columns):
+    plan = plan_of(REGISTRY[name](spark, FOLDER))
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert scans and all(f"isnotnull({column}#" in scan for scan in scans for column in columns.split())
+    assert "DataFilters: []" in plan

@@ -122,3 +122,42 @@ def test_connector_payload_is_named_data(spark, tmp_path):
     assert logs.read_records(spark, "text", str(tmp_path)).columns == ["data"]
     rows = spark.createDataFrame([(bytearray(record(7).encode()),)], "data binary")
     assert logs.parse_database_logs(rows).select(F.col("query_id"), "hour").first()[:] == ("q7", 3)
+
+
+def test_one_stream_fills_the_table_and_the_quarantine(spark, tmp_path):
+    source, path, progress = str(tmp_path / "in"), str(tmp_path / "split"), str(tmp_path / "progress")
+    put(source, "one.json", [record(1), record(2, "2024-01-06T23:00:00Z"), "not json", record(3, rows_affected=99999999999)])
+    judged = logs.judged_logs(logs.read_records(spark, "text", source), DATABASE_LOG)
+    assert logs.read_valid(spark, path, DATABASE_LOG).count() == 0
+
+    def drain_split():
+        logs.write_split_stream(judged, progress, path, available_now=True).awaitTermination()
+    drain_split()
+    assert sorted(r.query_id for r in logs.read_valid(spark, path, DATABASE_LOG).collect()) == ["q1", "q2"]
+    assert {r.data for r in logs.read_rejected(spark, path, DATABASE_LOG).collect()} == {
+        "not json", record(3, rows_affected=99999999999)}
+    put(source, "two.json", [record(4), "{"])
+    drain_split()
+    drain_split()
+    assert logs.read_valid(spark, path, DATABASE_LOG).count() == 3
+    assert sorted((r.batch, r.data) for r in logs.read_rejected(spark, path, DATABASE_LOG).collect())[-1] == (1, "{")
+    # A batch that is written again, as after a crash before its commit, replaces itself.
+    again = logs.judged_logs(spark.createDataFrame([(record(4),), ("{",)], "data string"), DATABASE_LOG)
+    for _ in range(2):
+        logs.write_split_batch(again, 1, path)
+    assert sorted(r.query_id for r in logs.read_valid(spark, path, DATABASE_LOG).collect()) == ["q1", "q2", "q4"]
+    assert logs.read_rejected(spark, path, DATABASE_LOG).count() == 3
+    hours = os.listdir(f"{path}/fits=1/year=2024/month=1/day=5/hour=3")
+    assert sorted(h for h in hours if h.startswith("batch")) == ["batch=0", "batch=1"]
+
+
+def test_a_split_batch_has_few_files(spark, tmp_path):
+    path = str(tmp_path / "split")
+    rows = spark.range(4000).repartition(16).select(F.concat(
+        F.lit('{"timestamp":"2024-01-05T0'), F.col("id") % 3, F.lit(':00:00Z","query_id":"q'), "id", F.lit('"}')).alias("data"))
+    for spread, most in ((1, 1), (3, 3)):
+        logs.write_split_batch(logs.judged_logs(rows, DATABASE_LOG), 0, path, spread)
+        for hour in range(3):
+            folder = f"{path}/fits=1/year=2024/month=1/day=5/hour={hour}/batch=0"
+            assert 1 <= len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= most
+        assert logs.read_valid(spark, path, DATABASE_LOG).count() == 4000

@@ -196,19 +196,47 @@ def _broken_stream(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(data).alias("data"))
 
 
-def _judged_stream(part: int) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        configure(spark)
-        frame = logs.split_valid(logs.judged_logs(_broken_stream(spark, folder), DATABASE_LOG))[part]
-        stored, progress = fresh_folder(spark, "judged"), fresh_folder(spark, "judged-progress")
-        logs.write_quarantine(frame, progress, stored, available_now=True).awaitTermination()
-        found = spark.read.schema(frame.schema).parquet(stored)
-        if not part:
-            return _plain_time(found)
-        # The stored text is the record itself; of it, which record it is and whether it was cut short.
-        return found.select(F.regexp_extract("data", r'"query_id":"(q\d+)"', 1).alias("query_id"),
-                            (~F.endswith("data", F.lit("}"))).alias("truncated"))
-    return run
+def _split_stream(spark: SparkSession, folder: str) -> str:
+    """The broken stream drained once into the hour table and the quarantine beside it."""
+    configure(spark)
+    stored, progress = fresh_folder(spark, "split"), fresh_folder(spark, "split-progress")
+    judged = logs.judged_logs(_broken_stream(spark, folder), DATABASE_LOG)
+    logs.write_split_stream(judged, progress, stored, available_now=True).awaitTermination()
+    return stored
+
+
+def _valid_logs(spark: SparkSession, folder: str) -> DataFrame:
+    return _plain_time(logs.read_valid(spark, _split_stream(spark, folder), DATABASE_LOG))
+
+
+def _quarantined_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored text is the record itself; of it, which record it is and whether it was cut short."""
+    found = logs.read_rejected(spark, _split_stream(spark, folder), DATABASE_LOG)
+    return found.select(F.regexp_extract("data", r'"query_id":"(q\d+)"', 1).alias("query_id"),
+                        (~F.endswith("data", F.lit("}"))).alias("truncated"))
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_lake(spark: SparkSession, folder: str) -> DeclaredTables:
+    """The log tables by hour and the daily mart by month, as stored tables, written once per session and source."""
+    lake, known = sample_lake(spark, folder), (spark.sparkContext.applicationId, folder)
+    hours, months = ["year", "month", "day", "hour"], list(gold.PARTITIONS["daily_sales_summary"])
+    layout = {"database_logs": hours, "network_logs": hours, "gold_daily_sales_summary": months}
+    if known not in _STORED:
+        root = fresh_folder(spark, "stored")
+        for name, columns in layout.items():
+            write_table(lake[name], f"{root}/{name}", columns, stamp=False)
+        _STORED[known] = root
+    return lake.extended({
+        name: (lambda _, name=name: spark.read.schema(lake[name].schema).parquet(f"{_STORED[known]}/{name}"))
+        for name in layout})
+
+
+def _on_stored(function: Callable[..., DataFrame], **parameters) -> Query:
+    """Queries that name directories: of the stored tables only those are read."""
+    return lambda spark, folder: function(stored_lake(spark, folder), **parameters)
 
 
 def _dirty_sales(rule: Callable[..., DataFrame]) -> Query:
@@ -253,7 +281,7 @@ REGISTRY: dict[str, Query] = {
     "sales_by_year_month": _on_lake(layer_queries.sales_by_year_month),
     "customer_demographics": _on_lake(layer_queries.customer_demographics),
     "weekend_vs_weekday": _on_lake(layer_queries.weekend_vs_weekday),
-    "daily_sales_trend": _on_lake(layer_queries.daily_sales_trend, year=2000),
+    "daily_sales_trend": _on_stored(layer_queries.daily_sales_trend, year=2000),
     "top_customers_by_ltv": _on_lake(layer_queries.top_customers_by_ltv),
     "segment_distribution": _on_lake(layer_queries.segment_distribution),
     "top_products_by_category": _on_lake(layer_queries.top_products_by_category, year=2000),
@@ -262,7 +290,7 @@ REGISTRY: dict[str, Query] = {
     "ltv_cohorts": _on_lake(layer_queries.ltv_cohorts),
     "category_performance": _on_lake(layer_queries.category_performance, year=2000),
     "yearly_sales": _on_lake(layer_queries.yearly_sales),
-    "daily_sales_for_month": _on_lake(layer_queries.daily_sales_for_month, year=2000, month=12),
+    "daily_sales_for_month": _on_stored(layer_queries.daily_sales_for_month, year=2000, month=12),
     "customer_retention": _on_lake(business.customer_retention),
     "rfm_segments": _on_lake(business.rfm_segments, as_of=AS_OF),
     "product_affinity": _on_lake(business.product_affinity, more_than=40),
@@ -281,7 +309,7 @@ REGISTRY: dict[str, Query] = {
     "db_perf_by_type": _on_lake(log_queries.db_perf_by_type),
     "db_failed_queries": _on_lake(log_queries.db_failed_queries),
     "db_top_users": _on_lake(log_queries.db_top_users),
-    "db_hourly_pattern": _on_lake(log_queries.db_hourly_pattern, on=LOG_DAY),
+    "db_hourly_pattern": _on_stored(log_queries.db_hourly_pattern, on=LOG_DAY),
     "db_slow_queries": _on_lake(log_queries.db_slow_queries),
     "db_activity_by_database": _on_lake(log_queries.db_activity_by_database),
     "net_connection_count": _on_lake(log_queries.net_connection_count),
@@ -290,16 +318,16 @@ REGISTRY: dict[str, Query] = {
     "net_top_source_ips": _on_lake(log_queries.net_top_source_ips),
     "net_top_ports": _on_lake(log_queries.net_top_ports),
     "net_http_errors": _on_lake(log_queries.net_http_errors),
-    "net_hourly_traffic": _on_lake(log_queries.net_hourly_traffic, on=LOG_DAY),
+    "net_hourly_traffic": _on_stored(log_queries.net_hourly_traffic, on=LOG_DAY),
     "net_top_user_agents": _on_lake(log_queries.net_top_user_agents),
-    "activity_correlation": _on_lake(log_queries.activity_correlation, on=LOG_DAY),
-    "db_partition_scan": _on_lake(log_queries.db_partition_scan, year=2024, month=1),
+    "activity_correlation": _on_stored(log_queries.activity_correlation, on=LOG_DAY),
+    "db_partition_scan": _on_stored(log_queries.db_partition_scan, year=2024, month=1),
     "parse_database_logs": _parsed("database_logs", DATABASE_LOG),
     "parse_network_logs": _parsed("network_logs", NETWORK_LOG),
     "stream_database_logs": _streamed("database_logs", DATABASE_LOG),
     "stream_network_logs": _streamed("network_logs", NETWORK_LOG),
-    "valid_database_logs": _judged_stream(0),
-    "quarantined_database_logs": _judged_stream(1),
+    "valid_database_logs": _valid_logs,
+    "quarantined_database_logs": _quarantined_logs,
     "sales_appended": _sales_appended,
     "logs_compacted": _logs_compacted,
     "daily_refreshed": _daily_refreshed,

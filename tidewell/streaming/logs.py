@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.schemas import DATABASE_LOG, LOG_PARTITIONS, NETWORK_LOG
+from tidewell.sources.lake import path_exists
 
 TRIGGER = "30 seconds"
 REJECTED = "rejected"
@@ -119,3 +120,57 @@ def write_quarantine(rejected: DataFrame, checkpoint: str, path: str, available_
     writer = rejected.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)
     return writer.start(path)
+
+
+FITS = "fits"
+BATCH = "batch"
+
+
+def write_split_batch(judged: DataFrame, batch: int, path: str, spread: int = 1) -> None:
+    """Write one micro-batch of judged logs in one pass: rows that fit by hour, and the text of the others beside them.
+
+    The directories end in the number of the batch, so writing a batch again replaces what it wrote before and adds
+    nothing twice. Rows of an hour come together in ``spread`` files; raise it where a batch holds a very busy hour.
+    """
+    fits = F.col(REJECTED).isNull()
+    placed = judged.withColumns({
+        **{name: F.when(fits, F.col(name)) for name in LOG_PARTITIONS}, FITS: fits.cast("int"), BATCH: F.lit(batch)})
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in judged.columns]), F.lit(spread))
+    (
+        placed.repartition(*LOG_PARTITIONS, FITS, salt).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+        .partitionBy(FITS, *LOG_PARTITIONS, BATCH).parquet(path)
+    )
+
+
+def write_split_stream(judged: DataFrame, checkpoint: str, path: str, available_now: bool = False,
+                       spread: int = 1) -> StreamingQuery:
+    """One stream into two tables below ``path``; the source is read once. See ``read_valid`` and ``read_rejected``."""
+    writer = judged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda rows, batch: write_split_batch(rows, batch, path, spread))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)
+    return writer.start()
+
+
+def _split_schema(schema: T.StructType) -> T.StructType:
+    derived = [T.StructField("event_timestamp", T.TimestampType()),
+               *[T.StructField(name, T.IntegerType()) for name in LOG_PARTITIONS]]
+    return T.StructType([*schema.fields, *derived, T.StructField(REJECTED, T.StringType()),
+                         T.StructField(FITS, T.IntegerType()), T.StructField(BATCH, T.IntegerType())])
+
+
+def _split_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], _split_schema(schema))
+    return spark.read.schema(_split_schema(schema)).parquet(path)
+
+
+def read_valid(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The hour table of a split stream; empty before its first batch."""
+    found = _split_table(spark, path, schema).filter(F.col(FITS) == 1)
+    return found.select(*[F.col(f"`{name}`") for name in schema.names], "event_timestamp", *LOG_PARTITIONS)
+
+
+def read_rejected(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The text of the records that did not fit, in column ``data``, with the batch they came in."""
+    return _split_table(spark, path, schema).filter(F.col(FITS) == 0).select(F.col(REJECTED).alias("data"), BATCH)
