@@ -213,9 +213,20 @@ def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     table = table.withColumn("hash", F.xxhash64("piece"))
     starts = units.withColumn("size", F.length("unit")).withColumn(
         "start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
+    # Only spans as long as some piece that begins with the same three characters are cut out, beside those of two.
+    heads: dict[str, set[int]] = {}
+    for piece, _ in longer:
+        if len(piece) > 2:
+            heads.setdefault(piece[:3], set()).add(len(piece))
+    lengths = units.sparkSession.createDataFrame(
+        [(head, sorted(found)) for head, found in heads.items()], "head string, lengths array<int>")
+    met = starts.withColumn("at", F.expr("substring(unit, start + 1, 3)")).join(
+        F.broadcast(lengths), F.col("at") == F.col("head"), "left")
     # The last start has no longer piece; its one span keeps the unit in the result.
-    spans = starts.withColumn("stop", F.explode(F.sequence(
-        F.least(F.col("start") + 2, F.col("size")), F.least(F.col("start") + vocabulary.longest, F.col("size")))))
+    least = F.least(F.lit(2), F.col("size") - F.col("start"))
+    spans = met.withColumn("length", F.explode(F.concat(F.array(least), F.coalesce(
+        "lengths", F.array().cast("array<int>"))))).withColumn("stop", F.col("start") + F.col("length")).filter(
+        F.col("stop") <= F.col("size"))
     cut = spans.withColumn("cut", F.expr("substring(unit, start + 1, stop - start)")).withColumn(
         "cut_hash", F.xxhash64("cut"))
     joined = cut.join(

@@ -58,7 +58,7 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select(F.struct("doc_id", expected.alias("expected")).alias("doc"), "text")
     decoded = encode_documents(docs, vocabulary, keep="doc", decode=True)
     return decoded.select(
-        "doc.doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+        "doc.doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
         (F.xxhash64("decoded") == F.col("doc.expected")).alias("round_trip"))
 
 
