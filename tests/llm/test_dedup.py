@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from tests.llm.data import BREAKS, frame, multiset, rows, words_of
 from tidewell.llm.exact import PatriciaTrie, exact_groups, exact_owners, without_copies
 from tidewell.llm.lines import dedup_lines
+from tidewell.llm.mixing import mixed_documents
 from tidewell.llm.repeats import SuffixAutomaton, remove_repeats
 from tidewell.llm.simhash import fingerprint, near_groups, roots_within, without_near_copies
 
@@ -105,6 +106,18 @@ def test_near_groups_match_all_pairs(spark):
     assert survivors.schema == frame(spark).schema and survivors.count() == len(ids)
 
 
+def test_survivors_do_not_depend_on_row_order(spark):
+    """Rows alike in doc_id, source and text differ in lang only; the same one stays however they are laid out."""
+    data = [(i % 5, f"same words of text {i % 5}", lang, "s") for i in range(20) for lang in ("de", None, "en", "fr")]
+    schema, found = "doc_id long, text string, lang string, source string", set()
+    for seed in range(4):
+        docs = spark.createDataFrame(random.Random(seed).sample(data, len(data)), schema).repartition(1 + seed)
+        near = without_near_copies(docs).collect()
+        mixed = mixed_documents(docs, weights=(1,)).collect()
+        found.add((tuple(sorted(map(str, near))), tuple(sorted(map(str, mixed)))))
+    assert len(found) == 1
+
+
 def test_near_groups_in_small_chunks_and_of_nothing(spark):
     def found(**options):
         return multiset((r.doc_id, r.component_id) for r in near_groups(frame(spark), **options).collect())

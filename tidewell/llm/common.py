@@ -58,3 +58,9 @@ def digest(*columns: Column) -> tuple[Column, Column]:
 def crc_share(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's text, modulo ``parts``; 0 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0).cast("long"))
+
+
+def one_of_each(rows: DataFrame, keys: list[str], *columns: Column) -> DataFrame:
+    """One ``row`` per key, the one whose ``columns`` have the least digest, so that reruns agree on which."""
+    marked = rows.withColumn("tie", F.struct(*digest(*columns)))
+    return marked.groupBy(*keys).agg(F.min_by("row", "tie").alias("row"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import WORD, digest, stored
+from tidewell.llm.common import WORD, digest, one_of_each, stored
 
 
 def quality_weight(size: Column, chars: Column) -> Column:
@@ -123,12 +123,18 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as the mix takes it, with the columns of ``docs``."""
+    """The mix itself: each document as often as the mix takes it, with the columns of ``docs``.
+
+    Rows alike in doc_id, source and text are taken as often as all of them together, as the one of them with the
+    least digest over its other columns, so reruns agree.
+    """
     plan = mix_sources(docs, **options).groupBy("d1", "d2").agg(F.sum("copies").alias("copies")).filter("copies > 0")
     d1, d2 = digest(docs["doc_id"], docs["source"], docs["text"])
-    packed = docs.select(d1.alias("d1"), d2.alias("d2"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    others = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "source", "text")]
+    packed = docs.select(d1.alias("d1"), d2.alias("d2"), whole.alias("row"))
     # Rows alike in id, source and text are one entry of the plan, whose copies are already summed.
     return (
-        packed.dropDuplicates(["d1", "d2"]).join(plan, ["d1", "d2"])
+        one_of_each(packed, ["d1", "d2"], *others).join(plan, ["d1", "d2"])
         .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("nth")).select("row.*")
     )

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import digest, sliced, stored, texts
+from tidewell.llm.common import digest, one_of_each, sliced, stored, texts
 from tidewell.llm.components import connected_components
 
 SEED = 42
@@ -233,9 +233,17 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, chunk: int =
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with the columns of ``docs``."""
+    """One document of each component, the one with the smallest doc_id, with the columns of ``docs``.
+
+    Of rows alike in doc_id and text the one with the least digest over its other columns stays; a null doc_id stays only
+    if its component has no other. Texts of any length, empty and null ones are as in ``near_groups``; an empty table
+    gives an empty result.
+    """
     staying = near_groups(docs, shingle, radius).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "d1", "d2")).alias("best")).select("best.d1", "best.d2")
     d1, d2 = digest(docs["doc_id"], docs["text"])
-    packed = docs.select(d1.alias("d1"), d2.alias("d2"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return packed.dropDuplicates(["d1", "d2"]).join(staying, ["d1", "d2"], "left_semi").select("row.*")
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    packed = docs.select(d1.alias("d1"), d2.alias("d2"), whole.alias("row"))
+    others = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")]
+    single = one_of_each(packed, ["d1", "d2"], *others)
+    return single.join(staying, ["d1", "d2"], "left_semi").select("row.*")
