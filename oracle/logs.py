@@ -15,6 +15,25 @@ LOG_QUERIES = {
                date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS window_end, protocol,
                count(*) AS connections, CAST(sum(bytes_sent) + sum(bytes_received) AS BIGINT) AS total_bytes
         FROM network_logs GROUP BY ALL""",
+    "traffic_rollup_stream": """
+        WITH delivered AS (
+            SELECT *, (day - 1) // 6 + CASE WHEN CAST(connection_id[2:] AS BIGINT) % 7 = 0 THEN 3
+                                            WHEN CAST(connection_id[2:] AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END AS delivery,
+                   date_trunc('hour', event_timestamp) AS window_start,
+                   date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS window_end
+            FROM network_logs WHERE (day - 1) // 6 < 5
+        ), reached AS (
+            SELECT delivery, date_trunc('millisecond', max(event_timestamp)) - INTERVAL 9 DAY AS mark
+            FROM delivered GROUP BY delivery
+        ), marks AS (
+            SELECT delivery, max(mark) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+            FROM reached
+        )
+        SELECT window_start, window_end, protocol, count(*) AS connections,
+               CAST(sum(bytes_sent) + sum(bytes_received) AS BIGINT) AS total_bytes
+        FROM delivered JOIN marks USING (delivery)
+        WHERE mark IS NULL OR window_end > mark
+        GROUP BY ALL HAVING window_end <= (SELECT max(mark) FROM reached)""",
     "masked_connections": """
         SELECT * REPLACE (
             concat_ws('.', split_part(source_ip, '.', 1), split_part(source_ip, '.', 2), 'x', 'x') AS source_ip,
@@ -30,6 +49,7 @@ LOG_QUERIES = {
         SELECT query_id, CAST(query_id[2:] AS BIGINT) % 7 = 0 AS truncated FROM database_logs
         WHERE CAST(query_id[2:] AS BIGINT) % 7 = 0 OR CAST(query_id[2:] AS BIGINT) % 11 = 0""",
     "logs_compacted": "SELECT * FROM database_logs",
+    "logs_packed": "SELECT * FROM database_logs",
     "valid_database_logs": """
         SELECT * FROM database_logs WHERE CAST(query_id[2:] AS BIGINT) % 7 > 0 AND CAST(query_id[2:] AS BIGINT) % 11 > 0""",
     "db_query_count": "SELECT count(*) AS total_queries FROM database_logs",

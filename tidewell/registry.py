@@ -14,12 +14,13 @@ from tidewell.operators.quality import quarantine, sales_quality, sales_rules
 from tidewell.plans import business, challenges, gold, incremental, layer_queries, log_queries, pipeline, silver
 from tidewell.schemas import DATABASE_LOG, NETWORK_LOG
 from tidewell.session import configure, fresh_folder
+from tidewell.sources.compaction import pack_small_files
 from tidewell.sources.delimited import ingest_tables
 from tidewell.sources.lake import append_new, compact, register_layer, remove_folder, write_table
 from tidewell.sources.samples import log_stream, sample_tables
 from tidewell.sources.tables import DeclaredTables
 from tidewell.streaming import logs
-from tidewell.streaming.rollup import traffic_rollup
+from tidewell.streaming.rollup import traffic_rollup, write_rollup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,6 +263,39 @@ def _rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rolled.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")})
 
 
+SLOT_DAYS, SLOTS, VERY_LATE, LATENESS = 6, 5, 3, "9 days"
+
+
+def _rollup_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Traffic by hour of a log that comes in deliveries of six days, some records one delivery late, others three.
+
+    After each delivery a query drains what has come and ends; the next one goes on with its state. Records one
+    delivery late count, those three late meet closed windows; the last windows stay open.
+    """
+    lake, place = sample_lake(spark, folder), F.substring("connection_id", 2, 19).cast("long")
+    late = F.when(place % 7 == 0, VERY_LATE).when(place % 10 == 0, 1).otherwise(0)
+    slot = F.floor((F.col("day") - 1) / SLOT_DAYS)
+    network = lake["network_logs"].filter(slot < SLOTS)
+    inbox, progress, stored = (fresh_folder(spark, f"rollup-{name}") for name in ("in", "progress", "out"))
+    for delivery in range(SLOTS + VERY_LATE):
+        logs.as_records(network.filter(slot + late == delivery), NETWORK_LOG).write.mode("append").text(inbox)
+        parsed = logs.parse_network_logs(logs.read_records(spark, "text", inbox))
+        rolled = traffic_rollup(parsed, window="1 hour", lateness=LATENESS)
+        write_rollup_stream(rolled, progress, stored, available_now=True).awaitTermination()
+    found = spark.read.schema(rolled.schema).parquet(stored)
+    return found.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")})
+
+
+def _logs_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored log by hour, written in four appends and then merged by size."""
+    logs_now = sample_lake(spark, folder)["database_logs"]
+    path, place = fresh_folder(spark, "packed"), F.substring("query_id", 2, 19).cast("long")
+    for part in range(4):
+        write_table(logs_now.filter(place % 4 == part), path, ["year", "month", "day"], mode="append", stamp=False)
+    pack_small_files(spark, path)
+    return _plain_time(spark.read.schema(logs_now.schema).parquet(path)).select(*logs_now.columns)
+
+
 REGISTRY: dict[str, Query] = {
     "bronze_ingest": _bronze_ingest,
     **{f"incremental_{mart}": _after_loads(mart) for mart in gold.MARTS},
@@ -330,10 +364,12 @@ REGISTRY: dict[str, Query] = {
     "quarantined_database_logs": _quarantined_logs,
     "sales_appended": _sales_appended,
     "logs_compacted": _logs_compacted,
+    "logs_packed": _logs_packed,
     "daily_refreshed": _daily_refreshed,
     "sales_quality": _sales_quality,
     "sales_quarantine": _quarantined,
     "traffic_rollup": _rollup,
+    "traffic_rollup_stream": _rollup_stream,
     "masked_customers": lambda s, d: masked_customers(sample_lake(s, d)["silver_customer"], salt="lake"),
     "masked_queries": lambda s, d: _plain_time(masked_queries(sample_lake(s, d)["database_logs"], salt="lake")),
     "masked_connections": lambda s, d: _plain_time(masked_connections(sample_lake(s, d)["network_logs"])),

@@ -176,23 +176,23 @@ class Registered(NamedTuple):
     status: str
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    system, folder = _file_system(spark, path)
+    system, folder = file_system(spark, path)
     return system.exists(folder)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    system, folder = _file_system(spark, path)
+    system, folder = file_system(spark, path)
     system.delete(folder, True)
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
-    system, folder = _file_system(spark, path)
+    system, folder = file_system(spark, path)
     return sorted(entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory())
 
 
@@ -204,7 +204,7 @@ def partition_folder(spark: SparkSession, path: str, columns: Sequence[str], val
 
 
 def _directories(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    system, folder = _file_system(spark, root)
+    system, folder = file_system(spark, root)
     found = [entry.getPath() for entry in system.listStatus(folder) if entry.isDirectory()]
     return sorted((p.getName(), p.toString()) for p in found if not p.getName().startswith(("_", ".")))
 
@@ -228,7 +228,7 @@ def _partitions(spark: SparkSession, full: str) -> set[str]:
     return {row.partition for row in spark.sql(f"SHOW PARTITIONS {full}").collect()}
 
 
-def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """The directory columns below a path, from its first directories."""
     found, here = [], path
     while folders := [name for name in subfolders(spark, here) if "=" in name]:
@@ -252,7 +252,7 @@ def _register_external(spark: SparkSession, table: str, full: str, path: str) ->
             schema = widened(spark.table(full).schema, schema)
     except SchemaConflict as problem:
         return [Registered(table, f"refused, {problem}")]
-    parts, gone = _partition_columns(spark, path), set()
+    parts, gone = partition_columns(spark, path), set()
     if kind is None:
         _create_external(spark, full, path, schema, parts)
     else:

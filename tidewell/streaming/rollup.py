@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidewell.streaming.logs import TRIGGER
 
 
 def traffic_rollup(logs: DataFrame, window: str = "5 minutes", lateness: str = "10 minutes") -> DataFrame:
@@ -20,3 +23,13 @@ def traffic_rollup(logs: DataFrame, window: str = "5 minutes", lateness: str = "
         .select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"),
                 "protocol", "connections", "total_bytes")
     )
+
+
+def write_rollup_stream(rolled: DataFrame, checkpoint: str, path: str, available_now: bool = False) -> StreamingQuery:
+    """Append each window once the watermark has passed it; open windows wait in the state below ``checkpoint``.
+
+    A query that is started again with the same checkpoint goes on with that state and the watermark reached.
+    """
+    writer = rolled.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)
+    return writer.start(path)
