@@ -100,6 +100,14 @@ RETAIL_QUERIES = {
              JOIN silver_item ON i_item_sk = ss_item_sk
         GROUP BY s_store_sk, s_store_name, i_item_sk, i_item_desc
         QUALIFY store_rank <= 10""",
+    # Rules of arrival, and the marts that read a table of the source directly or through the sales.
+    "incremental_lineage": "WITH lines AS (" + " UNION ALL ".join(
+        f"SELECT CASE WHEN {early} THEN 1 ELSE 2 END AS batch, 'bronze_{table}' AS output, {marts} AS marts FROM bronze_{table}"
+        for table, early, marts in (
+            ("store_sales", "ss_ticket_number % 10 < 7", 5), ("customer", "c_customer_sk % 3 > 0", 1),
+            ("item", "i_item_sk % 5 > 0", 2), ("date_dim", "d_date_sk % 100 < 28", 5), ("store", "true", 1))
+    ) + """) SELECT CAST(batch AS BIGINT) AS batch, output, count(*) AS "rows", CAST(0 AS BIGINT) AS rejected,
+                    CAST(marts AS BIGINT) AS marts FROM lines GROUP BY ALL""",
     "bronze_ingest": " UNION ALL ".join(
         f"""SELECT '{table}' AS table_name, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, count(*) AS "rows",
                    CAST(sum({' + '.join(f"coalesce(length(CAST({c} AS VARCHAR)), 0)" for c in columns.split())})

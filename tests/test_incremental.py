@@ -5,7 +5,7 @@ import os
 import pytest
 
 from tidewell.plans import gold, silver
-from tidewell.plans.incremental import Lake, load_new_files, plan_batch, rejected_lines
+from tidewell.plans.incremental import Lake, built_from, lineage, load_new_files, plan_batch, rejected_lines
 from tidewell.registry import LTV_CUTS, sample_lake
 
 FOLDER = "/root/testdata/sf0.001"
@@ -88,3 +88,40 @@ def test_lines_that_do_not_fit_are_kept_with_their_file(spark, tmp_path):
     status = load_new_files(spark, str(raw), root, ["store"], {"store": schema}).first()
     assert (status.files, status.rows, status.rejected) == (1, 0, 0)
     assert Lake(spark, root).read("silver", "store").count() == 2
+
+
+def test_lineage_tells_what_a_file_reached_and_counts_a_repeated_load_once(spark, tmp_path):
+    sample, raw, root = sample_lake(spark, FOLDER), str(tmp_path / "raw"), str(tmp_path / "lake")
+    bronze = {name: sample[f"bronze_{name}"] for name in NAMES}
+    schemas = {name: frame.schema for name, frame in bronze.items()}
+
+    def load(die_at=None):
+        def seen(step):
+            if step == die_at:
+                raise KeyboardInterrupt(step)
+        return load_new_files(spark, raw, root, NAMES, schemas, LTV_CUTS, seen)
+
+    for name in NAMES:
+        put(bronze[name].coalesce(1), f"{raw}/{name}")
+    load()
+    before = lineage(spark, root)
+    assert before.filter("rejected IS NOT NULL").count() == len(NAMES)
+    assert {r.rows for r in before.filter("output = 'bronze_customer'").collect()} == {bronze["customer"].count()}
+    assert {r.input for r in before.filter("output = 'gold_top_products_by_store'").collect()} == {
+        "silver_store_sales", "silver_item", "silver_store"}
+    with open(f"{raw}/customer/late.csv", "w") as file:
+        file.write("900001|C900001|Ada|Byron|a@b.example|GB|1815\nno number|C900002|Bad|Line|c@d.example|GB|1816\n")
+    for step in ("silver_customer", "gold_customer_lifetime_value", "commit"):
+        with pytest.raises(KeyboardInterrupt):
+            load(step)
+        assert rows(lineage(spark, root)) == rows(before)
+    load()
+    late = lineage(spark, root).filter("batch = 2")
+    source = rejected_lines(spark, root, "customer").first().source
+    assert source.endswith("/customer/late.csv")
+    assert [(r.input, r.rows, r.rejected) for r in late.filter("output = 'bronze_customer'").collect()] == [(source, 1, 1)]
+    assert {(r.output, r.input) for r in late.filter("rejected IS NULL").collect()} == {
+        ("silver_customer", "bronze_customer"), ("gold_customer_lifetime_value", "silver_customer"),
+        ("gold_customer_lifetime_value", "silver_store_sales")}
+    assert sorted(r.output for r in built_from(spark, root, source).collect()) == [
+        "bronze_customer", "gold_customer_lifetime_value", "silver_customer"]

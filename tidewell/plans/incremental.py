@@ -29,6 +29,7 @@ from tidewell.sources.lake import (
 )
 from tidewell.sources.tables import DeclaredTables
 
+LINEAGE = "job_id string, output string, input string, `rows` long, rejected long"
 LOADED = "batch long, table_name string, files long, `rows` long, rejected long, status string"
 STAMPS = ("load_timestamp", "job_id", "source", "batch", "fits", CORRUPT)
 FITS = "fits"
@@ -91,8 +92,8 @@ def plan_batch(spark: SparkSession, source: str, root: str, tables: Sequence[str
 
 
 def _ingest(lake: Lake, table: str, paths: Sequence[str], batch: int, schema: T.StructType | None, job_id: str,
-            **read_options) -> tuple[int, int]:
-    """One pass: lines that fit and, beside them, those that do not, with their text; how many of each."""
+            **read_options) -> list[tuple[str, int, int]]:
+    """One pass: lines that fit and, beside them, those that do not, with their text; how many of each a file had."""
     raw = read_delimited(lake.spark, list(paths), schema, capture_malformed=schema is not None, **read_options)
     if CORRUPT not in raw.columns:
         raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
@@ -100,9 +101,10 @@ def _ingest(lake: Lake, table: str, paths: Sequence[str], batch: int, schema: T.
     path = f"{lake.path('bronze', table)}/batch={batch}"
     write_table(rows, path, [FITS], job_id=job_id)
     if not subfolders(lake.spark, path):
-        return 0, 0
-    written = {row[FITS]: row["count"] for row in lake.spark.read.parquet(path).groupBy(FITS).count().collect()}
-    return written.get(1, 0), written.get(0, 0)
+        return []
+    fits = F.col(FITS).cast("long")
+    found = lake.spark.read.parquet(path).groupBy("source").agg(F.sum(fits).alias("good"), F.sum(1 - fits).alias("bad"))
+    return [tuple(row) for row in found.orderBy("source").collect()]  # the files of one batch
 
 
 def rejected_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -111,6 +113,31 @@ def rejected_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
         "batch", "source", F.col(CORRUPT).alias("line"))
 
 
+def lineage(spark: SparkSession, root: str) -> DataFrame:
+    """What each load wrote from what: batch, job_id, output, input, rows, rejected; one row per output and input.
+
+    The inputs of a bronze table are files, named as its column ``source`` names them, with the lines of each that
+    fitted and that did not. Those of other tables are tables, and ``rows`` is what was written. A load that died and
+    was run again counts once, as it was run last.
+    """
+    written = Lake(spark, root).batches("committed")
+    return spark.read.schema(f"{LINEAGE}, batch long").parquet(f"{root}/_ledger/lineage").filter(
+        F.col("batch").isin(sorted(written))).select("batch", "job_id", "output", "input", "rows", "rejected")
+
+
+def built_from(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """batch and output of every table that the load of a file wrote from it, through whichever tables between."""
+    edges = lineage(spark, root)
+    tables = edges.filter("rejected IS NULL").select("batch", F.col("input").alias("from"), "output")
+    newest = edges.filter(F.col("input") == source).select("batch", "output").distinct()
+    found = newest
+    for _ in range(3):  # silver, sales dated by the silver calendar, gold
+        newest = tables.join(newest.withColumnRenamed("output", "from"), ["batch", "from"]).select(
+            "batch", "output").distinct()
+        found = found.union(newest)
+    return found.distinct()
+
+
 def _any(columns: Sequence[str], values: Sequence[Sequence]) -> Column:
     """Rows whose directory columns have one of the listed values; literals, so other directories are not read."""
     return reduce(lambda a, b: a | b, [
@@ -123,6 +150,8 @@ class _Batch:
 
     def __init__(self, lake: Lake, number: int, job_id: str, seen: Callable[[str], None]):
         self.lake, self.number, self.job_id, self.seen = lake, number, job_id, seen
+        self.reads: set[str] = set()
+        self.edges: list[tuple] = []
 
     def step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.lake.work(self.number)}/{name}"
@@ -130,15 +159,33 @@ class _Batch:
             make().write.mode("overwrite").parquet(path)
         return self.lake.spark.read.parquet(path)
 
+    def noted(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A step that is published: which tables it was made from is kept beside it, for when it is run again."""
+        def run() -> DataFrame:
+            self.reads.clear()
+            rows = make()
+            self.lake.spark.createDataFrame(
+                [(read,) for read in sorted(self.reads)], "input string").coalesce(1).write.mode("overwrite").parquet(
+                f"{self.lake.work(self.number)}/{name}.reads")
+            return rows
+        return self.step(name, run)
+
+    def _recorded(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        rows = self.noted(name, make)
+        written = rows.count()
+        inputs = self.lake.spark.read.parquet(f"{self.lake.work(self.number)}/{name}.reads").collect()
+        self.edges += [(self.job_id, name, row.input, written, None) for row in inputs]
+        return rows
+
     def replace(self, layer: str, table: str, make: Callable[[], DataFrame]) -> None:
-        rows = self.step(f"{layer}_{table}", make)
+        rows = self._recorded(f"{layer}_{table}", make)
         self.seen(f"{layer}_{table}")
         write_table(rows, self.lake.path(layer, table), job_id=self.job_id)
 
     def replace_parts(self, layer: str, table: str, columns: Sequence[str], touched: Sequence[Sequence],
                       make: Callable[[], DataFrame]) -> None:
         """Replace the directories in ``touched``; those without rows any more go."""
-        rows, path = self.step(f"{layer}_{table}", make), self.lake.path(layer, table)
+        rows, path = self._recorded(f"{layer}_{table}", make), self.lake.path(layer, table)
         kept = {tuple(row) for row in rows.select(*columns).distinct().collect()}
         self.seen(f"{layer}_{table}")
         if kept or not path_exists(self.lake.spark, path):
@@ -148,9 +195,27 @@ class _Batch:
                 remove_folder(self.lake.spark, partition_folder(self.lake.spark, path, columns, row))
 
 
-def _merged(lake: Lake, table: str, fresh: DataFrame) -> DataFrame:
+class _Watched(Mapping):
+    """Tables that tell the batch which of them are read."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], batch: _Batch):
+        self.tables, self.batch = tables, batch
+
+    def __getitem__(self, name: str) -> DataFrame:
+        self.batch.reads.add(name)
+        return self.tables[name]
+
+    def __iter__(self):
+        return iter(self.tables)
+
+    def __len__(self) -> int:
+        return len(self.tables)
+
+
+def _merged(batch: _Batch, table: str, fresh: DataFrame) -> DataFrame:
     """A silver table with the rows of a batch: its rule on what is stored and what is new."""
-    bronze = fresh
+    lake, bronze = batch.lake, fresh
+    batch.reads.add(f"bronze_{table}")
     if lake.has("silver", table):
         bronze = lake.read("silver", table).select(*fresh.columns).unionByName(fresh)
     return silver.build(table, {f"bronze_{table}": bronze})
@@ -180,6 +245,7 @@ def _sales(batch: _Batch, fresh: DataFrame | None, days: DataFrame | None) -> tu
 
     def rebuilt() -> DataFrame:
         rows = [] if fresh is None else [fresh]
+        batch.reads |= {"silver_date_dim", *(() if fresh is None else ("bronze_store_sales",))}
         if lake.has("silver", "store_sales"):
             rows.insert(0, lake.read("silver", "store_sales").filter(_any(columns, months)).drop(*columns))
         return silver.store_sales(reduce(DataFrame.unionByName, rows), calendar)
@@ -206,9 +272,9 @@ def _refresh_marts(batch: _Batch, changed: DataFrame | None, months: list[tuple]
         for name in ("store_sales", "customer", "date_dim", "item", "store")})
     sales = tables["silver_store_sales"]
 
-    def with_sales(rows: DataFrame, **others: DataFrame) -> DeclaredTables:
+    def with_sales(rows: DataFrame, **others: DataFrame) -> _Watched:
         frames = {"silver_store_sales": rows, **{f"silver_{name}": frame for name, frame in others.items()}}
-        return tables.extended({name: (lambda _, frame=frame: frame) for name, frame in frames.items()})
+        return _Watched(tables.extended({name: (lambda _, frame=frame: frame) for name, frame in frames.items()}), batch)
 
     dated = [month for month in months if month[0] is not None]
     if dated:
@@ -302,7 +368,9 @@ def load_new_files(spark: SparkSession, source: str, root: str, tables: Sequence
         paths.setdefault(row.table_name, []).append(row.path)
     batch, loaded, fresh = _Batch(lake, number, job_id, seen), [], {}
     for table in sorted(paths):
-        rows, rejected = _ingest(lake, table, paths[table], number, schemas.get(table), job_id, **read_options)
+        lines = _ingest(lake, table, paths[table], number, schemas.get(table), job_id, **read_options)
+        rows, rejected = sum(good for _, good, _ in lines), sum(bad for _, _, bad in lines)
+        batch.edges += [(job_id, f"bronze_{table}", *line) for line in lines]
         loaded.append((number, table, len(paths[table]), rows, rejected, "ok"))
         if rows:
             stored = spark.read.parquet(f"{lake.path('bronze', table)}/batch={number}")
@@ -310,17 +378,18 @@ def load_new_files(spark: SparkSession, source: str, root: str, tables: Sequence
         seen(f"bronze_{table}")
     days = None
     if "date_dim" in fresh:
-        after = batch.step("silver_date_dim", lambda: _merged(lake, "date_dim", fresh["date_dim"]))
+        after = batch.noted("silver_date_dim", lambda: _merged(batch, "date_dim", fresh["date_dim"]))
         days = batch.step("days", lambda: after.subtract(
             _nothing(after, lake, "silver", "date_dim").select(*after.columns)).select(F.col("d_date_sk").alias("day")))
     for table in sorted(set(fresh) - {"store_sales"}):
-        batch.replace("silver", table, lambda: _merged(lake, table, fresh[table]))
+        batch.replace("silver", table, lambda: _merged(batch, table, fresh[table]))
     changed, months = None, []
     if lake.has("silver", "date_dim"):
         changed, months = _sales(batch, fresh.get("store_sales"), days)
     if all(lake.has("silver", name) for name in ("store_sales", "customer", "date_dim", "item", "store")):
         _refresh_marts(batch, changed, months, fresh, cuts)
     seen("commit")
+    spark.createDataFrame(batch.edges, LINEAGE).coalesce(1).write.mode("overwrite").parquet(lake.ledger("lineage", number))
     stamped(planned.drop("batch"), job_id=job_id).coalesce(1).write.mode("overwrite").parquet(
         lake.ledger("committed", number))
     remove_folder(spark, lake.work(number))

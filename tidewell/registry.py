@@ -176,14 +176,33 @@ def loaded_lake(spark: SparkSession, folder: str) -> str:
 _LOADED: dict[tuple[str, str], str] = {}
 
 
+def _loaded(spark: SparkSession, folder: str) -> str:
+    """The incrementally loaded lake, which is loaded once per session and source."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _LOADED:
+        _LOADED[known] = loaded_lake(spark, folder)
+    return _LOADED[known]
+
+
+def _load_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Per load and bronze table the lines of its files, and how many marts were written from them."""
+    root = _loaded(spark, folder)
+    files = incremental.lineage(spark, root).filter("rejected IS NOT NULL")
+    lines = files.groupBy("batch", "output").agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"),
+                                                 F.min("input").alias("file"))
+    marts = reduce(DataFrame.unionByName, [
+        incremental.built_from(spark, root, row.file).filter(F.startswith("output", F.lit("gold_")))
+        .groupBy("batch").agg(F.count("*").alias("marts")).withColumn("output", F.lit(row.output))
+        for row in lines.collect()])  # a row per load and table
+    return lines.drop("file").join(marts, ["batch", "output"])
+
+
 def _after_loads(mart: str) -> Query:
-    """A mart of the incrementally loaded lake, which is loaded once per session and source."""
+    """A mart of the incrementally loaded lake."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        known = (spark.sparkContext.applicationId, folder)
-        if known not in _LOADED:
-            _LOADED[known] = loaded_lake(spark, folder)
+        root = _loaded(spark, folder)
         columns = gold.builders(LTV_CUTS)[f"gold_{mart}"](sample_lake(spark, folder)).columns
-        return incremental.Lake(spark, _LOADED[known]).read("gold", mart).select(*columns)
+        return incremental.Lake(spark, root).read("gold", mart).select(*columns)
     return run
 
 
@@ -299,6 +318,7 @@ def _logs_packed(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "bronze_ingest": _bronze_ingest,
     **{f"incremental_{mart}": _after_loads(mart) for mart in gold.MARTS},
+    "incremental_lineage": _load_lineage,
     "registered_sales": _registered_sales,
     "silver_store_sales": _dirty_sales(silver.store_sales),
     "silver_store_sales_keyed": _dirty_sales(silver.store_sales_keyed),
