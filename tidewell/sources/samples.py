@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.session import size_shuffles
 from tidewell.sources.tables import DeclaredTables
 
 # Declared so that no read has to open parquet footers first.
@@ -221,6 +222,7 @@ def _network_logs(raw: _Raw) -> DataFrame:
 def sample_tables(spark: SparkSession, folder: str) -> DeclaredTables:
     """Bronze retail tables and the two log tables over the parquet files in ``folder``."""
     raw = _Raw(lambda: spark.read, folder.rstrip("/"))
+    size_shuffles(spark, [f"{folder.rstrip('/')}/{name}.parquet" for name in _SCHEMAS])
     makers = {
         "bronze_store_sales": _store_sales,
         "bronze_store_sales_dirty": _store_sales_dirty,
