@@ -125,3 +125,32 @@ def test_lineage_tells_what_a_file_reached_and_counts_a_repeated_load_once(spark
         ("gold_customer_lifetime_value", "silver_store_sales")}
     assert sorted(r.output for r in built_from(spark, root, source).collect()) == [
         "bronze_customer", "gold_customer_lifetime_value", "silver_customer"]
+
+
+def test_what_was_published_before_a_load_died_is_not_written_again(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    (raw / "store").mkdir(parents=True)
+    (raw / "store" / "a.dat").write_text("1|one\n2|two\nx|three\n")
+    schema = spark.createDataFrame([], "s_store_sk bigint, s_store_name string").schema
+
+    def load(die_at=None):
+        def seen(step):
+            if step == die_at:
+                raise KeyboardInterrupt(step)
+        return load_new_files(spark, str(raw), root, ["store"], {"store": schema}, seen=seen)
+
+    with pytest.raises(KeyboardInterrupt):
+        load("silver_store")
+    bronze = files(f"{root}/bronze")
+    assert bronze and not os.path.exists(f"{root}/silver")
+    with pytest.raises(KeyboardInterrupt):
+        load("commit")
+    silver_files = files(f"{root}/silver")
+    status = load().first()
+    assert (status.rows, status.rejected) == (2, 1)
+    assert files(f"{root}/bronze") == bronze and files(f"{root}/silver") == silver_files
+    # Each table is told under the job whose id its rows bear.
+    jobs = {r.output: r.job_id for r in lineage(spark, root).collect()}
+    for layer in ("bronze", "silver"):
+        stored = spark.read.parquet(f"{root}/{layer}/store").select("job_id").distinct().collect()
+        assert [r.job_id for r in stored] == [jobs[f"{layer}_store"]]

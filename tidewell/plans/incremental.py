@@ -4,7 +4,7 @@ A batch is planned before it is run: the files it takes (path, size, time) are w
 committed when all its steps are through. A planned batch that is not committed, because its job died, is run again
 first, with the same files. Each step is first written to the batch's work folder and published from there, so a step
 that died half-way through publishing is published again from the same rows, and a step that is done is not redone from
-what it has itself changed. Silver tables are closed under repetition (whole rows or one row per key), so merging a
+what it has itself changed. A step that was published to its end is marked and left alone. Silver tables are closed under repetition (whole rows or one row per key), so merging a
 batch into them twice changes nothing.
 
 One load at a time may run on a lake. A file that is replaced under its name counts as a new file; rows of its old form
@@ -25,7 +25,7 @@ from tidewell.plans import gold, silver
 from tidewell.schemas import RAW_SCHEMAS, SOURCE_TABLES
 from tidewell.sources.delimited import CORRUPT, read_delimited
 from tidewell.sources.lake import (
-    overwrite_touched, partition_folder, path_exists, remove_folder, stamped, subfolders, write_table,
+    make_folder, overwrite_touched, partition_folder, path_exists, remove_folder, stamped, subfolders, write_table,
 )
 from tidewell.sources.tables import DeclaredTables
 
@@ -91,20 +91,23 @@ def plan_batch(spark: SparkSession, source: str, root: str, tables: Sequence[str
     return number
 
 
-def _ingest(lake: Lake, table: str, paths: Sequence[str], batch: int, schema: T.StructType | None, job_id: str,
-            **read_options) -> list[tuple[str, int, int]]:
-    """One pass: lines that fit and, beside them, those that do not, with their text; how many of each a file had."""
+def _ingest(batch: _Batch, table: str, paths: Sequence[str], schema: T.StructType | None,
+            **read_options) -> list[tuple]:
+    """One pass: lines that fit and, beside them, those that do not, with their text.
+
+    The job that stored them, each file, and how many of both it had.
+    """
+    lake, path = batch.lake, f"{batch.lake.path('bronze', table)}/batch={batch.number}"
     raw = read_delimited(lake.spark, list(paths), schema, capture_malformed=schema is not None, **read_options)
     if CORRUPT not in raw.columns:
         raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
     rows = raw.withColumns({FITS: F.col(CORRUPT).isNull().cast("int"), "source": F.col("_metadata.file_path")})
-    path = f"{lake.path('bronze', table)}/batch={batch}"
-    write_table(rows, path, [FITS], job_id=job_id)
+    job_id = batch.published(f"bronze_{table}", lambda: write_table(rows, path, [FITS], job_id=batch.job_id))
     if not subfolders(lake.spark, path):
         return []
     fits = F.col(FITS).cast("long")
     found = lake.spark.read.parquet(path).groupBy("source").agg(F.sum(fits).alias("good"), F.sum(1 - fits).alias("bad"))
-    return [tuple(row) for row in found.orderBy("source").collect()]  # the files of one batch
+    return [(job_id, *row) for row in found.orderBy("source").collect()]  # the files of one batch
 
 
 def rejected_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -170,29 +173,40 @@ class _Batch:
             return rows
         return self.step(name, run)
 
-    def _recorded(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def published(self, name: str, publish: Callable[[], None]) -> str:
+        """Publish a step unless that was done before the load died; the job that did it, whose id the rows bear."""
+        spark, mark = self.lake.spark, f"{self.lake.work(self.number)}/{name}.published"
+        done = subfolders(spark, mark) if path_exists(spark, mark) else []
+        if not done:
+            publish()
+            make_folder(spark, f"{mark}/{self.job_id}")
+        return done[0] if done else self.job_id
+
+    def _recorded(self, name: str, make: Callable[[], DataFrame], publish: Callable[[DataFrame], None]) -> None:
         rows = self.noted(name, make)
         written = rows.count()
         inputs = self.lake.spark.read.parquet(f"{self.lake.work(self.number)}/{name}.reads").collect()
-        self.edges += [(self.job_id, name, row.input, written, None) for row in inputs]
-        return rows
+        self.seen(name)
+        job_id = self.published(name, lambda: publish(rows))
+        self.edges += [(job_id, name, row.input, written, None) for row in inputs]
 
     def replace(self, layer: str, table: str, make: Callable[[], DataFrame]) -> None:
-        rows = self._recorded(f"{layer}_{table}", make)
-        self.seen(f"{layer}_{table}")
-        write_table(rows, self.lake.path(layer, table), job_id=self.job_id)
+        path = self.lake.path(layer, table)
+        self._recorded(f"{layer}_{table}", make, lambda rows: write_table(rows, path, job_id=self.job_id))
 
     def replace_parts(self, layer: str, table: str, columns: Sequence[str], touched: Sequence[Sequence],
                       make: Callable[[], DataFrame]) -> None:
         """Replace the directories in ``touched``; those without rows any more go."""
-        rows, path = self._recorded(f"{layer}_{table}", make), self.lake.path(layer, table)
-        kept = {tuple(row) for row in rows.select(*columns).distinct().collect()}
-        self.seen(f"{layer}_{table}")
-        if kept or not path_exists(self.lake.spark, path):
-            overwrite_touched(rows, path, columns, job_id=self.job_id)
-        for row in touched:
-            if tuple(row) not in kept:
-                remove_folder(self.lake.spark, partition_folder(self.lake.spark, path, columns, row))
+        path = self.lake.path(layer, table)
+
+        def publish(rows: DataFrame) -> None:
+            kept = {tuple(row) for row in rows.select(*columns).distinct().collect()}
+            if kept or not path_exists(self.lake.spark, path):
+                overwrite_touched(rows, path, columns, job_id=self.job_id)
+            for row in touched:
+                if tuple(row) not in kept:
+                    remove_folder(self.lake.spark, partition_folder(self.lake.spark, path, columns, row))
+        self._recorded(f"{layer}_{table}", make, publish)
 
 
 class _Watched(Mapping):
@@ -231,16 +245,16 @@ def _sales(batch: _Batch, fresh: DataFrame | None, days: DataFrame | None) -> tu
     calendar = lake.read("silver", "date_dim")
     parts = []
     if fresh is not None:
-        parts.append(silver.store_sales(fresh, calendar))
+        parts.append(silver.store_sales_repeated(fresh, calendar))
     if days is not None and lake.has("silver", "store_sales"):
         old = lake.read("silver", "store_sales").join(days, F.col("ss_sold_date_sk") == F.col("day"), "left_semi")
         moved = old.drop(*columns)
-        parts += [old, silver.store_sales(moved, calendar)]
+        parts += [old, silver.store_sales_repeated(moved, calendar)]
     if not parts:
         return None, []
     keys = columns + ["ss_customer_sk", "ss_item_sk", "ss_store_sk"]
-    changed = batch.step("changed", lambda: reduce(
-        DataFrame.unionByName, [part.select(*keys) for part in parts]).distinct())
+    # With repeats: those who ask for some of the keys take them distinct, which is far less than all of them are.
+    changed = batch.step("changed", lambda: reduce(DataFrame.unionByName, [part.select(*keys) for part in parts]))
     months = [tuple(row) for row in changed.select(*columns).distinct().collect()]  # no more than the calendar has
 
     def rebuilt() -> DataFrame:
@@ -368,9 +382,9 @@ def load_new_files(spark: SparkSession, source: str, root: str, tables: Sequence
         paths.setdefault(row.table_name, []).append(row.path)
     batch, loaded, fresh = _Batch(lake, number, job_id, seen), [], {}
     for table in sorted(paths):
-        lines = _ingest(lake, table, paths[table], number, schemas.get(table), job_id, **read_options)
-        rows, rejected = sum(good for _, good, _ in lines), sum(bad for _, _, bad in lines)
-        batch.edges += [(job_id, f"bronze_{table}", *line) for line in lines]
+        lines = _ingest(batch, table, paths[table], schemas.get(table), **read_options)
+        rows, rejected = sum(good for *_, good, _ in lines), sum(bad for *_, bad in lines)
+        batch.edges += [(job, f"bronze_{table}", *line) for job, *line in lines]
         loaded.append((number, table, len(paths[table]), rows, rejected, "ok"))
         if rows:
             stored = spark.read.parquet(f"{lake.path('bronze', table)}/batch={number}")

@@ -26,10 +26,19 @@ def _with_month(sales: DataFrame, calendar: DataFrame) -> DataFrame:
         *sales.columns, F.expr("CAST(_month div 100 AS INT)").alias("year"), (F.col("_month") % 100).alias("month"))
 
 
+def _sold(bronze: DataFrame) -> DataFrame:
+    return bronze.filter(
+        F.col("ss_sold_date_sk").isNotNull() & (F.col("ss_quantity") > 0) & (F.col("ss_sales_price") >= 0))
+
+
 def store_sales(bronze: DataFrame, calendar: DataFrame) -> DataFrame:
     """Dated sales of at least one unit at a non-negative price, each row once."""
-    sold = F.col("ss_sold_date_sk").isNotNull() & (F.col("ss_quantity") > 0) & (F.col("ss_sales_price") >= 0)
-    return _with_month(whole_rows(bronze.filter(sold)), calendar)
+    return _with_month(whole_rows(_sold(bronze)), calendar)
+
+
+def store_sales_repeated(bronze: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The same rows as often as they come, for callers that ask which keys there are."""
+    return _with_month(_sold(bronze), calendar)
 
 
 def store_sales_keyed(bronze: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -191,6 +191,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, folder = file_system(spark, path)
+    system.mkdirs(folder)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     system, folder = file_system(spark, path)
     return sorted(entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory())
