@@ -1,6 +1,7 @@
 """Language, quality and language-model scores against plain Python and held-out data."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -291,3 +292,32 @@ def test_quality_without_labels_or_documents(spark):
     found = quality.quality_verdicts(frame(spark), none).collect()
     assert len(found) == len(rows()) and all(r.kept == (not r.base_failed) for r in found)
     assert quality.quality_verdicts(frame(spark, []), none).count() == 0
+
+
+def test_quality_judges_the_order_of_words(spark):
+    """Passages of a few phrases are trusted; the same words in any order have equal words and other pairs."""
+    rng = random.Random(5)
+    phrases = [["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6)] for _ in range(400)]
+    data = []
+    for number in range(300):
+        words = [word for phrase in rng.sample(phrases, 25) for word in phrase]
+        if number % 3 == 2:
+            rng.shuffle(words)
+        data.append((number, " ".join(words)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(number, 1, 0) for number in range(300) if number % 3 == 0],
+                                   "doc_id long, quality int, toxic int")
+    found = quality.quality_verdicts(docs, labels).collect()
+    kept = {part: sum(r.kept for r in found if r.doc_id % 3 == part) for part in range(3)}
+    assert kept[0] >= 99 and kept[1] >= 98 and kept[2] == 0, kept  # all 100 shuffled ones were kept before
+
+
+def test_quality_models_are_those_of_their_own(spark):
+    labels = spark.createDataFrame([(i, i % 3 and 1, 0) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    both = quality.quality_verdicts(frame(spark), labels).collect()
+    words, pairs = (quality.quality_verdicts(frame(spark), labels, [model]).collect() for model in quality.MODELS)
+    assert len({r.score_2 for r in both}) > 30
+    assert multiset((r.doc_id, r.n_words, r.score) for r in both) == multiset((r.doc_id, r.n_words, r.score) for r in words)
+    assert multiset((r.doc_id, r.score_2) for r in both) == multiset((r.doc_id, r.score) for r in pairs)
+    kept = [{r.doc_id for r in found if r.kept and r.doc_id is not None} for found in (words, pairs, both)]
+    assert kept[0] & kept[1] == kept[2]
