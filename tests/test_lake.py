@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import final_plan_of
+from tests.conftest import final_plan_of, plan_of
 from tests.test_gold import DAYS, lake
 from tidewell.plans import business, gold, layer_queries, pipeline
 from tidewell.registry import sample_lake
@@ -104,6 +104,30 @@ def test_append_adds_each_key_once(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("nulls", [False, True])
+def test_append_leaves_rows_that_lie_by_a_part_of_the_key(spark, setting, tmp_path, monkeypatch, nulls):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "t")
+    lines = spark.range(400).selectExpr("id div 4 AS ticket", "nullif(id % 4, 9) AS item")
+    if nulls:
+        lines = lines.selectExpr("ticket", "nullif(item, 3) AS item")
+    sales = lines.join(spark.range(100).withColumnRenamed("id", "ticket"), "ticket")
+    store.append_new(sales.filter("ticket % 3 = 0"), path, ["ticket", "item"])
+    write, plans = store.write_table, []
+
+    def written(df, *args, **options):
+        plans.append(plan_of(df))
+        write(df, *args, **options)
+
+    monkeypatch.setattr(store, "write_table", written)
+    for _ in range(2):
+        store.append_new(sales, path, ["ticket", "item"])
+    rows = [(r.ticket, r.item) for r in spark.read.parquet(path).collect()]
+    assert len(rows) == 400 and set(rows) == {(r.ticket, r.item) for r in sales.collect()}
+    if not nulls:  # lines, tickets and stored keys; not the joined rows once more
+        assert plans[0].count("Exchange hashpartitioning") == 3
+
+
 def test_registered_layer(spark, tmp_path):
     root = str(tmp_path)
     pipeline.build_silver(spark, lake(spark, SALES), root)

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from tests.conftest import plan_of
 from tidewell.operators.dedup import one_row_per_key
 from tidewell.plans import silver
 
@@ -86,3 +87,13 @@ def test_survivor_of_a_key_does_not_depend_on_row_order(spark):
 def test_generic_tables_lose_repeated_rows_only(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "k int, x string")
     assert silver.build("item", {"bronze_item": rows}).count() == 2
+
+
+def test_sales_do_not_travel_to_the_calendar(spark, setting):
+    """Whatever the calendar's size is thought to be, sales are not dealt out by day to meet it."""
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    bronze = sales(spark, (20000101, 1, 1, 1, "2.00"), (20000104, 1, 2, 1, "3.00"))
+    for build in (silver.store_sales, silver.store_sales_repeated, silver.store_sales_keyed):
+        dated = build(bronze, calendar(spark))
+        assert "hashpartitioning(ss_sold_date_sk" not in plan_of(dated)
+        assert sorted((r.ss_ticket_number, r.month) for r in dated.collect()) == [(1, 1), (2, None)]

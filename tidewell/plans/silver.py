@@ -18,11 +18,13 @@ def _with_month(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Add year and month of the sold date, looked up in the date dimension (``d_date_sk, d_year, d_moy``).
 
     The key is a plain key: it need not be readable as a date. A key the calendar lacks gives NULLs. Both parts go as
-    one number, which is aggregated by hash and not by sorting.
+    one number, which is aggregated by hash and not by sorting. A calendar has a row a day at any number of sales, so it
+    is broadcast by a hint: left to its measured size, which is known only after its own shuffles, large sales were
+    dealt out by day in the meantime, and then by ticket again.
     """
     months = calendar.filter(F.col("d_date_sk").isNotNull()).groupBy(F.col("d_date_sk").alias("_day")).agg(
         F.max(F.col("d_year") * 100 + F.col("d_moy")).alias("_month"))
-    return sales.join(months, F.col("ss_sold_date_sk") == F.col("_day"), "left").select(
+    return sales.join(F.broadcast(months), F.col("ss_sold_date_sk") == F.col("_day"), "left").select(
         *sales.columns, F.expr("CAST(_month div 100 AS INT)").alias("year"), (F.col("_month") % 100).alias("month"))
 
 

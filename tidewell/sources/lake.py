@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.dedup import one_row_per_key
-from tidewell.session import fresh_folder
+from tidewell.session import JOIN_ON_ALL_KEYS, fresh_folder, setting
 
 
 def stamped(df: DataFrame, **lineage: str) -> DataFrame:
@@ -57,21 +57,35 @@ def _near(stored: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame
     return stored
 
 
+def _not_stored(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``stored`` lacks; a NULL in a key equals a NULL.
+
+    Whole keys are compared by plain equality, which can use rows where they lie, if they lie by some of the keys; a
+    null-safe one brings all rows together anew. It is only asked of stored keys with a NULL, if there are any.
+    """
+    taken = stored.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    whole = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in taken.columns])
+    equal = reduce(lambda a, b: a & b, [F.col(key) == F.col(f"_{key}") for key in keys])
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    fresh, partial = df.join(taken.filter(whole), equal, "left_anti"), taken.filter(~whole)
+    return fresh if partial.isEmpty() else fresh.join(partial, same, "left_anti")
+
+
 def append_new(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), **lineage) -> None:
     """Append the rows whose key is not stored yet; running it twice adds nothing, and a first load starts the table.
 
     Directory columns that belong to the key narrow the search to the span of
-    directories that ``df`` falls in.
+    directories that ``df`` falls in. Rows that a join or grouping has dealt out
+    by some of the keys stay there, and the stored keys are dealt out to them.
     """
     if not path_exists(df.sparkSession, path):
         write_table(one_row_per_key(df, keys), path, partition_by, **lineage)
         return
     stored = df.sparkSession.read.parquet(path)
     nearby = _near(stored, df, [name for name in partition_by if name in keys])
-    taken = nearby.select(*[F.col(key).alias(f"_{key}") for key in keys])
-    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    fresh = one_row_per_key(df, keys).join(taken, same, "left_anti")
-    write_table(fresh, path, partition_by, mode="append", **lineage)
+    fresh = _not_stored(one_row_per_key(df, keys), nearby, keys)
+    with setting(df.sparkSession, JOIN_ON_ALL_KEYS, "false"):
+        write_table(fresh, path, partition_by, mode="append", **lineage)
 
 
 class SchemaConflict(ValueError):
