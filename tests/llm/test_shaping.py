@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import defaultdict
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,35 @@ def test_ids_are_those_of_the_library(spark):
     assert pieces.encode_documents(frame(spark, []), vocabulary).count() == 0
 
 
+def greedy_merges(unit, scores):
+    """The starts of the pieces: always the best merge of two neighbours there is, leftmost among equals."""
+    parts = list(unit)
+    while known := [(-scores[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in scores]:
+        place = min(known)[1]
+        parts[place:place + 2] = [parts[place] + parts[place + 1]]
+    return [sum(map(len, parts[:i])) for i in range(len(parts))]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_merges_in_and_out_of_the_order_of_scores(spark, seed):
+    random = Random(seed)
+    table = {}
+    while len(table) < 14:  # each piece from two that are there; odd seeds score them in that order
+        parts = [random.choice([*"abc", *table]) for _ in range(2)]
+        if len("".join(parts)) <= 6:
+            table.setdefault("".join(parts), -len(table) // 2 if seed % 2 else random.randrange(5))
+    vocabulary = pieces.Vocabulary([(p, i, float(s)) for i, (p, s) in enumerate(table.items())], [], 99, "bpe")
+    units = sorted({"".join(random.choices("abc", k=random.randint(1, 12))) for _ in range(400)})
+    rows = spark.createDataFrame([(0, unit) for unit in units], "part int, unit string")
+    found = {r.unit: [i for i in range(len(r.unit)) if r.bounds >> i & 1]
+             for r in pieces.cut_units(rows, vocabulary).collect()}
+    assert found == {unit: greedy_merges(unit, table) for unit in units}
+
+
+def test_one_pass_serves_all_but_runs_of_spaces():
+    assert set(pieces._late_pieces(pieces.load_vocabulary(VOCABULARY))) == {"   "}
+
+
 def best_path(text, vocabulary):
     """Every segmentation of a short text: the score of the best, unknown characters at a penalty."""
     scores = {piece: score for piece, _, score in vocabulary.pieces}

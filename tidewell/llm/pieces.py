@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -211,7 +212,9 @@ def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         [(piece, score, ranks[score] << 43) for piece, score in longer], "piece string, score double, rank long")
     # Joined by hash, which is compared faster than text, and then by the text itself.
     table = table.withColumn("hash", F.xxhash64("piece"))
-    starts = units.withColumn("size", F.length("unit")).withColumn(
+    # Grouped by a number first: the sort of the many groups compares numbers, in nearly the right order, and no text.
+    numbered = units.withColumns({"number": F.monotonically_increasing_id(), "size": F.length("unit")})
+    starts = numbered.withColumn(
         "start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
     # Only spans as long as some piece that begins with the same three characters are cut out, beside those of two.
     heads: dict[str, set[int]] = {}
@@ -236,9 +239,9 @@ def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         edge = F.col("rank") + F.col("start").cast("long") * 128 + (F.col("stop") - F.col("start"))
     else:
         edge = F.struct("score", "start", "stop")
-    grouped = useful.groupBy("part", "unit").agg(
+    grouped = useful.groupBy("number", "part", "unit").agg(
         F.sort_array(F.collect_list(F.when(F.col("rank").isNotNull(), edge))).alias("edges"))
-    return grouped.withColumn("size", F.length("unit"))
+    return grouped.select("part", "unit", "edges", F.length("unit").alias("size"))
 
 
 def _bit(place: Column) -> Column:
@@ -251,21 +254,51 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _merged(size: Column, edges: Column) -> Column:
-    """Boundaries left by BPE, as bits: each step makes the first merge of two neighbours there is."""
+def _late_pieces(vocabulary: Vocabulary) -> list[str]:
+    """Pieces that are put together, last, from a part that does not come before them by score; of these the shortest.
+
+    Between two boundaries merges go as they do in that text alone, whatever stands around it, so each piece has one
+    pair of parts it can be made from. Without late pieces in a unit its merges come in the order of their scores.
+    """
+    scores = {piece: score for piece, _, score in vocabulary.pieces if len(piece) > 1}
+    late: list[str] = []
+    for piece, score in scores.items():
+        parts = list(piece)
+        while len(parts) > 2:
+            known = [(-scores[pair], place) for place, pair in enumerate(map("".join, zip(parts, parts[1:])))
+                     if pair in scores]
+            if not known:
+                break
+            place = min(known)[1]
+            parts[place:place + 2] = [parts[place] + parts[place + 1]]
+        if len(parts) == 2 and any(part in scores and scores[part] <= score for part in parts):
+            late.append(piece)
+    return [piece for piece in late if not any(other in piece for other in late if other != piece)]
+
+
+def _merged(size: Column, edges: Column, late: Column) -> Column:
+    """Boundaries left by BPE, as bits: each step makes the first merge of two neighbours there is.
+
+    Where no merge can be first that was passed over before (not ``late``), that is one pass over the sorted edges.
+    """
     def masks(edge: Column) -> Column:
         start = F.shiftright(edge, 7).bitwiseAND(F.lit((1 << 36) - 1)).cast("int")
         stop = start + edge.bitwiseAND(F.lit(127)).cast("int")
         return F.struct((_bit(start) + _bit(stop)).alias("ends"), (_bit(stop) - _bit(start + 1)).alias("inside"))
 
+    def meets(bounds: Column, e: Column) -> Column:
+        return (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(bounds.bitwiseAND(e["inside"])) == 1)
+
     def fold(masked: Column) -> Column:
         def step(bounds: Column, _) -> Column:
-            first = F.get(F.filter(masked, lambda e: (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (
-                F.bit_count(bounds.bitwiseAND(e["inside"])) == 1)), F.lit(0))
+            first = F.get(F.filter(masked, lambda e: meets(bounds, e)), F.lit(0))
             return F.coalesce(bounds.bitwiseAND(F.bitwise_not(first["inside"])), bounds)
 
         steps = F.slice(F.sequence(F.lit(0), size), F.lit(1), F.least(F.size(masked), size - 1))
-        return F.aggregate(steps, _bit(size + 1) - 1, step)
+        single = _bit(size + 1) - 1
+        return F.when(late, F.aggregate(steps, single, step)).otherwise(F.aggregate(
+            masked, single, lambda bounds, e: F.when(
+                meets(bounds, e), bounds.bitwiseAND(F.bitwise_not(e["inside"]))).otherwise(bounds)))
     return _let(F.transform(edges, masks), fold)
 
 
@@ -344,8 +377,11 @@ def cut_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     lattice = _edge_rows(units, vocabulary)
     size, edges, long = F.least(F.col("size"), F.lit(SHORT)), F.col("edges"), F.col("size") > SHORT
     singles = {piece: score for piece, _, score in vocabulary.pieces if len(piece) == 1}
-    bounds = _merged(size, edges) if vocabulary.kind == "bpe" else _best_path(
-        size, edges, singles, _floor(vocabulary))
+    if vocabulary.kind == "bpe":
+        late = reduce(lambda a, b: a | b, [F.contains("unit", F.lit(p)) for p in _late_pieces(vocabulary)], F.lit(False))
+        bounds = _merged(size, edges, late)
+    else:
+        bounds = _best_path(size, edges, singles, _floor(vocabulary))
     return lattice.select("part", "unit", F.when(~long, bounds).alias("bounds"), F.when(long, edges).alias("edges"))
 
 
@@ -403,7 +439,9 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     """flat[start:start + size] of each, one after the other."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.arange(total) - np.repeat(ends - sizes, sizes) + np.repeat(starts, sizes)]
+    index = np.repeat(starts - (ends - sizes), sizes)
+    index += np.arange(total)
+    return flat[index]
 
 
 def _decoded(ids: pa.ListArray, table: pa.Array) -> pa.Array:
@@ -428,14 +466,15 @@ def _assembled(table):
         known = None if table is None else pa.array(table.value, pa.binary())
         for batch in batches:
             kind = batch.schema.field("kept").type.value_type
-            for row in batch.to_pylist():
+            for place in range(batch.num_rows):  # a row is a slice, of some megabytes
+                row = batch.slice(place, 1).to_pylist()[0]
                 lengths, numbers, places = (
                     unpack(row[name]).astype(np.int64) for name in ("lengths", "numbers", "places"))
                 answers = row["answers"] or []
                 sizes = np.concatenate([unpack(part["sizes"]) for part in answers] or [np.zeros(0)]).astype(np.int64)
                 if len(sizes) != len(places):
                     raise RuntimeError("the documents changed between two readings; store them first")
-                flat = np.concatenate([unpack(part["ids"]) for part in answers] or [np.zeros(0)]).astype(np.int32)
+                flat = np.concatenate([unpack(part["ids"]).astype(np.int32) for part in answers] or [np.zeros(0, np.int32)])
                 starts = (np.cumsum(sizes) - sizes)[places]
                 per_unit = sizes[places][numbers]
                 bounds = np.concatenate(([0], np.cumsum(per_unit)))[np.concatenate(([0], np.cumsum(lengths)))]
@@ -444,6 +483,7 @@ def _assembled(table):
                 yield pa.RecordBatch.from_arrays(
                     [kept, ids] if known is None else [kept, ids, _decoded(ids, known)],
                     ["kept", "ids"] if known is None else ["kept", "ids", "decoded"])
+                pa.default_memory_pool().release_unused()
     return run
 
 
