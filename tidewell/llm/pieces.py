@@ -96,6 +96,10 @@ class Splitter:
     def parts(self, units: pa.LargeBinaryArray, parts: int) -> np.ndarray:
         """Where each unit is dealt to: by a polynomial over its bytes without spaces and signs, so that units around
         the same word, and the word itself, meet."""
+        blocks = range(0, len(units), 1 << 15)  # some numbers per byte are held
+        return np.concatenate([self._parts(units.slice(start, 1 << 15), parts) for start in blocks])
+
+    def _parts(self, units: pa.LargeBinaryArray, parts: int) -> np.ndarray:
         offsets = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
         raw = np.frombuffer(units.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         inside, starts = ~self._outer[raw], offsets[:-1] - offsets[0]
@@ -378,8 +382,8 @@ def cut_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     size, edges, long = F.least(F.col("size"), F.lit(SHORT)), F.col("edges"), F.col("size") > SHORT
     singles = {piece: score for piece, _, score in vocabulary.pieces if len(piece) == 1}
     if vocabulary.kind == "bpe":
-        late = reduce(lambda a, b: a | b, [F.contains("unit", F.lit(p)) for p in _late_pieces(vocabulary)], F.lit(False))
-        bounds = _merged(size, edges, late)
+        late = [F.contains("unit", F.lit(piece)) for piece in _late_pieces(vocabulary)]
+        bounds = _merged(size, edges, reduce(lambda a, b: a | b, late, F.lit(False)))
     else:
         bounds = _best_path(size, edges, singles, _floor(vocabulary))
     return lattice.select("part", "unit", F.when(~long, bounds).alias("bounds"), F.when(long, edges).alias("edges"))
@@ -474,7 +478,8 @@ def _assembled(table):
                 sizes = np.concatenate([unpack(part["sizes"]) for part in answers] or [np.zeros(0)]).astype(np.int64)
                 if len(sizes) != len(places):
                     raise RuntimeError("the documents changed between two readings; store them first")
-                flat = np.concatenate([unpack(part["ids"]).astype(np.int32) for part in answers] or [np.zeros(0, np.int32)])
+                flat = np.concatenate(
+                    [unpack(part["ids"]).astype(np.int32) for part in answers] or [np.zeros(0, np.int32)])
                 starts = (np.cumsum(sizes) - sizes)[places]
                 per_unit = sizes[places][numbers]
                 bounds = np.concatenate(([0], np.cumsum(per_unit)))[np.concatenate(([0], np.cumsum(lengths)))]
