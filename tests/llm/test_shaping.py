@@ -153,6 +153,26 @@ def test_ids_are_those_of_the_library(spark):
     assert pieces.encode_documents(frame(spark, []), vocabulary).count() == 0
 
 
+def test_units_end_where_no_piece_stands_across(spark):
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    vocabulary = pieces.load_vocabulary(VOCABULARY)
+    splitter = pieces.Splitter(vocabulary)
+    text = "word, word. (word) naïve café—“x”漢字 éé́ß 12,000.50 www.x.com/don't WORD;word 3word\x01  a\t b"
+    lengths, units = splitter.cut([text.encode(), b"", "漢字".encode()])
+    found = [unit.decode() for unit in units.to_pylist()]
+    assert lengths.sum() == len(found) and "".join(found) == f" {text} 漢字"
+    assert {" word", ",", "."} <= set(found) and not {" word,", " word."} & set(found)
+    inside = {pair for piece, _, _ in vocabulary.pieces for pair in zip(piece, piece[1:])}
+    assert not any((one[-1], other[0]) in inside for one, other in zip(found[:lengths[0]], found[1:lengths[0]]))
+    # One character less than what fits the bits, as many, and one more, the space in front included.
+    edge = [letters[:size] for size in (60, 61, 62) for letters in ("a" * 70, "the" * 30, " " * size + "q")]
+    texts = dict(enumerate([text, text[::-1], *edge]))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.ids for r in pieces.encode_documents(docs, vocabulary).collect()} == {
+        number: library.encode(text) for number, text in texts.items()}
+
+
 def greedy_merges(unit, scores):
     """The starts of the pieces: always the best merge of two neighbours there is, leftmost among equals."""
     parts = list(unit)

@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is a row of units: spaces (the dummy one in front included) and what follows them, cut also around characters
-that no longer piece holds, so no piece crosses a unit. Substrings of the distinct units, up to the longest piece,
-are exploded and equi-joined with the piece table (a vocabulary of fixed size, so it is broadcast); the edges found
-are grouped by unit and folded to boundaries with a higher-order aggregate: for a unigram model by Viterbi, the best total score.
+A text is a row of units, cut wherever two neighbouring characters stand side by side in no piece, so no piece crosses a
+unit: a word and the comma behind it are two. Substrings of the distinct units, up to the longest piece, are exploded
+and equi-joined with the piece table (a vocabulary of fixed size, so it is broadcast); the edges found are grouped by
+unit and folded to boundaries with a higher-order aggregate: for a unigram model by Viterbi, the best total score.
 The ids of a BPE model are not those of the best path: its encoder merges neighbours, best score first and leftmost
 among equals. For such a model the fold makes exactly these merges over the same edges. Characters outside the
 vocabulary become their bytes' pieces.
@@ -72,63 +72,59 @@ def load_vocabulary(path: str, kind: str = "bpe") -> Vocabulary:
 
 
 class Splitter:
-    """Cuts texts into units: a character alone that no longer piece has, spaces with what follows, spaces at an end."""
+    """Cuts texts into units, wherever two neighbouring characters stand side by side in no piece."""
 
     def __init__(self, vocabulary: Vocabulary):
-        inside = {character for piece, _, _ in vocabulary.pieces if len(piece) > 1 for character in piece}
-        alone = "".join(chr(code) for code in range(32) if chr(code) not in inside).encode()
-        self._alone = np.zeros(256, bool)
-        self._alone[np.frombuffer(alone, np.uint8)] = True
-        # Printable ASCII signs and digits that no piece has beside another kind of character: where they meet those,
-        # a unit falls into sub-units, again without a piece across.
-        signs = {chr(code) for code in range(33, 127) if not chr(code).isalpha()}
-        while mixed := {one for piece, _, _ in vocabulary.pieces for a, b in zip(piece, piece[1:])
-                        for one, other in ((a, b), (b, a)) if one in signs and other not in signs and other != " "}:
-            signs -= mixed
-        kinds = re.escape("".join(sorted(signs)))
-        self._inner = re.compile(f" *[{kinds}]+| *[^ {kinds}]+| +") if signs else None
-        self._outer = np.zeros(256, bool)
-        self._outer[np.frombuffer((" " + "".join(sorted(signs))).encode(), np.uint8)] = True
-
-    def inner(self, unit: str) -> list[str]:
-        return self._inner.findall(unit) if self._inner else [unit]
+        # By the last byte of a character and the first of the next, so some pairs too many are kept together.
+        joined = np.zeros((256, 256), bool)
+        for piece, _, _ in vocabulary.pieces:
+            for one, other in zip(piece, piece[1:]):
+                joined[one.encode()[-1], other.encode()[0]] = True
+        joined[:, 0x80:0xC0] = True  # within a character
+        self._apart = ~joined.ravel()
 
     def parts(self, units: pa.LargeBinaryArray, parts: int) -> np.ndarray:
-        """Where each unit is dealt to: by a polynomial over its bytes without spaces and signs, so that units around
-        the same word, and the word itself, meet."""
+        """Where each unit is dealt to: by a polynomial over its bytes."""
         blocks = range(0, len(units), 1 << 15)  # some numbers per byte are held
         return np.concatenate([self._parts(units.slice(start, 1 << 15), parts) for start in blocks])
 
     def _parts(self, units: pa.LargeBinaryArray, parts: int) -> np.ndarray:
-        offsets = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
-        raw = np.frombuffer(units.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-        inside, starts = ~self._outer[raw], offsets[:-1] - offsets[0]
-        nth = np.cumsum(inside)
-        nth -= np.repeat(nth[starts] - inside[starts], np.diff(offsets))
-        terms = np.where(inside, (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[nth & 63], np.uint64(0))
-        sums = np.add.reduceat(terms, starts)
+        offsets, raw = _buffers(units)
+        starts = offsets[:-1] - offsets[0]
+        nth = np.arange(len(raw)) - np.repeat(starts, np.diff(offsets))
+        sums = np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[nth & 63], starts)
         sums ^= sums >> np.uint64(32)
         return ((sums * _POWERS[1]) >> np.uint64(33)).astype(np.int64) % parts
 
     def cut(self, content: list[bytes]) -> tuple[np.ndarray, pa.Array]:
-        """Number of units of each text, and all units. A unit starts where a text does, at the first of several
-        spaces, at a character alone and behind one."""
+        """Number of units of each text, and all units."""
         marked = [b" " + text.replace(MARK.encode(), b" ") if text else b"" for text in content]
         data = b"".join(marked)
         sizes = np.fromiter(map(len, marked), np.int64, len(marked))
         raw = np.frombuffer(data, np.uint8)
-        space, alone = raw == 32, self._alone[raw]
-        first = space | alone
-        first[1:] &= ~space[:-1] | alone[1:]
-        first[1:] |= alone[:-1]
+        first = np.ones(len(raw), bool)
+        for start in range(1, len(raw), 1 << 18):  # an index of eight bytes is held per byte
+            stop = min(start + (1 << 18), len(raw))
+            first[start:stop] = self._apart[raw[start - 1:stop - 1].astype(np.int64) << 8 | raw[start:stop]]
         text_starts = (np.cumsum(sizes) - sizes)[sizes > 0]
         first[text_starts] = True
         starts = np.flatnonzero(first)
         lengths = np.zeros(len(content), np.int64)
         lengths[sizes > 0] = np.diff(np.searchsorted(starts, np.append(text_starts, len(raw))))
-        offsets = np.append(starts, len(raw)).astype(np.int64)
-        units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-        return lengths, units
+        return lengths, _strings(np.append(starts, len(raw)), data)
+
+
+def _strings(offsets: np.ndarray, data: bytes) -> pa.LargeBinaryArray:
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+
+
+def _buffers(strings: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each string starts and the last one ends, and the bytes from the first start to that end."""
+    if not len(strings):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset:strings.offset + len(strings) + 1]
+    return offsets, np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
 
 
 def _distinct(batch: pa.RecordBatch, splitter: Splitter, parts: int):
@@ -148,12 +144,16 @@ def _pack_units(offsets: np.ndarray, data: memoryview, low: int, high: int) -> b
         blob, codec="zstd", asbytes=True)
 
 
-def _unpack_units(data: bytes) -> list[bytes]:
-    size = 8 + int.from_bytes(data[:8], "little")
-    ends = np.cumsum(unpack(data[8:size]).astype(np.int64))
-    blob = pa.decompress(data[size + 8:], decompressed_size=int.from_bytes(data[size:size + 8], "little"),
-                         codec="zstd", asbytes=True)
-    return [blob[start:end] for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
+def _unpack_units(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """The number of units in each row, and all units."""
+    lengths, blobs = [], []
+    for data in column.to_pylist():
+        size = 8 + int.from_bytes(data[:8], "little")
+        lengths.append(unpack(data[8:size]).astype(np.int64))
+        blobs.append(pa.decompress(data[size + 8:], decompressed_size=int.from_bytes(data[size:size + 8], "little"),
+                                   codec="zstd", asbytes=True))
+    return np.array([len(some) for some in lengths]), _strings(
+        np.concatenate(([0], np.cumsum(np.concatenate(lengths)))), b"".join(blobs))
 
 
 def _asked(splitter: Splitter, parts: int):
@@ -192,14 +192,12 @@ def _numbered(splitter: Splitter, parts: int):
     return run
 
 
-def _distinct_units(splitter: Splitter):
-    def run(table: pa.Table) -> pa.Table:
-        """The distinct sub-units of all units asked about in a partition."""
-        units = set().union(*[_unpack_units(data) for data in table.column("units").to_pylist()])
-        found = sorted({inner for unit in units for inner in splitter.inner(unit.decode())})
-        part = table.column("part")[0].as_py()
-        return pa.table({"part": pa.array([part] * len(found), pa.int32()), "unit": pa.array(found, pa.string())})
-    return run
+def _distinct_units(table: pa.Table) -> pa.Table:
+    """The distinct units of all that are asked about in a partition."""
+    _, asked = _unpack_units(table.column("units"))
+    units = asked.unique()
+    units = units.take(pc.sort_indices(units)).cast(pa.large_string()).cast(pa.string())
+    return pa.table({"part": pa.repeat(table.column("part")[0], len(units)), "unit": units})
 
 
 def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -214,30 +212,32 @@ def _edge_rows(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         raise ValueError("pieces are too long or too many")
     table = units.sparkSession.createDataFrame(
         [(piece, score, ranks[score] << 43) for piece, score in longer], "piece string, score double, rank long")
-    # Joined by hash, which is compared faster than text, and then by the text itself.
+    # Joined by hash alone, as a key of one number is looked up faster, and compared by the text itself behind that.
     table = table.withColumn("hash", F.xxhash64("piece"))
     # Grouped by a number first: the sort of the many groups compares numbers, in nearly the right order, and no text.
     numbered = units.withColumns({"number": F.monotonically_increasing_id(), "size": F.length("unit")})
     starts = numbered.withColumn(
         "start", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
-    # Only spans as long as some piece that begins with the same three characters are cut out, beside those of two.
+    # Of four characters and more only spans as long as some piece that begins with the same four are cut out. A wrong
+    # meeting of hashes brings spans that are no piece.
     heads: dict[str, set[int]] = {}
     for piece, _ in longer:
-        if len(piece) > 2:
-            heads.setdefault(piece[:3], set()).add(len(piece))
+        if len(piece) > 3:
+            heads.setdefault(piece[:4], set()).add(len(piece))
     lengths = units.sparkSession.createDataFrame(
-        [(head, sorted(found)) for head, found in heads.items()], "head string, lengths array<int>")
-    met = starts.withColumn("at", F.expr("substring(unit, start + 1, 3)")).join(
+        [(head, sorted(found)) for head, found in heads.items()], "head string, lengths array<int>").select(
+        F.xxhash64("head").alias("head"), "lengths")
+    met = starts.withColumn("at", F.xxhash64(F.expr("substring(unit, start + 1, 4)"))).join(
         F.broadcast(lengths), F.col("at") == F.col("head"), "left")
     # The last start has no longer piece; its one span keeps the unit in the result.
     least = F.least(F.lit(2), F.col("size") - F.col("start"))
-    spans = met.withColumn("length", F.explode(F.concat(F.array(least), F.coalesce(
+    spans = met.withColumn("length", F.explode(F.concat(F.array(least, F.lit(3)), F.coalesce(
         "lengths", F.array().cast("array<int>"))))).withColumn("stop", F.col("start") + F.col("length")).filter(
         F.col("stop") <= F.col("size"))
     cut = spans.withColumn("cut", F.expr("substring(unit, start + 1, stop - start)")).withColumn(
         "cut_hash", F.xxhash64("cut"))
-    joined = cut.join(
-        F.broadcast(table), (F.col("cut_hash") == F.col("hash")) & (F.col("cut") == F.col("piece")), "left")
+    joined = cut.join(F.broadcast(table), F.col("cut_hash") == F.col("hash"), "left").withColumn(
+        "rank", F.when(F.col("cut") == F.col("piece"), F.col("rank")))
     useful = joined.filter(F.col("rank").isNotNull() | (F.col("start") == F.col("size") - 1))
     if vocabulary.kind == "bpe":
         edge = F.col("rank") + F.col("start").cast("long") * 128 + (F.col("stop") - F.col("start"))
@@ -285,25 +285,30 @@ def _merged(size: Column, edges: Column, late: Column) -> Column:
 
     Where no merge can be first that was passed over before (not ``late``), that is one pass over the sorted edges.
     """
-    def masks(edge: Column) -> Column:
-        start = F.shiftright(edge, 7).bitwiseAND(F.lit((1 << 36) - 1)).cast("int")
-        stop = start + edge.bitwiseAND(F.lit(127)).cast("int")
-        return F.struct((_bit(start) + _bit(stop)).alias("ends"), (_bit(stop) - _bit(start + 1)).alias("inside"))
+    one = F.lit(1).cast("long")
+
+    # An edge as the bits of its start and its stop; what lies inside follows from these.
+    def ends(edge: Column) -> Column:
+        length, start = edge.bitwiseAND(F.lit(127)), F.shiftright(edge, 7).bitwiseAND(F.lit(63))
+        return F.call_function("shiftleft", _bit(length.cast("int")) + one, start.cast("int"))
+
+    def inside(e: Column) -> Column:
+        return e - e.bitwiseAND(-e) * 3
 
     def meets(bounds: Column, e: Column) -> Column:
-        return (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(bounds.bitwiseAND(e["inside"])) == 1)
+        return (bounds.bitwiseAND(e) == e) & (F.bit_count(bounds.bitwiseAND(inside(e))) == 1)
 
     def fold(masked: Column) -> Column:
         def step(bounds: Column, _) -> Column:
             first = F.get(F.filter(masked, lambda e: meets(bounds, e)), F.lit(0))
-            return F.coalesce(bounds.bitwiseAND(F.bitwise_not(first["inside"])), bounds)
+            return F.coalesce(bounds.bitwiseAND(F.bitwise_not(inside(first))), bounds)
 
         steps = F.slice(F.sequence(F.lit(0), size), F.lit(1), F.least(F.size(masked), size - 1))
-        single = _bit(size + 1) - 1
+        single = _bit(size) - 1 + _bit(size)
         return F.when(late, F.aggregate(steps, single, step)).otherwise(F.aggregate(
             masked, single, lambda bounds, e: F.when(
-                meets(bounds, e), bounds.bitwiseAND(F.bitwise_not(e["inside"]))).otherwise(bounds)))
-    return _let(F.transform(edges, masks), fold)
+                meets(bounds, e), bounds.bitwiseAND(F.bitwise_not(inside(e)))).otherwise(bounds)))
+    return _let(F.transform(edges, ends), fold)
 
 
 def _best_path(size: Column, edges: Column, singles: dict[str, float], floor: float) -> Column:
@@ -389,49 +394,59 @@ def cut_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return lattice.select("part", "unit", F.when(~long, bounds).alias("bounds"), F.when(long, edges).alias("edges"))
 
 
-def _answered(vocabulary: Vocabulary, splitter: Splitter):
-    number_of = {piece: number for piece, number, _ in vocabulary.pieces}
+def _characters(raw: np.ndarray) -> np.ndarray:
+    """Where the characters start and the last one ends."""
+    return np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))
+
+
+def _answered(vocabulary: Vocabulary):
     singles = {piece: score for piece, _, score in vocabulary.pieces if len(piece) == 1}
-    byte_ids, unknown = vocabulary.byte_ids, vocabulary.unknown
-
-    def ids_of(unit: str, bounds: int | None, edges: list | None) -> list[int]:
-        if bounds is None:
-            starts = [*_long_starts(unit, edges, vocabulary, singles), len(unit)]
-        else:
-            starts = []
-            while bounds:
-                starts.append((bounds & -bounds).bit_length() - 1)
-                bounds &= bounds - 1
-        ids = []
-        for start, stop in zip(starts, starts[1:]):
-            number = number_of.get(unit[start:stop])
-            if number is not None:
-                ids.append(number)
-            elif byte_ids:
-                ids.extend([byte_ids[byte] for byte in unit[start].encode()])
-            else:
-                ids.append(unknown)
-        return ids
+    known = pa.array([piece.encode() for piece, _, _ in vocabulary.pieces], pa.large_binary())
+    numbers = np.array([number for _, number, _ in vocabulary.pieces], np.int32)
+    byte_ids = np.array(vocabulary.byte_ids, np.int32)
+
+    def ids_of(cut: dict[str, pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units of a partition one after the other, and where those of each unit end."""
+        offsets, raw = _buffers(cut["unit"])
+        offsets = offsets - offsets[0]
+        characters = _characters(raw)
+        base = np.searchsorted(characters, offsets[:-1])
+        bounds = cut["bounds"].fill_null(0).to_numpy().astype(np.int64)
+        bits = np.unpackbits(bounds.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        owner, place = np.nonzero(bits)
+        starts = [characters[base[owner] + place]]
+        for row in np.flatnonzero(cut["edges"].is_valid().to_numpy(zero_copy_only=False)).tolist():
+            unit, edges = cut["unit"][row].as_py().decode(), cut["edges"][row].as_py()
+            starts.append(characters[base[row] + np.array(_long_starts(unit, edges, vocabulary, singles))])
+        # What a unit ends with is where the next one starts.
+        starts = np.unique(np.concatenate([*starts, offsets]))
+        pieces = _strings(starts, raw.tobytes())
+        found = pc.index_in(pieces, value_set=known)
+        missing = found.is_null().to_numpy(zero_copy_only=False)
+        ids, sizes = numbers[found.fill_null(0).to_numpy()], np.ones(len(pieces), np.int64)
+        if not len(byte_ids):
+            ids[missing] = vocabulary.unknown
+        elif missing.any():
+            sizes[missing] = np.diff(starts)[missing]
+            ids = np.repeat(ids, sizes)
+            ids[np.repeat(missing, sizes)] = byte_ids[raw[np.repeat(missing, np.diff(starts))]]
+        return ids, np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(starts, offsets)]
 
     def run(asked: pa.Table, cut: pa.Table) -> pa.Table:
         """The ids of each slice's units of a partition, in the order asked."""
-        inner = {unit: ids_of(unit, bounds, edges) for unit, bounds, edges in zip(
-            *[cut.column(name).to_pylist() for name in ("unit", "bounds", "edges")])}
-        place, ends, flat = {}, [0], []
+        cut = cut.set_column(
+            cut.schema.get_field_index("unit"), "unit", cut.column("unit").cast(pa.large_binary())).combine_chunks()
+        cut = {name: cut.column(name).chunk(0) for name in ("unit", "bounds", "edges")}
+        flat, ends = ids_of(cut)
+        lengths, units = _unpack_units(asked.column("units"))
+        wanted = pc.index_in(units, value_set=cut["unit"]).to_numpy()
         rows = []
-        for number, part, data in zip(*[asked.column(name).to_pylist() for name in ("slice", "part", "units")]):
-            units = _unpack_units(data)
-            for unit in units:
-                if unit not in place:
-                    place[unit] = len(place)
-                    for found in splitter.inner(unit.decode()):
-                        flat.extend(inner[found])
-                    ends.append(len(flat))
-            rows.append((number, part, np.array([place[unit] for unit in units], np.int64)))
-        ends, flat = np.array(ends), np.array(flat, np.int32)
-        rows = [{"slice": number, "part": part, "sizes": pack(np.diff(ends)[wanted]),
-                 "ids": pack(_gather(flat, ends[:-1][wanted], np.diff(ends)[wanted]))}
-                for number, part, wanted in rows]
+        for number, part, low, high in zip(*[asked.column(name).to_pylist() for name in ("slice", "part")],
+                                           (np.cumsum(lengths) - lengths).tolist(), np.cumsum(lengths).tolist()):
+            some = wanted[low:high]
+            sizes = np.diff(ends)[some]
+            rows.append({"slice": number, "part": part, "sizes": pack(sizes),
+                         "ids": pack(_gather(flat, ends[:-1][some], sizes))})
         return pa.Table.from_pylist(rows, _ANSWER)
     return run
 
@@ -521,10 +536,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: str = "doc_i
     asked = rows.select("row", "text").mapInArrow(
         _asked(splitter, parts), "part int, slice long, units binary").repartition(partitions, "part")
     units = asked.groupBy("part").applyInArrow(
-        _distinct_units(splitter), "part int, unit string").repartition(partitions, "part")
+        _distinct_units, "part int, unit string").repartition(partitions, "part")
     cut = cut_units(units, vocabulary).withColumnRenamed("part", "cut_part")
     answered = asked.groupBy("part").cogroup(cut.groupBy("cut_part")).applyInArrow(
-        _answered(vocabulary, splitter), "slice long, part int, sizes binary, ids binary")
+        _answered(vocabulary), "slice long, part int, sizes binary, ids binary")
     answers = answered.groupBy("slice").agg(
         F.sort_array(F.collect_list(F.struct("part", "sizes", "ids"))).alias("answers"))
     kind = docs.schema[keep].dataType.simpleString()
