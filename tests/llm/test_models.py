@@ -294,6 +294,29 @@ def test_quality_without_labels_or_documents(spark):
     assert quality.quality_verdicts(frame(spark, []), none).count() == 0
 
 
+def test_quality_learns_from_every_trusted_document(spark, setting):
+    """Documents of which each tells a word that only it has; all trusted ones that are not held out count."""
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("tide berth").alias("text"))
+    # The documents whose hash comes last were left out when at most 20,000 were drawn by it.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    last = docs.filter(~quality.held_out(F.col("doc_id"))).orderBy(place.desc()).first().doc_id
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    text = F.when(F.col("doc_id") == last, "lantern").when(F.col("doc_id") == -1, "anchor").otherwise(F.col("text"))
+    more = docs.union(spark.createDataFrame([(-1, "")], docs.schema)).withColumn("text", text)
+    scores = {r.doc_id: r.score for r in quality.quality_verdicts(more, labels, [quality.MODELS[0]], least_words=1).filter(
+        F.col("doc_id").isin(last, -1)).collect()}
+    assert scores[last] > 0 > scores[-1]
+
+
+def test_quality_limit_is_the_quantile_of_all_held_out(spark):
+    values = [((i * 7919) % 1013) / 101 for i in range(1013)] + [0.5] * 30
+    scores = spark.createDataFrame([(v, v / 3) for v in values], "score double, score_2 double")
+    want = list(scores.agg(*[F.percentile(name, F.lit(quality.QUANTILE)) for name in scores.columns]).first())
+    got = [quality.low_quantile(scores, name, len(values)) for name in scores.columns]
+    assert got == want and quality.fitted_limits(scores.limit(0)) == [None, None]
+
+
 def test_quality_judges_the_order_of_words(spark):
     """Passages of a few phrases are trusted; the same words in any order have equal words and other pairs."""
     rng = random.Random(5)
