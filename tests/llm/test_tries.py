@@ -10,6 +10,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from tests.conftest import plan_of
 from tests.llm.data import frame, multiset, rows
 from tidewell.llm import postings
 from tidewell.llm.collocations import DoubleArray, collocations, phrase_counts
@@ -166,6 +167,23 @@ def test_phrase_counts_are_those_of_all_phrases(spark):
         assert {(r.lang, r.phrase): r.f for r in level.collect()} == want
 
 
+def test_a_level_reads_the_text_once_with_any_number_of_tries(spark, monkeypatch):
+    from tidewell.llm import collocations as module
+    plans, tries, kept, made = [], [], module.stored, module._tries
+
+    def stored(df, label, *parts):
+        plans.append((label, plan_of(df)))
+        return kept(df, label, *parts)
+    monkeypatch.setattr(module, "stored", stored)
+    monkeypatch.setattr(module, "_tries", lambda *asked: tries.append(made(*asked)) or tries[-1])
+    data = rows(n=40)
+    one, many = (phrase_counts(frame(spark, data), 2, 4, block) for block in (1 << 18, 40))
+    for few, more in zip(one, many, strict=True):
+        assert multiset(map(tuple, few.collect())) == multiset(map(tuple, more.collect()))
+    assert max(len(found) for found, _ in tries) > module.HELD
+    assert [plan.count("MapInArrow") for label, plan in plans if label in ("words", "phrases")] == [1] * 8
+
+
 def test_collocations_of_no_text(spark):
     assert collocations(frame(spark, [])).count() == 0
     silent = [(1, None, None, None) + (None,) * 12, (2, " .,\n", "en", None) + (None,) * 12]

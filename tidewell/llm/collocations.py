@@ -7,12 +7,15 @@ candidate of k words. These pairs of states are numbered and counted by ``bincou
 the text are summed per phrase. Candidates are thus the ones that occur: joining frequent phrases by their overlap
 instead would list all pairs around a frequent word.
 
-A trie holds fixed-width hashes of words, of at most ``BLOCK`` phrases; more phrases are several tries, and each pair of
-them is one pass over the text. Hashes only select candidates. Counts are per phrase as it is written, so they are exact.
+A trie holds fixed-width hashes of words, of about ``BLOCK`` phrases. More phrases are several tries, to which they are
+dealt by the hashes of their words; so the words at a place tell the one trie that may hold them, and a level is one pass
+over the text with any number of tries. A task keeps ``HELD`` of them loaded and others only while it looks a slice up.
+Hashes only select candidates. Counts are per phrase as it is written, so they are exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
@@ -27,6 +30,10 @@ from tidewell.llm.common import sliced, stored, texts
 LONGEST = 5
 # Phrases a broadcast trie holds: at most four 8-byte hashes, one number and a few slots each.
 BLOCK = 1 << 18
+# Tries that stay loaded in a task, some 10 MB each.
+HELD = 8
+# How many bits a word's hash moves for each place further to the right, and the bits that deal phrases out.
+SHIFT, DEALT = 5, (1 << 31) - 1
 # A byte that UTF-8 never has stands for the end of a piece.
 END = b"\xff"
 _TABLE = bytes.maketrans(
@@ -114,9 +121,12 @@ class DoubleArray:
         self.check[slots] = parent
         self.size = max(self.size, int(slots[-1]) + 1)
 
-    def advance(self, root: int, numbers: np.ndarray) -> np.ndarray:
-        """For each place the number of the sequence that begins there, or -1. A number below 0 is in no sequence."""
-        places = np.flatnonzero(numbers >= 0)
+    def advance(self, root: int, numbers: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+        """For each place the number of the sequence that begins there, or -1; with ``places``, for these ones only.
+
+        A number below 0 is in no sequence.
+        """
+        places = np.flatnonzero(numbers >= 0) if places is None else places[numbers[places] >= 0]
         states = np.full(len(places), root, np.int64)
         for level in range(self.depth):
             ahead, low = divmod(level, 2)
@@ -142,14 +152,22 @@ class PhraseTrie:
         self.words = np.unique(words)
         self.trie = DoubleArray(roots.reshape(-1), np.searchsorted(self.words, words))
 
-    def accepted(self, lang: int, hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Numbers of the phrases at all places; ``codes`` (below 0: no word) point into the words' ``hashes``."""
+    def accepted(self, lang: int, hashes: np.ndarray, codes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Numbers of the phrases at some places; ``codes`` (below 0: no word) point into the words' ``hashes``.
+
+        ``places`` have a word at each of the next places that a phrase takes.
+        """
         at = np.searchsorted(self.langs, lang)
-        if at == len(self.langs) or self.langs[at] != lang:
-            return np.full(len(codes), -1, np.int64)
-        near = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        symbols = np.append(np.where(self.words[near] == hashes, near, -1), -1)
-        return self.trie.advance(int(at), symbols[codes])
+        if not len(places) or at == len(self.langs) or self.langs[at] != lang:
+            return np.full(len(places), -1, np.int64)
+        asked = np.zeros(len(hashes), bool)
+        for shift in range(self.trie.depth // 2):
+            asked[codes[places + shift]] = True
+        asked = np.flatnonzero(asked)
+        near = np.minimum(np.searchsorted(self.words, hashes[asked]), len(self.words) - 1)
+        symbols = np.full(len(hashes) + 1, -1, np.int64)
+        symbols[asked] = np.where(self.words[near] == hashes[asked], near, -1)
+        return self.trie.advance(int(at), symbols[codes], places)[places]
 
 
 def _hash(word: bytes) -> int:
@@ -186,45 +204,88 @@ def _count_words(batches):
                 yield _rows(lang, known.take(pa.array(there)), counts[there])
 
 
-def _count_pairs(left, right, size: int):
-    """Counts of the phrases of ``size`` words whose parts are in the two broadcast tries."""
+def _dealt(words: Sequence[np.ndarray], parts: int) -> np.ndarray:
+    """The trie of phrases with these hashes of the first, second ... word; see ``_tries`` for the same in Spark."""
+    mixed = reduce(np.bitwise_xor, [word >> np.uint64(SHIFT * place) for place, word in enumerate(words)])
+    return (mixed & np.uint64(DEALT)).astype(np.int64) % parts
+
+
+class _Looked:
+    """The words of a slice in one language, and the number among all tries' phrases that begins at each place."""
+
+    def __init__(self, lang: str, known: pa.Array, codes: np.ndarray, size: int, parts: int):
+        self.lang, self.known, self.codes, self.name = lang, known, codes, _hash(lang.encode())
+        self.hashes = np.array([_hash(word) for word in known.to_pylist()], np.uint64)
+        whole = codes >= 0
+        for shift in range(1, size):
+            whole[:-shift] &= codes[shift:] >= 0
+            whole[-shift:] = False
+        self.places, self.found = np.flatnonzero(whole), np.full(len(codes), -1, np.int64)
+        self.ends = np.array([len(self.places)])
+        if parts > 1:
+            part = _dealt([self.hashes[codes[self.places + shift]] for shift in range(size)], parts)
+            self.places = self.places[np.argsort(part, kind="stable")]
+            self.ends = np.cumsum(np.bincount(part, minlength=parts))
+
+    def look(self, part: int, trie: PhraseTrie, first: int) -> None:
+        places = self.places[self.ends[part - 1] if part else 0:self.ends[part]]
+        numbers = trie.accepted(np.uint64(self.name), self.hashes, self.codes, places)
+        self.found[places] = np.where(numbers >= 0, numbers + first, -1)
+
+
+def _count_pairs(tries: Sequence, firsts: Sequence[int], size: int):
+    """Counts of the phrases of ``size`` words whose parts are in the broadcast tries.
+
+    ``firsts`` has the number of each trie's first phrase among all, and behind them how many there are.
+    """
     def run(batches):
-        first, second = left.value, right.value
         for batch in sliced(batches):
-            for lang, known, codes in _tokens(batch):
-                marked = np.array([_hash(word) for word in known.to_pylist()], np.uint64)
-                name = np.uint64(_hash(lang.encode()))
-                starts = first.accepted(name, marked, codes)
-                ends = starts if second is first else second.accepted(name, marked, codes)
-                places = np.flatnonzero((starts[:-1] >= 0) & (ends[1:] >= 0))
+            looked = [_Looked(*tokens, size - 1, len(tries)) for tokens in _tokens(batch)]
+            for part, trie in enumerate(tries):
+                if firsts[part] == firsts[part + 1]:
+                    continue
+                for some in looked:
+                    some.look(part, trie.value, firsts[part])
+                if part >= HELD:  # its file stays
+                    vars(trie).pop("_value", None)
+            for some in looked:
+                starts, codes, known = some.found, some.codes, some.known
+                places = np.flatnonzero((starts[:-1] >= 0) & (starts[1:] >= 0))
                 if not len(places):
                     continue
-                pairs = starts[places] * len(second.trie.number) + ends[places + 1]
-                _, at, state = np.unique(pairs, return_index=True, return_inverse=True)
-                counts = np.bincount(state.reshape(-1))
+                # Pairs are numbered by hashing, as sorting them would take several times as long.
+                pairs = pa.array(starts[places] * firsts[-1] + starts[places + 1]).dictionary_encode()
+                state = pairs.indices.to_numpy()
+                counts, at = np.bincount(state), np.empty(len(pairs.dictionary), np.int64)
+                at[state] = np.arange(len(state))
                 words = [known.take(pa.array(codes[places[at] + shift])) for shift in range(size)]
-                yield _rows(lang, pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())), counts)
+                yield _rows(some.lang, pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())), counts)
     return run
 
 
 COUNTS = "lang string, phrase string, f long"
 
 
-def _tries(phrases: DataFrame, block: int) -> list:
-    """Broadcast tries of all phrases, at most ``block`` or so in each."""
+def _tries(phrases: DataFrame, size: int, block: int) -> tuple[list, list[int]]:
+    """Broadcast tries of all phrases of ``size`` words, about ``block`` in each, and the first number of each trie."""
     context = phrases.sparkSession.sparkContext
-    hashed = phrases.select(F.xxhash64("lang").alias("lang"), F.transform(
-        F.split("phrase", " "), lambda word: F.xxhash64(word)).alias("words"))
     parts = max(1, -(-phrases.count() // block))
-    found = []
+    words = F.transform(F.split("phrase", " "), lambda word: F.xxhash64(word))
+    mixed = reduce(lambda a, b: a.bitwiseXOR(b), [
+        F.shiftrightunsigned(F.element_at("words", place + 1), SHIFT * place) for place in range(size)])
+    hashed = phrases.select(F.xxhash64("lang").alias("lang"), words.alias("words")).withColumn(
+        "part", (mixed.bitwiseAND(F.lit(DEALT)) % parts).cast("int"))
+    # Each trie's phrases lie in a folder of their own, so that no others are read for it.
+    dealt = stored(hashed, "dealt", ["part"])
+    found, firsts = [], [0]
     for part in range(parts):
-        # Phrases are dealt to tries by their hash; what reaches the driver at a time is one trie's.
-        some = hashed.filter(F.pmod(F.hash("lang", "words"), F.lit(parts)) == part).toArrow()
+        # What reaches the driver at a time is one trie's.
+        some = dealt.filter(F.col("part") == part).select("lang", "words").toArrow()
         langs = some.column("lang").to_numpy().view(np.uint64)
         words = some.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        if len(langs):
-            found.append(context.broadcast(PhraseTrie(langs, words.reshape(len(langs), -1))))
-    return found
+        found.append(context.broadcast(PhraseTrie(langs, words.reshape(-1, size)) if len(langs) else None))
+        firsts.append(firsts[-1] + len(langs))
+    return found, firsts
 
 
 def phrase_counts(docs: DataFrame, least: int, longest: int = LONGEST, block: int = BLOCK) -> list[DataFrame]:
@@ -233,11 +294,11 @@ def phrase_counts(docs: DataFrame, least: int, longest: int = LONGEST, block: in
     levels = [stored(rows.mapInArrow(_count_words, COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")]
     frequent = levels[0].filter(F.col("f") >= least)
     for size in range(2, longest + 1):
-        tries = _tries(frequent, block)
-        if not tries:
+        tries, firsts = _tries(frequent, size - 1, block)
+        if not firsts[-1]:
             break
-        passes = [rows.mapInArrow(_count_pairs(left, right, size), COUNTS) for left in tries for right in tries]
-        counted = reduce(DataFrame.unionByName, passes).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        counted = rows.mapInArrow(_count_pairs(tries, firsts, size), COUNTS).groupBy("lang", "phrase").agg(
+            F.sum("f").alias("f"))
         frequent = stored(counted.filter(F.col("f") >= least), "phrases")
         levels.append(frequent)
         for trie in tries:
