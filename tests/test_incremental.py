@@ -4,6 +4,8 @@ import os
 
 import pytest
 
+from tidewell import registry
+from tidewell.operators import ranking
 from tidewell.plans import gold, silver
 from tidewell.plans.incremental import Lake, built_from, lineage, load_new_files, plan_batch, rejected_lines
 from tidewell.registry import LTV_CUTS, sample_lake
@@ -154,3 +156,17 @@ def test_what_was_published_before_a_load_died_is_not_written_again(spark, tmp_p
     for layer in ("bronze", "silver"):
         stored = spark.read.parquet(f"{root}/{layer}/store").select("job_id").distinct().collect()
         assert [r.job_id for r in stored] == [jobs[f"{layer}_store"]]
+
+
+def test_reading_a_loaded_mart_does_not_rank_all_sales_again(spark, tmp_path, monkeypatch):
+    sample, root = sample_lake(spark, FOLDER), str(tmp_path / "lake")
+    for mart in gold.MARTS:
+        schema = sample[f"gold_{mart}"].schema
+        spark.createDataFrame([], schema).write.parquet(f"{root}/gold/{mart}")
+
+    def pinned(df):
+        raise AssertionError("a mart is built")
+    monkeypatch.setattr(ranking, "pin", pinned)
+    monkeypatch.setitem(registry._LOADED, (spark.sparkContext.applicationId, FOLDER), root)
+    for mart in gold.MARTS:
+        assert registry.REGISTRY[f"incremental_{mart}"](spark, FOLDER).columns == sample[f"gold_{mart}"].columns
